@@ -448,6 +448,29 @@ def node_counts(spark, sf):
     return rounded(statistics.node_counts(std.edges(spark, sf, "dense")))
 
 
+OVERVIEW_SQL = f"""{SUMMARY_SQL},
+ranked as (select n, row_number() over (order by n desc) as place, count(*) over () as k
+  from (select count(*) as n from edges group by dst))"""
+
+
+@query(
+    f"""{OVERVIEW_SQL}
+select metric, round(cast(value as double), 6) as value from (
+  select 'total_edges' as metric, cast(n as double) as value from e
+  union all select 'total_songs', n from s union all select 'total_artists', n from a
+  union all select 'samplers', count(distinct src) from edges
+  union all select 'originals', count(distinct dst) from edges
+  union all select 'graph_density', cast(e.n as double) / (cast(s.n as double) * (s.n - 1)) from e, s
+  union all select 'in_degree_mean', mean from i union all select 'in_degree_stddev', dev from i
+  union all select 'in_degree_max', top from i
+  union all select 'out_degree_mean', mean from o union all select 'out_degree_stddev', dev from o
+  union all select 'out_degree_max', top from o
+  {" ".join(f"union all select 'top{p}_pct', sum(n) filter (place <= floor(k * {p / 100})) * 100.0 / sum(n) from ranked" for p in (1, 5, 10))})"""
+)
+def statistics_overview(spark, sf):
+    return rounded(statistics.overview(std.edges(spark, sf, "dense")))
+
+
 # The raw relations still have songs without an earlier use, so there are nulls to count.
 @query(
     """with reuse as (
@@ -867,6 +890,43 @@ def edge_class(spark, sf):
     return subgraph.edge_class(top_cut(spark, sf), std.labels(spark, sf))
 
 
+NETWORK_SQL = f"""{DENSE_LINKS}, {std.SCORES_SQL}, {LABELS},
+best as (select artist as id, authority_score from scores order by authority_score desc, artist limit 50),
+pairs as (select src, dst, count(*) as weight from edges
+  where src in (select id from best) and dst in (select id from best) group by 1, 2 having count(*) >= 2),
+x as (select min(authority_score) as a, max(authority_score) as b from best)"""
+
+
+def drawn(spark, sf):
+    return subgraph.top_network(
+        std.edges(spark, sf, "dense"), std.scores(spark, sf, "dense"), std.labels(spark, sf), 50, 2
+    )
+
+
+@query(
+    f"""with {NETWORK_SQL}
+select id, authority_score, coalesce(representative, 'Unknown') as cluster,
+  (select count(*) from pairs where src = id) + (select count(*) from pairs where dst = id) as degree,
+  round(case when b > a then 500 + 2000 * sqrt(authority_score - a) / sqrt(b - a) else 800 end, 6) as node_size,
+  round(4 + 34 * sqrt(authority_score / b), 6) as radius
+from best left join labels on node = id, x"""
+)
+def top_network_nodes(spark, sf):
+    return rounded(drawn(spark, sf)[0])
+
+
+@query(
+    f"""with {NETWORK_SQL}, m as (select max(weight) as m from pairs)
+select src, dst, weight, coalesce(s.representative, 'Unknown') as src_cluster,
+  coalesce(t.representative, 'Unknown') as dst_cluster,
+  case when s.representative = t.representative then 'intra' else 'inter' end as edge_class,
+  round(0.5 + 2.5 * weight / m, 6) as line_width, round(greatest(0.5, 0.8 * sqrt(weight)), 6) as stroke_width
+from pairs left join labels s on s.node = src left join labels t on t.node = dst, m"""
+)
+def top_network_links(spark, sf):
+    return rounded(drawn(spark, sf)[1])
+
+
 CORE_SQL = f"""{TOP5_SQL}, {DEGREES_SQL},
 chosen as (
   select artist as id from (select artist from scores order by authority_score desc, artist limit 200)

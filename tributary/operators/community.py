@@ -15,7 +15,6 @@ from tributary.operators.skew import (
     MIN_ROWS,
     SHARE,
     copy_to_blocks,
-    find_hot,
     positions,
     salt_rows,
     spread_join,
@@ -67,8 +66,8 @@ class _Level:
     def facts(self, labels: DataFrame) -> DataFrame:
         """labels(id, k, own, comm) plus each community's strength `total` and node count `size`."""
         totals = labels.groupBy("comm").agg(F.sum("k").alias("total"), F.count("*").alias("size"))
-        hot = find_hot(labels, ["comm"], self.share, self.min_rows) if self.hot else None
-        return spread_join(labels.select("id", "k", "own", "comm"), totals, "comm", hot=hot)
+        kept = labels.select("id", "k", "own", "comm")
+        return spread_join(kept, totals, "comm", share=self.share, min_rows=self.min_rows)
 
     def meet(self, facts: DataFrame) -> DataFrame:
         """The arcs with the facts of their far end."""
@@ -200,15 +199,16 @@ def louvain(
     on the graph and the seed only, not on partitioning. A smaller `min_gain`
     and more rounds buy a little modularity for more jobs.
     """
-    strengths = weighted_degree(folded)
-    numbered = positions(strengths, [F.asc("node")], "id")
-    ids = numbered.select("node", "id")
     arcs = both_ways(folded)
-    for end, number in (("node", "a"), ("other", "b")):
-        arcs = spread_join(arcs, ids.select(F.col("node").alias(end), F.col("id").alias(number)), end)
-    known = numbered.select(F.col("id").alias("a"), F.col("wdeg").alias("k"))
-    arcs = spread_join(arcs.select("a", "b", "w"), known, "a")
-    arcs = arcs.select(F.col("a").alias("node"), F.col("b").alias("other"), "w", "k")
+    strengths = arcs.groupBy("node").agg(F.sum("w").alias("wdeg"), F.count("*").alias("links"))
+    numbered = positions(strengths, [F.asc("node")], "place")
+    hot = hot_sources(numbered.select(F.col("node").alias("id"), "links"), share, min_rows)
+    near = numbered.select("node", F.col("place").alias("a"), F.col("wdeg").alias("k"))
+    far = numbered.select(F.col("node").alias("other"), F.col("place").alias("b"))
+    # Every node has as many arcs coming as going, so one hot list serves both joins.
+    arcs = spread_join(spread_join(arcs, near, "node", hot=hot), far, "other", hot=hot)
+    arcs = cut(arcs.select(F.col("a").alias("node"), F.col("b").alias("other"), "w", "k"))
+    numbered = numbered.withColumnRenamed("place", "id")
     nodes = numbered.select("id", F.col("wdeg").alias("k"), F.lit(0.0).alias("own"))
     two_m = nodes.agg(F.sum("k")).first()[0]
     at = numbered.select("id", F.col("id").alias("comm"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tributary.functions.similarity import token_set_scorer
 from tributary.operators.context import top_scored
 from tributary.operators.ranking import spearman
+from tributary.operators.skew import spread_join
 from tributary.operators.statistics import long_report
 from tributary.session import cut
 
@@ -75,7 +76,7 @@ def assign(pairs: DataFrame) -> DataFrame:
         holders = wishes.groupBy(F.col("wish.artist").alias("artist")).agg(
             F.min("ground_truth_rank").alias("holder"), F.count("*").alias("askers")
         )
-        judged = open_pairs.join(holders, "artist", "left")
+        judged = spread_join(open_pairs, holders, "artist", "left")
         if holders.where(F.col("askers") > 1).isEmpty():
             won = F.col("ground_truth_rank") == F.col("holder")
             chosen = judged.join(wishes, "ground_truth_rank").where(won & (F.col("wish.artist") == F.col("artist")))

@@ -62,7 +62,8 @@ def pagerank(
         return ranks.select(F.col("id").alias("artist"), F.col("rank").alias("authority_score"))
 
     hot = hot_sources(ranks, share, min_rows)
-    arcs = links.select("src", "dst", "weight")
+    id_type = ranks.schema["id"].dataType
+    arcs = links.select(F.col("src").cast(id_type), F.col("dst").cast(id_type), "weight")
     on = ["src"]
     if hot:
         arcs, on = salt_rows(arcs, ["src"], hot), ["src", "_salt"]

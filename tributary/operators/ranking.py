@@ -93,6 +93,7 @@ def spearman(df: DataFrame, left: str, right: str, tie_break: str, alpha: float
     measured = ranked.agg(
         F.corr("l_avg_rank", "r_avg_rank").alias("rho"), F.count("*").alias("n")
     ).withColumn("rho", F.when(F.col("n") > 1, F.coalesce("rho", nan)).otherwise(nan))
-    tested = measured.withColumn("p_value", two_sided_p(F.col("rho"), F.col("n")))
+    p_value = F.coalesce(two_sided_p(F.col("rho"), F.col("n")), nan)
+    tested = measured.withColumn("p_value", p_value)
     weak = (F.col("p_value") > alpha) & ~F.isnan("p_value")
     return tested.select("rho", "p_value", "n", weak.alias("not_significant"))

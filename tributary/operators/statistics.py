@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.scales import ratio
-from tributary.operators.degree import degrees
+from tributary.operators.degree import concentration_active, degrees
 
 
 def long_report(*rows: DataFrame) -> DataFrame:
@@ -88,11 +88,11 @@ def node_counts(edges: DataFrame) -> DataFrame:
     )
 
 
-def network_summary(edges: DataFrame) -> DataFrame:
-    """The long (metric, value) report on the whole graph."""
+def degree_spreads(edges: DataFrame) -> DataFrame:
+    """One row: mean, deviation and maximum of both degrees over the artists that have any."""
     into = F.when(F.col("in_degree") > 0, F.col("in_degree"))
     out = F.when(F.col("out_degree") > 0, F.col("out_degree"))
-    spreads = degrees(edges).agg(
+    return degrees(edges).agg(
         F.avg(into).alias("in_degree_mean"),
         F.stddev_samp(into).alias("in_degree_stddev"),
         F.max(into).alias("in_degree_max"),
@@ -100,9 +100,19 @@ def network_summary(edges: DataFrame) -> DataFrame:
         F.stddev_samp(out).alias("out_degree_stddev"),
         F.max(out).alias("out_degree_max"),
     )
+
+
+def overview(edges: DataFrame) -> DataFrame:
+    """The long (metric, value) summary of structure, degrees and concentration."""
+    counts = node_counts(edges).drop("avg_edges_per_artist")
+    return long_report(counts, degree_spreads(edges), concentration_active(edges))
+
+
+def network_summary(edges: DataFrame) -> DataFrame:
+    """The long (metric, value) report on the whole graph."""
     return long_report(
         node_counts(edges).drop("samplers", "originals"),
-        spreads,
+        degree_spreads(edges),
         song_self_loops(edges),
         duplicate_groups(edges),
         reciprocity(edges),

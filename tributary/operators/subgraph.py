@@ -10,7 +10,7 @@ from tributary.functions.text import contains_ignoring_case
 from tributary.operators.clusters import largest, top_members
 from tributary.operators.context import top_scored
 from tributary.operators.degree import in_degree, out_degree
-from tributary.operators.links import collapse, known_names
+from tributary.operators.links import collapse, collapse_count, known_names
 from tributary.operators.skew import spread_join
 
 
@@ -54,6 +54,19 @@ def edge_class(sub: DataFrame, labels: DataFrame) -> DataFrame:
     return tagged.withColumn("edge_class", F.when(same, "intra").otherwise("inter"))
 
 
+def top_network(
+    edges: DataFrame, scores: DataFrame, labels: DataFrame, top: int = 50, min_weight: int = 1
+) -> tuple[DataFrame, DataFrame]:
+    """Nodes and links among the best-scored artists, ready to draw.
+
+    Links are weighted by their number of edges. All `top` artists stay, linked or not.
+    """
+    best = top_scored(scores, top).withColumnRenamed("artist", "id")
+    pairs = collapse_count(induced_by_few(edges.select("src", "dst"), best), min_weight)
+    nodes = with_cluster(node_sizes(best), labels).join(degree_within(pairs, best), "id")
+    return nodes, edge_widths(edge_class(pairs, labels))
+
+
 def core_nodes(
     edges: DataFrame,
     scores: DataFrame,

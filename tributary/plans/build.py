@@ -9,6 +9,7 @@ from tributary.functions.text import clean_name, strip_featured
 from tributary.operators.aliases import apply_aliases
 from tributary.operators.links import UNKNOWN, drop_placeholders, link_weight
 from tributary.operators.skew import spread_join
+from tributary.session import cut
 from tributary.sources.dumps import read_dump
 
 # Relation types that mean reuse, and those that count in full.
@@ -40,21 +41,16 @@ def main_credits(names: DataFrame, artists: DataFrame) -> DataFrame:
 def release_years(track: DataFrame, medium: DataFrame, release: DataFrame, meta: DataFrame) -> DataFrame:
     """years(recording, release_year): the first year any release of a recording came out.
 
-    Every step down the chain may point a third of its rows at one parent.
+    The chain is resolved from its short end, so the tracks, by far the longest
+    table, are joined once. Any parent may own a third of the rows below it.
     """
-    chain = track.select("recording", "medium")
-    chain = spread_join(chain, medium.select(F.col("id").alias("medium"), "release"), "medium")
-    chain = spread_join(
-        chain.select("recording", "release").distinct(),
-        release.select(F.col("id").alias("release"), "release_group"),
-        "release",
-    )
-    chain = spread_join(
-        chain.select("recording", "release_group").distinct(),
-        meta.select(F.col("id").alias("release_group"), "first_release_date_year"),
-        "release_group",
-    )
-    return chain.groupBy("recording").agg(F.min("first_release_date_year").alias("release_year"))
+    groups = meta.select(F.col("id").alias("release_group"), F.col("first_release_date_year").alias("year"))
+    releases = spread_join(
+        release.select(F.col("id").alias("release"), "release_group"), groups, "release_group"
+    ).drop("release_group")
+    media = spread_join(medium.select(F.col("id").alias("medium"), "release"), releases, "release").drop("release")
+    dated = spread_join(track.select("recording", "medium"), media, "medium")
+    return dated.groupBy("recording").agg(F.min("year").alias("release_year"))
 
 
 def reuse_edges(relations: DataFrame, link: DataFrame) -> DataFrame:
@@ -119,6 +115,13 @@ def build_graph(tables: dict[str, DataFrame], aliases: DataFrame | None = None)
         credits = credits.withColumn("name", clean_name(F.col("name")))
     else:
         credits = apply_aliases(credits, aliases)
-    years = release_years(*(tables[t] for t in ("track", "medium", "release", "release_group_meta")))
-    edges = reuse_edges(tables["l_recording_recording"], tables["link"])
-    return keep_real(enrich(edges, song_info(tables["recording"], credits, years)))
+    # Few songs take part in any reuse; only their facts are looked up.
+    edges = cut(reuse_edges(tables["l_recording_recording"], tables["link"]))
+    ends = F.explode(F.array("source_song_id", "target_song_id")).alias("id")
+    used = cut(edges.select(ends).distinct())
+    recording = tables["recording"].join(used, "id", "left_semi")
+    track = spread_join(
+        tables["track"].select("recording", "medium"), used.withColumnRenamed("id", "recording"), "recording"
+    )
+    years = release_years(track, *(tables[t] for t in ("medium", "release", "release_group_meta")))
+    return keep_real(enrich(edges, song_info(recording, credits, years)))
