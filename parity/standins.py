@@ -70,7 +70,11 @@ def _kept(app: str, spark: SparkSession, sf: str, what: str, density: str) -> Da
         return handoff(derive_reuse(spark, sf, density), f"{density}-reuse")
     if what == "edges":
         return handoff(derive_edges(spark, sf, density), f"{density}-edges")
-    return handoff(collapse(drop_self_loops(edges(spark, sf, density))), f"{density}-links")
+    if what == "links":
+        return handoff(collapse(drop_self_loops(edges(spark, sf, density))), f"{density}-links")
+    if what == "scores":
+        return handoff(derive_scores(spark, sf, density), f"{density}-scores")
+    return handoff(derive_labels(spark, sf), "labels")
 
 
 def reuse(spark: SparkSession, sf: str, density: str) -> DataFrame:
@@ -88,7 +92,7 @@ def links(spark: SparkSession, sf: str, density: str = "sparse") -> DataFrame:
     return _kept(spark.sparkContext.applicationId, spark, sf, "links", density)
 
 
-def labels(spark: SparkSession, sf: str) -> DataFrame:
+def derive_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Given labels: the customer's nation; customers in debt have none."""
     nations = table(spark, sf, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("representative")
@@ -101,17 +105,25 @@ def labels(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def labels(spark: SparkSession, sf: str) -> DataFrame:
+    return _kept(spark.sparkContext.applicationId, spark, sf, "labels", "")
+
+
 LABELS_SQL = """labels as (
   select c_custkey as node, cast(c_nationkey as bigint) as cluster_id, n_name as representative
   from customer join nation on c_nationkey = n_nationkey where c_acctbal >= 0)"""
 
 
-def scores(spark: SparkSession, sf: str, density: str = "sparse") -> DataFrame:
+def derive_scores(spark: SparkSession, sf: str, density: str) -> DataFrame:
     """A cheap stand-in for authority: the weight an artist receives."""
     received = links(spark, sf, density).groupBy(F.col("dst").alias("artist"))
     return received.agg(F.sum("weight").alias("authority_score"))
 
 
+def scores(spark: SparkSession, sf: str, density: str = "sparse") -> DataFrame:
+    return _kept(spark.sparkContext.applicationId, spark, sf, "scores", density)
+
+
 SCORES_SQL = "scores as (select dst as artist, sum(weight) as authority_score from links group by dst)"
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tributary.functions.scales import ratio
 from tributary.functions.text import readable
-from tributary.operators.skew import spread_join
+from tributary.operators.skew import fits_broadcast, spread_join
 from tributary.operators.statistics import long_report
+from tributary.session import cut
 
 
 def sizes(labels: DataFrame) -> DataFrame:
@@ -65,7 +66,13 @@ def pair_counts(edges: DataFrame) -> DataFrame:
 
 
 def tag(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Add src_cluster and dst_cluster; null for ends without a label."""
+    """Add src_cluster and dst_cluster; null for ends without a label.
+
+    Beside labels too big to broadcast the pairs are read several times, so
+    they are written once.
+    """
+    if not fits_broadcast(labels):
+        pairs = cut(pairs)
     source = labels.select(F.col("node").alias("src"), F.col("cluster_id").alias("src_cluster"))
     target = labels.select(F.col("node").alias("dst"), F.col("cluster_id").alias("dst_cluster"))
     return spread_join(spread_join(pairs, source, "src", "left"), target, "dst", "left")

@@ -19,7 +19,7 @@ from tributary.operators.skew import (
     salt_rows,
     spread_join,
 )
-from tributary.session import cut, shuffle_width
+from tributary.session import cut, layout_width
 
 
 def modularity(folded: DataFrame, labels: DataFrame, resolution: float = 1.0) -> DataFrame:
@@ -56,11 +56,12 @@ class _Level:
     def __init__(self, nodes: DataFrame, arcs: DataFrame, share: float, min_rows: int):
         self.nodes = nodes
         counts = arcs.groupBy(F.col("other").alias("id")).agg(F.count("*").alias("links"))
-        self.hot = hot_sources(counts, share, min_rows)
+        total = counts.agg(F.sum("links")).first()[0] or 0
+        self.hot = hot_sources(counts, total, share, min_rows)
         self.share, self.min_rows = share, min_rows
         self.on = ["other", "_salt"] if self.hot else ["other"]
         laid = salt_rows(arcs, ["other"], self.hot) if self.hot else arcs
-        width = shuffle_width(nodes.sparkSession)
+        width = layout_width(nodes.sparkSession, total)
         self.arcs = laid.repartition(width, *self.on).persist(StorageLevel.MEMORY_AND_DISK)
 
     def facts(self, labels: DataFrame) -> DataFrame:
@@ -202,7 +203,8 @@ def louvain(
     arcs = both_ways(folded)
     strengths = arcs.groupBy("node").agg(F.sum("w").alias("wdeg"), F.count("*").alias("links"))
     numbered = positions(strengths, [F.asc("node")], "place")
-    hot = hot_sources(numbered.select(F.col("node").alias("id"), "links"), share, min_rows)
+    total = numbered.agg(F.sum("links")).first()[0] or 0
+    hot = hot_sources(numbered.select(F.col("node").alias("id"), "links"), total, share, min_rows)
     near = numbered.select("node", F.col("place").alias("a"), F.col("wdeg").alias("k"))
     far = numbered.select(F.col("node").alias("other"), F.col("place").alias("b"))
     # Every node has as many arcs coming as going, so one hot list serves both joins.

@@ -7,12 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.operators.skew import MIN_ROWS, SHARE, copy_to_blocks, salt_rows
-from tributary.session import cut, shuffle_width
+from tributary.session import cut, layout_width
 
 
-def hot_sources(giving: DataFrame, share: float, min_rows: int) -> list[tuple[int, int]]:
-    """Exact hot list from link counts that are known anyway."""
-    total = giving.agg(F.sum("links")).first()[0] or 0
+def hot_sources(giving: DataFrame, total: int, share: float, min_rows: int) -> list[tuple[int, int]]:
+    """Exact hot list from giving(id, links), whose links add up to `total`."""
     if total < max(min_rows, 1):
         return []
     block = total * share
@@ -55,19 +54,20 @@ def pagerank(
     )
     start = ranks.agg(
         F.count("*").alias("n"),
+        F.sum("links").alias("links"),
         F.coalesce(F.sum(F.when(F.col("gives").isNull(), 1.0)), F.lit(0.0)).alias("sunk"),
     ).first()
     n, sunk = start["n"], start["sunk"]
     if n == 0:
         return ranks.select(F.col("id").alias("artist"), F.col("rank").alias("authority_score"))
 
-    hot = hot_sources(ranks, share, min_rows)
+    hot = hot_sources(ranks, start["links"], share, min_rows)
     id_type = ranks.schema["id"].dataType
     arcs = links.select(F.col("src").cast(id_type), F.col("dst").cast(id_type), "weight")
     on = ["src"]
     if hot:
         arcs, on = salt_rows(arcs, ["src"], hot), ["src", "_salt"]
-    arcs = arcs.repartition(shuffle_width(spark), *on).persist(StorageLevel.MEMORY_AND_DISK)
+    arcs = arcs.repartition(layout_width(spark, start["links"]), *on).persist(StorageLevel.MEMORY_AND_DISK)
 
     for _ in range(max_iterations):
         teleport = (1.0 - damping) + damping * sunk / n

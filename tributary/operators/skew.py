@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.session import cut, shuffle_width
+from tributary.session import cut
 
 # A key is hot when it owns more than this share of the rows. At most 1/SHARE
 # keys can, which bounds the hot list that is collected and broadcast.
@@ -124,10 +124,9 @@ def positions(df: DataFrame, order: Sequence[Column], column: str = "position")
     and the rows before each partition from one count per partition. The sorted
     table is cut first, so both readings see the same partitions.
     """
-    spark = df.sparkSession
     low = (1 << 33) - 1
     placed = cut(
-        df.repartitionByRange(shuffle_width(spark), *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", 33))

@@ -124,4 +124,6 @@ def build_graph(tables: dict[str, DataFrame], aliases: DataFrame | None = None)
         tables["track"].select("recording", "medium"), used.withColumnRenamed("id", "recording"), "recording"
     )
     years = release_years(track, *(tables[t] for t in ("medium", "release", "release_group_meta")))
-    return keep_real(enrich(edges, song_info(recording, credits, years)))
+    # Both ends read the facts, and their true size decides how they are joined.
+    songs = cut(song_info(recording, credits, years))
+    return keep_real(enrich(edges, songs))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -72,6 +73,6 @@ def cut(df: DataFrame) -> DataFrame:
     return handoff(df, "step")
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    """The number of shuffle partitions the cluster was sized for."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def layout_width(spark: SparkSession, rows: int, rows_per_part: int = 500_000) -> int:
+    """Partitions for a table that a loop reads again and again: grows with its rows."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / rows_per_part))
