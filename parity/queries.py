@@ -1105,12 +1105,78 @@ def match_candidates(spark, sf):
     return matching.candidates(named_scores(spark, sf))
 
 
-@query()
+LCS_SQL = """list_last(list_reduce(
+    list_transform(string_split(only_a, ''), lambda c: [unicode(c)]),
+    lambda old, ca: list_reduce(
+      list_transform(range(1, length(only_b) + 1), lambda j: [cast(j as int)]),
+      lambda acc, j: list_append(acc, case when ca[1] = unicode(only_b[j[1]]) then old[j[1]] + 1
+        else greatest(old[j[1] + 1], acc[j[1]]) end),
+      [0]),
+    list_transform(range(0, length(only_b) + 1), lambda x: 0)))"""
+
+WORDS_SQL = r"list_sort(list_distinct(string_split_regex(trim(regexp_replace(lower(regexp_replace({0}, '[^\x00-\x7F]', '', 'g')), '\W', ' ', 'g')), '\s+')))"
+
+# Both names share their common words as a prefix, so only the rest needs a
+# longest common subsequence; the choice is written out name by name.
+SIMILAR_SQL = f"""{NAMED_SCORES_SQL},
+truth as (select array_to_string(list_reverse(string_split(name, ' ')), ' ') as ground_truth, ground_truth_rank
+  from richest join names on id = c_custkey),
+pool as (select artist, authority_score, cast(row_number() over (order by authority_score desc, artist) as int) as system_rank
+  from named order by system_rank limit 5000),
+tw as (select *, {WORDS_SQL.format("ground_truth")} as w from truth),
+pw as (select *, {WORDS_SQL.format("artist")} as v from pool),
+parts as (select ground_truth, ground_truth_rank, artist, authority_score, system_rank,
+    array_to_string(list_sort(list_intersect(w, v)), ' ') as shared,
+    array_to_string(list_filter(w, lambda t: not list_contains(v, t)), ' ') as only_a,
+    array_to_string(list_filter(v, lambda t: not list_contains(w, t)), ' ') as only_b from tw, pw),
+rests as (select only_a, only_b, {LCS_SQL} as lcs
+  from (select distinct only_a, only_b from parts where only_a <> '' and only_b <> '')),
+lengths as (select *, case when shared = '' then 0 else length(shared) + 1 end as head, length(shared) as s from parts),
+scored as (select l.*, cast(case when shared <> '' and (l.only_a = '' or l.only_b = '') then 100
+    else greatest(
+      case when shared = '' then 0 else round_even(200.0 * s / (s + head + length(l.only_a)), 0) end,
+      case when shared = '' then 0 else round_even(200.0 * s / (s + head + length(l.only_b)), 0) end,
+      case when l.only_a = l.only_b then 100 else round_even(200.0 * (head + coalesce(lcs, 0)) / (2 * head + length(l.only_a) + length(l.only_b)), 0) end)
+    end as int) as match_score
+  from lengths l left join rests r on r.only_a = l.only_a and r.only_b = l.only_b),
+alike as materialized (select * from scored where match_score >= 85)"""
+
+
+def choices_sql(n: int) -> str:
+    steps = ["m0 as materialized (select * from alike where false)"]
+    for k in range(1, n + 1):
+        steps.append(
+            f"""m{k} as materialized (select * from m{k - 1} union all (select * from alike
+  where ground_truth_rank = {k} and artist not in (select artist from m{k - 1})
+  order by match_score desc, system_rank limit 1))"""
+        )
+    return ",\n".join(steps)
+
+
+MATCH_SQL = f"{SIMILAR_SQL},\n{choices_sql(30)}"
+
+
+@query(
+    f"""with {MATCH_SQL} select ground_truth, ground_truth_rank, artist as matched_artist, system_rank,
+  authority_score, match_score from m30"""
+)
 def fuzzy_match(spark, sf):
     return matching.align(outside_list(spark, sf), named_scores(spark, sf))
 
 
-@query()
+@query(
+    f"""with {MATCH_SQL},
+r as (select rank() over (order by ground_truth_rank) as a, rank() over (order by system_rank) as b from m30),
+c as (select corr(a, b) as rho, count(*) as n, asin(sqrt(1 - corr(a, b) ** 2)) / 4000 as h from r),
+p as (select sum(case when i in (0, 4000) then 1 when i % 2 = 1 then 4 else 2 end * pow(sin(i * h), n - 3))
+    * any_value(2 * h / 3 / exp(lgamma((n - 2) / 2) + lgamma(0.5) - lgamma((n - 1) / 2))) as p
+  from c, range(4001) t(i))
+select metric, round(value, 4) as value from (
+  select 'Spearman_Rank_Correlation' as metric, rho as value from c
+  union all select 'P_value', p from p
+  union all select 'Number_of_ground_truth_artists', count(*) from truth
+  union all select 'Number_of_matched_artists', n from c)"""
+)
 def validation_report(spark, sf):
     truth = outside_list(spark, sf)
     return matching.agreement_report(truth, matching.align(truth, named_scores(spark, sf)))

@@ -128,9 +128,13 @@ def quality(edges, label):
     return inside / m - sum(k * k for k in strength.values()) / (4 * m * m)
 
 
-def test_louvain_is_deterministic_and_finds_planted_groups(spark):
-    edges = planted()
-    plain = rows(community.louvain(folded(spark, edges, 2)))
+@pytest.fixture(scope="module")
+def communities(spark):
+    return rows(community.louvain(folded(spark, planted(), 2)))
+
+
+def test_louvain_is_deterministic_and_finds_planted_groups(spark, communities):
+    edges, plain = planted(), communities
     spread = rows(community.louvain(folded(spark, edges, 7), share=0.02, min_rows=0))
     assert plain == spread
     labels = {n: c for n, c, _ in plain}
@@ -140,14 +144,14 @@ def test_louvain_is_deterministic_and_finds_planted_groups(spark):
     assert measured.first()[0] == pytest.approx(quality(edges, labels), abs=1e-9)
 
 
-def test_representative_is_strongest(spark):
+def test_representative_is_strongest(communities):
     edges = planted()
     strength = defaultdict(float)
     for i, j, w in edges:
         strength[i] += w
         strength[j] += w
     members = defaultdict(list)
-    for n, c, r in rows(community.louvain(folded(spark, edges))):
+    for n, c, r in communities:
         members[c, r].append(n)
     for (_, r), nodes in members.items():
         assert r == min(nodes, key=lambda n: (-strength[n], n))

@@ -50,11 +50,16 @@ class _Level:
     k is a node's strength, own its weight to itself counted from both ends.
     The arcs are laid out by their far end once and kept for all rounds, so a
     round ships node facts only. Far ends with very many arcs are split into
-    blocks.
+    blocks. Every node also gets an arc to itself of weight 0, the only kind
+    that carries `own`; it brings the node its own community in the same join.
     """
 
     def __init__(self, nodes: DataFrame, arcs: DataFrame, share: float, min_rows: int):
         self.nodes = nodes
+        at_home = nodes.select(
+            F.col("id").alias("node"), F.col("id").alias("other"), F.lit(0.0).alias("w"), "k", "own"
+        )
+        arcs = arcs.withColumn("own", F.lit(None).cast("double")).unionByName(at_home)
         counts = arcs.groupBy(F.col("other").alias("id")).agg(F.count("*").alias("links"))
         total = counts.agg(F.sum("links")).first()[0] or 0
         self.hot = hot_sources(counts, total, share, min_rows)
@@ -65,9 +70,9 @@ class _Level:
         self.arcs = laid.repartition(width, *self.on).persist(StorageLevel.MEMORY_AND_DISK)
 
     def facts(self, labels: DataFrame) -> DataFrame:
-        """labels(id, k, own, comm) plus each community's strength `total` and node count `size`."""
+        """(id, comm) plus each community's strength `total` and node count `size`."""
         totals = labels.groupBy("comm").agg(F.sum("k").alias("total"), F.count("*").alias("size"))
-        kept = labels.select("id", "k", "own", "comm")
+        kept = labels.select("id", "comm")
         return spread_join(kept, totals, "comm", share=self.share, min_rows=self.min_rows)
 
     def meet(self, facts: DataFrame) -> DataFrame:
@@ -84,16 +89,8 @@ class _Level:
         labelling's modularity needs. A node alone moves to another node alone
         only downwards, or the two would keep swapping.
         """
-        facts = self.facts(labels)
-        nothing = F.lit(None).cast("double").alias("own")
-        around = self.meet(facts.select("id", "comm", "total", "size")).select(
-            "node", "comm", "w", "k", nothing, "total", "size"
-        )
-        at_home = facts.select(
-            F.col("id").alias("node"), "comm", F.lit(0.0).alias("w"), "k", "own", "total", "size"
-        )
         options = (
-            around.unionByName(at_home)
+            self.meet(self.facts(labels))
             .groupBy("node", "comm")
             .agg(
                 F.sum("w").alias("w"),
@@ -165,7 +162,7 @@ class _Level:
     def contract(self, labels: DataFrame) -> _Level:
         """Communities become the nodes of the next level."""
         facts = self.facts(labels)
-        far = self.meet(facts.select("id", F.col("comm").alias("to")))
+        far = self.meet(facts.select("id", F.col("comm").alias("to"))).where(F.col("own").isNull())
         near = facts.select(F.col("id").alias("node"), F.col("comm").alias("from"), "total")
         pairs = cut(
             spread_join(far.select("node", "to", "w"), near, "node", hot=self.hot)
@@ -202,7 +199,7 @@ def louvain(
     """
     arcs = both_ways(folded)
     strengths = arcs.groupBy("node").agg(F.sum("w").alias("wdeg"), F.count("*").alias("links"))
-    numbered = positions(strengths, [F.asc("node")], "place")
+    numbered = cut(positions(strengths, [F.asc("node")], "place"))
     total = numbered.agg(F.sum("links")).first()[0] or 0
     hot = hot_sources(numbered.select(F.col("node").alias("id"), "links"), total, share, min_rows)
     near = numbered.select("node", F.col("place").alias("a"), F.col("wdeg").alias("k"))
