@@ -998,15 +998,8 @@ from (select artist from scores order by authority_score desc, artist limit 5) t
 )
 def adjacency_test(spark, sf):
     """Is each of the five best linked to the best?"""
-    star = heaviest(spark, sf)
-    rows = []
-    for row in context.top_scored(std.scores(spark, sf), 5).collect():
-        one = subgraph.adjacent(std.links(spark, sf), star, row["artist"])
-        rows.append(one.select(F.lit(row["artist"]).alias("id"), "connected"))
-    found = rows[0]
-    for row in rows[1:]:
-        found = found.unionByName(row)
-    return found
+    five = context.top_scored(std.scores(spark, sf), 5).withColumnRenamed("artist", "id")
+    return subgraph.adjacent(std.links(spark, sf), heaviest(spark, sf), five)
 
 
 @query(f"with {cat.NAMES_SQL} select id, name from names where lower(name) like '%customer 1%'")

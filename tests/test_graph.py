@@ -161,9 +161,9 @@ def test_ego_and_adjacency(spark):
     pairs = link_table(spark, [("a", "b", 2), ("c", "a", 1), ("a", "a", 5), ("b", "c", 1)])
     got = [tuple(r) for r in subgraph.ego(pairs, "a").collect()]
     assert got == [("in", "a", 5.0), ("in", "c", 1.0), ("out", "a", 5.0), ("out", "b", 2.0)]
-    assert subgraph.adjacent(pairs, "a", "c").first()[0] is True
-    assert subgraph.adjacent(pairs, "x", "x").first()[0] is True
-    assert subgraph.adjacent(pairs, "b", "x").first()[0] is False
+    nodes = spark.createDataFrame([("a",), ("c",), ("x",)], "id string")
+    assert rows(subgraph.adjacent(pairs, "b", nodes)) == [("a", True), ("c", True), ("x", False)]
+    assert rows(subgraph.adjacent(pairs, "x", nodes)) == [("a", False), ("c", False), ("x", True)]
 
 
 def test_node_sizes_of_equal_scores(spark):

@@ -19,7 +19,7 @@ from tributary.operators.skew import (
     salt_rows,
     spread_join,
 )
-from tributary.session import cut, layout_width
+from tributary.session import cut, discard, layout_width
 
 
 def modularity(folded: DataFrame, labels: DataFrame, resolution: float = 1.0) -> DataFrame:
@@ -54,8 +54,8 @@ class _Level:
     that carries `own`; it brings the node its own community in the same join.
     """
 
-    def __init__(self, nodes: DataFrame, arcs: DataFrame, share: float, min_rows: int):
-        self.nodes = nodes
+    def __init__(self, nodes, arcs, share: float, min_rows: int, source: DataFrame | None = None):
+        self.nodes, self.source, self.used = nodes, source, []
         at_home = nodes.select(
             F.col("id").alias("node"), F.col("id").alias("other"), F.lit(0.0).alias("w"), "k", "own"
         )
@@ -141,9 +141,10 @@ class _Level:
         want to move get their chance as part of a community one level up.
         """
         labels = self.nodes.withColumn("comm", F.col("id"))
-        best, best_q, stalls = labels, None, 0
+        best, best_q, stalls, tables, used = labels, None, 0, [], []
         for round_ in range(max_rounds):
             moved = self.sweep(labels, two_m, resolution, seed * 1000 + round_)
+            tables.append(moved)
             seen = moved.agg(
                 F.sum("inside").alias("inside"),
                 F.sum("own").alias("own"),
@@ -153,10 +154,12 @@ class _Level:
             q = (seen["inside"] + seen["own"]) / two_m - resolution * seen["squares"] / two_m**2
             stalls = 0 if best_q is None or q > best_q + min_gain else stalls + 1
             if best_q is None or q > best_q:
-                best, best_q = labels, q
+                best, best_q, used = labels, q, tables[-2:-1]
             if stalls >= 2 or seen["restless"] <= FEW:
                 break
             labels = moved.select("id", "k", "own", "comm")
+        discard(*[t for t in tables if not any(t is u for u in used)])
+        self.used = used
         return best, best_q
 
     def contract(self, labels: DataFrame) -> _Level:
@@ -176,8 +179,13 @@ class _Level:
         arcs = pairs.where(F.col("from") != F.col("to")).select(
             F.col("from").alias("node"), F.col("to").alias("other"), "w", "k"
         )
+        self.close()
+        return _Level(nodes, arcs, self.share, self.min_rows, pairs)
+
+    def close(self) -> None:
+        """Drop what only this level reads."""
         self.arcs.unpersist()
-        return _Level(nodes, arcs, self.share, self.min_rows)
+        discard(self.nodes, *self.used, *([self.source] if self.source is not None else []))
 
 
 def louvain(
@@ -212,16 +220,18 @@ def louvain(
     two_m = nodes.agg(F.sum("k")).first()[0]
     at = numbered.select("id", F.col("id").alias("comm"))
     if two_m:
-        level, last = _Level(nodes, arcs, share, min_rows), None
+        level, last = _Level(nodes, arcs, share, min_rows, arcs), None
         for depth in range(max_levels):
             labels, q = level.settle(two_m, resolution, seed + depth, min_gain, max_rounds)
             step = labels.select(F.col("id").alias("comm"), F.col("comm").alias("up"))
+            before = at
             at = cut(spread_join(at, step, "comm").select("id", F.col("up").alias("comm")))
+            discard(before)
             if last is not None and q < last + min_gain / 10:
                 break
             last = q
             level = level.contract(labels)
-        level.arcs.unpersist()
+        level.close()
     return _name(numbered, at)
 
 

@@ -13,7 +13,7 @@ from tributary.operators.context import top_scored
 from tributary.operators.ranking import spearman
 from tributary.operators.skew import spread_join
 from tributary.operators.statistics import long_report
-from tributary.session import cut
+from tributary.session import cut, discard
 
 # The outside list, most reused artists first.
 GROUND_TRUTH = [
@@ -90,7 +90,9 @@ def assign(pairs: DataFrame) -> DataFrame:
                 "match_score",
             ).orderBy("ground_truth_rank")
         stays = F.col("holder").isNull() | (F.col("ground_truth_rank") <= F.col("holder"))
+        before = open_pairs
         open_pairs = cut(judged.where(stays).select(open_pairs.columns))
+        discard(before)
 
 
 def align(truth: DataFrame, scores: DataFrame, top: int = 5000, threshold: int = 85) -> DataFrame:

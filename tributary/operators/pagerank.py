@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.operators.skew import MIN_ROWS, SHARE, copy_to_blocks, salt_rows
-from tributary.session import cut, layout_width
+from tributary.session import cut, discard, layout_width
 
 
 def hot_sources(giving: DataFrame, total: int, share: float, min_rows: int) -> list[tuple[int, int]]:
@@ -82,6 +82,7 @@ def pagerank(
             .agg(F.sum(F.col("weight") * F.col("per_unit")).alias("received"))
         )
         rank = F.lit(teleport) + F.lit(damping) * F.coalesce("received", F.lit(0.0))
+        before = ranks
         ranks = cut(
             ranks.join(received, "id", "left").select(
                 "id",
@@ -95,6 +96,7 @@ def pagerank(
             F.max("moved").alias("moved"),
             F.coalesce(F.sum(F.when(F.col("gives").isNull(), F.col("rank"))), F.lit(0.0)).alias("sunk"),
         ).first()
+        discard(before)
         sunk = step["sunk"]
         if step["moved"] < tolerance:
             break

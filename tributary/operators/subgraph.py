@@ -42,6 +42,12 @@ def cluster_of(labels: DataFrame, key: str, column: str) -> DataFrame:
     )
 
 
+def labels_of_few(labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The labels of a top-k list of nodes(id)."""
+    few = F.broadcast(nodes.select(F.col("id").alias("node")))
+    return labels.join(few, "node", "left_semi")
+
+
 def with_cluster(df: DataFrame, labels: DataFrame, key: str = "id", column: str = "cluster") -> DataFrame:
     found = spread_join(df, cluster_of(labels, key, column), key, "left")
     return found.na.fill("Unknown", [column])
@@ -63,6 +69,7 @@ def top_network(
     """
     best = top_scored(scores, top).withColumnRenamed("artist", "id")
     pairs = collapse_count(induced_by_few(edges.select("src", "dst"), best), min_weight)
+    labels = labels_of_few(labels, best)
     nodes = with_cluster(node_sizes(best), labels).join(degree_within(pairs, best), "id")
     return nodes, edge_widths(edge_class(pairs, labels))
 
@@ -92,7 +99,8 @@ def core_nodes(
     as_text = chosen.withColumn("name", F.col("id").cast("string"))
     kept = F.broadcast(known_names(as_text, "name").select("id"))
     ranked = scores.withColumnRenamed("artist", "id").join(kept, "id", "left_semi")
-    return with_cluster(ranked, labels)
+    named = F.broadcast(cluster_of(labels_of_few(labels, kept), "id", "cluster"))
+    return ranked.join(named, "id", "left").na.fill("Unknown", ["cluster"])
 
 
 def core_links(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -130,12 +138,11 @@ def ego(links: DataFrame, id) -> DataFrame:
     return found.orderBy("direction", F.desc("weight"), "neighbour")
 
 
-def adjacent(links: DataFrame, a, b) -> DataFrame:
-    """One row: are two nodes the same or linked in either direction?"""
-    one, two = F.lit(a), F.lit(b)
-    touch = ((F.col("src") == one) & (F.col("dst") == two)) | ((F.col("src") == two) & (F.col("dst") == one))
-    hit = links.agg(F.coalesce(F.bool_or(touch), F.lit(False)).alias("linked"))
-    return hit.select((F.col("linked") | (one == two)).alias("connected"))
+def adjacent(links: DataFrame, id, nodes: DataFrame) -> DataFrame:
+    """(id, connected): is each of the nodes the given one or linked to it in either direction?"""
+    near = ego(links, id).select(F.col("neighbour").alias("id"), F.lit(True).alias("linked")).distinct()
+    found = nodes.select("id").join(near, "id", "left")
+    return found.select("id", (F.coalesce("linked", F.lit(False)) | (F.col("id") == F.lit(id))).alias("connected"))
 
 
 def search(nodes: DataFrame, term: str, column: str = "id") -> DataFrame:

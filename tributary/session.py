@@ -31,24 +31,22 @@ def build_session(app: str = "tributary", master: str | None = None, **conf: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts, read from the session.
+    """The shared folder for tables and lineage cuts, read from the session.
 
     Only a local master may run without `spark.checkpoint.dir`; it then gets a
     fresh temporary folder. Executors on other machines could not read one.
     """
     context = spark.sparkContext
-    current = context._jsc.sc().getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        if current.isDefined():
-            return current.get()
+    if named:
+        return named
+    current = context._jsc.sc().getCheckpointDir()
+    if not current.isDefined():
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="tributary-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if not current.isDefined():
-        context.setCheckpointDir(named)
-    return named
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tributary-checkpoint-"))
+        current = context._jsc.sc().getCheckpointDir()
+    return current.get()
 
 
 def handoff(df: DataFrame, name: str) -> DataFrame:
@@ -61,7 +59,18 @@ def handoff(df: DataFrame, name: str) -> DataFrame:
     root = checkpoint_root(spark)
     path = f"{root}/tables-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete hand-off tables that nothing will read again; other frames are left alone."""
+    for table in tables:
+        path = getattr(table, "written_at", None)
+        if path:
+            hadoop = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
