@@ -6,11 +6,13 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from parity.standins import reuse, table
 from tributary.operators.aliases import build_alias_map, name_list
 from tributary.plans.build import build_graph
 from tributary.session import handoff
+from tributary.sources.dumps import SCHEMAS
 
 # The relation types each order priority plays; 5-LOW is no reuse.
 RELATION_OF = {"1-URGENT": 69, "2-HIGH": 231, "3-MEDIUM": 230, "4-NOT SPECIFIED": 232, "5-LOW": 11}
@@ -108,6 +110,17 @@ def tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
+def write_dump(spark: SparkSession, sf: str, folder: str) -> None:
+    """The nine tables as headerless dump files; columns nobody reads are null."""
+    for name, df in tables(spark, sf).items():
+        schema = StructType.fromDDL(SCHEMAS[name])
+        columns = [
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+        ]
+        writer = df.select(columns).write.option("sep", "\t").option("nullValue", "\\N").option("quote", "")
+        writer.csv(f"{folder}/{name}")
+
+
 @cache
 def _graph(app: str, spark: SparkSession, sf: str) -> DataFrame:
     aliases = build_alias_map(name_list(names(spark, sf), "name"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from tributary.operators import (
     subgraph,
 )
 from tributary.operators.skew import positions, spread_join
-from tributary.plans import build
+from tributary.plans import build, workflow
 from tributary.session import checkpoint_root, handoff
 from tributary.sources import dumps, sinks
 
@@ -1221,3 +1221,44 @@ def io_bundle_roundtrip(spark, sf):
         subgraph.core_bundle(std.edges(spark, sf), std.scores(spark, sf), std.labels(spark, sf)), folder
     )
     return spark.read.schema("id long, pagerank double, cluster string").json(f"{folder}/kind=node")
+
+
+# --- everything in one go ----------------------------------------------------
+
+
+@query(
+    f"""with {cat.GRAPH_SQL},
+pairs as (select Sampler_Artist_Name as s, Original_Artist_Name as o, count(*) as n from graph group by 1, 2),
+l as (select * from pairs where s <> o),
+nodes as (select s from l union select o from l)
+select 'music_graph.parquet' as dataset, count(*) as n from graph
+union all select 'artist_links.parquet', count(*) from l
+union all select 'artist_pagerank.parquet', count(*) from nodes
+union all select 'top_100_artists_pagerank.csv', least(100, count(*)) from nodes
+union all select 'music_labels.parquet', count(*) from nodes
+union all select 'music_cluster_membership.csv', count(*) from nodes
+union all select 'in_degree.csv', count(distinct o) from pairs
+union all select 'out_degree.csv', count(distinct s) from pairs
+union all select 'top_songs.csv', count(*) from (select distinct Original_Artist_Name, Original_Song_Title from graph)
+union all select 'hubs.parquet', count(*) from (select s from pairs union select o from pairs)
+union all select 'self_loops.csv', count(*) from pairs where s = o and s in (select s from nodes)
+union all select 'validation_summary.csv', 16 union all select 'cluster_quality_summary.csv', 7"""
+)
+def whole_workflow(spark, sf):
+    """All stages on dump files of the stand-in tables; rows of the results SQL can foretell."""
+    folder = fresh_folder(spark)
+    cat.write_dump(spark, sf, f"{folder}/dump")
+    sinks.write_alias_map(aliases.build_alias_map(listed(spark, sf)), f"{folder}/aliases")
+    written = workflow.run_all(spark, f"{folder}/dump", f"{folder}/out", f"{folder}/aliases")
+    foretold = [
+        "music_graph.parquet", "artist_links.parquet", "artist_pagerank.parquet", "music_labels.parquet",
+        "hubs.parquet", "top_100_artists_pagerank.csv", "music_cluster_membership.csv", "in_degree.csv",
+        "out_degree.csv", "top_songs.csv", "self_loops.csv", "validation_summary.csv",
+        "cluster_quality_summary.csv",
+    ]
+    parts = []
+    for name in foretold:
+        reader = spark.read.option("header", True)
+        df = spark.read.parquet(written[name]) if name.endswith("parquet") else reader.csv(written[name])
+        parts.append(df.agg(F.count("*").alias("n")).select(F.lit(name).alias("dataset"), "n"))
+    return reduce(DataFrame.unionByName, parts)
