@@ -121,10 +121,19 @@ def write_dump(spark: SparkSession, sf: str, folder: str) -> None:
         writer.csv(f"{folder}/{name}")
 
 
+@cache
+def _aliases(app: str, spark: SparkSession, sf: str) -> DataFrame:
+    return handoff(build_alias_map(name_list(names(spark, sf), "name")), "aliases")
+
+
+def alias_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The alias map, written once per application; its true size decides how it is joined."""
+    return _aliases(spark.sparkContext.applicationId, spark, sf)
+
+
 @cache
 def _graph(app: str, spark: SparkSession, sf: str) -> DataFrame:
-    aliases = build_alias_map(name_list(names(spark, sf), "name"))
-    return handoff(build_graph(tables(spark, sf), aliases), "music_graph")
+    return handoff(build_graph(tables(spark, sf), alias_table(spark, sf)), "music_graph")
 
 
 def music_graph(spark: SparkSession, sf: str) -> DataFrame:

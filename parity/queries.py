@@ -166,7 +166,7 @@ def alias_merge(spark, sf):
 @query(f"with {cat.CREDITS_SQL} select * from credits")
 def alias_apply(spark, sf):
     artists = cat.names(spark, sf).withColumn("name", text.strip_featured(F.col("name")))
-    return aliases.apply_aliases(artists, aliases.build_alias_map(listed(spark, sf))).select("id", "name", "gid")
+    return aliases.apply_aliases(artists, cat.alias_table(spark, sf)).select("id", "name", "gid")
 
 
 # --- self-loops ------------------------------------------------------------

@@ -72,7 +72,7 @@ def test_positions_of_nothing(spark):
 def test_previous_in_group_of_a_hot_key(spark):
     random.seed(2)
     data = [(1 if i % 3 else i % 40, random.randrange(500)) for i in range(2000)]
-    data += [(1, 77)] * 700
+    data += [(1, 77)] * 700 + [(None, i) for i in range(300)]
     df = spark.createDataFrame(data, "k int, o int").repartition(5)
     plain = skew.previous_in_group(df, ["k"], "o", "before", hot=[])
     hot = skew.find_hot(df, ["k"], **FORCED)
@@ -80,3 +80,4 @@ def test_previous_in_group_of_a_hot_key(spark):
     split = skew.previous_in_group(df, ["k"], "o", "before", hot=hot, blocks=16)
     assert Counter(rows(split)) == Counter(rows(plain))
     assert split.count() == len(data)
+    assert split.where("k is null and before is not null").count() == 0

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tributary.functions import text
 from tributary.operators.links import known_names
 from tributary.operators.skew import spread_join
+from tributary.session import cut
 
 
 def name_list(df: DataFrame, *columns: str) -> DataFrame:
@@ -73,6 +74,8 @@ def merge_aliases(general: DataFrame, special: DataFrame) -> DataFrame:
 
 
 def build_alias_map(names: DataFrame) -> DataFrame:
+    """Both kinds of aliases of names(name); the list is read four times, so it is written once."""
+    names = cut(names)
     return merge_aliases(case_aliases(names), prefix_aliases(names))
 
 

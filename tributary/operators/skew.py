@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,10 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def has_no_key(keys: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+
+
 def find_hot(
     df: DataFrame, keys: Sequence[str], share: float = SHARE, min_rows: int = MIN_ROWS
 ) -> list[tuple[int, int]]:
@@ -70,9 +75,7 @@ def salt_rows(df: DataFrame, keys: Sequence[str], hot: list[tuple[int, int]]) ->
     of a row spread too, and a task that runs again repeats its choice.
     """
     rest = [F.col(c) for c in df.columns if c not in keys]
-    no_key = F.lit(False)
-    for k in keys:
-        no_key = no_key | F.col(k).isNull()
+    no_key = has_no_key(keys)
     marked = df.withColumn("_h", key_hash(keys)).join(hot_table(df.sparkSession, hot), "_h", "left")
     blocks = F.when(no_key, F.lit(NULL_BLOCKS)).otherwise(F.coalesce("_blocks", F.lit(1)))
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *rest), blocks).cast("int")
@@ -171,7 +174,7 @@ def previous_in_group(
         hot_table(df.sparkSession, hot), "_h", "left"
     )
     usual = marked.where(F.col("_blocks").isNull()).select(*keys, order)
-    usual = usual.withColumn(column, F.lag(order).over(plain))
+    usual = usual.withColumn(column, before)
 
     heavy = marked.where(F.col("_blocks").isNotNull()).select(*keys, order)
     steps = [i / blocks for i in range(1, blocks)]
