@@ -161,14 +161,18 @@ def previous_in_group(
     Returns keys, order and `column`. Keys that are not hot use a plain window.
     Hot keys are cut into ranges of `order`; the last value of each range is
     carried over, so no task sees a whole hot key. Copies are counted per map
-    task and unrolled again after the window.
+    task and unrolled again after the window. Rows without a key have no
+    predecessor and are spread over the tasks.
     """
     base = df.select(*keys, order)
     if hot is None:
         hot = find_hot(base, keys)
-    plain = Window.partitionBy(*keys).orderBy(order)
+    no_key = has_no_key(keys)
+    spread = F.when(no_key, F.pmod(F.xxhash64(order), F.lit(NULL_BLOCKS)))
+    plain = Window.partitionBy(*keys, spread).orderBy(order)
+    before = F.when(~no_key, F.lag(order).over(plain))
     if not hot:
-        return base.withColumn(column, F.lag(order).over(plain))
+        return base.withColumn(column, before)
 
     marked = base.withColumn("_h", key_hash(keys)).join(
         hot_table(df.sparkSession, hot), "_h", "left"
