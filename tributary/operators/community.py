@@ -41,7 +41,7 @@ def modularity(folded: DataFrame, labels: DataFrame, resolution: float = 1.0) ->
 
 
 # A level ends once this share of its nodes or less wants to move.
-FEW = 0.02
+FEW = 0.005
 
 
 class _Level:
@@ -192,8 +192,8 @@ def louvain(
     folded: DataFrame,
     resolution: float = 1.0,
     seed: int = 42,
-    min_gain: float = 1e-3,
-    max_rounds: int = 12,
+    min_gain: float = 1e-4,
+    max_rounds: int = 20,
     max_levels: int = 12,
     share: float = SHARE,
     min_rows: int = MIN_ROWS,
@@ -202,8 +202,8 @@ def louvain(
 
     Ids count from 0 in the order of each community's smallest member; the
     representative is the member of highest weighted degree. The outcome depends
-    on the graph and the seed only, not on partitioning. A smaller `min_gain`
-    and more rounds buy a little modularity for more jobs.
+    on the graph and the seed only, not on partitioning. A larger `min_gain`
+    and fewer rounds save jobs for a little less modularity.
     """
     arcs = both_ways(folded)
     strengths = arcs.groupBy("node").agg(F.sum("w").alias("wdeg"), F.count("*").alias("links"))
