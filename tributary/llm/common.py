@@ -53,10 +53,11 @@ class BatchMapper:
 
 
 def as_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
-    arrays = [
-        v if isinstance(v, pa.Array) else pa.array(v, type=f.type)
-        for f, v in ((f, columns[f.name]) for f in schema)
-    ]
+    arrays = []
+    for field in schema:
+        values = columns[field.name]
+        values = values if isinstance(values, pa.Array) else pa.array(values, type=field.type)
+        arrays.append(values if values.type == field.type else values.cast(field.type))
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
