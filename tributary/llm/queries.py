@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import simhash
+from tributary.llm import decision_list, decontaminate, html, packing, rule_ensemble, simhash, tokens
+from tributary.llm.common import fold_bucket
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -29,3 +31,96 @@ def op2_simhash_near_dedup(spark, folder):
         F.col("id").alias("doc_id"), simhash.hexadecimal("fingerprint").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+OP9 = """
+with words as (
+  select row_number() over () as row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+), items as (
+  select item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from benchmark
+), places as (
+  select item_id, w, least(len(w), 10) as size, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i
+  from items where len(w) > 0
+), windows as (
+  select distinct item_id, size, array_to_string(w[i:i + size - 1], ' ') as win from places
+), sizes as (
+  select distinct size from windows
+), starts as (
+  select row, w, size, unnest(range(1, len(w) - size + 2)) as i from words, sizes where len(w) >= size
+), grams as (
+  select row, i, size, array_to_string(w[i:i + size - 1], ' ') as win from starts
+), found as (
+  select g.row, g.i, g.size, x.item_id from grams g join windows x on g.win = x.win and g.size = x.size
+), hit as (
+  select row, count(distinct p) as n_hit
+  from (select row, unnest(range(i, i + size)) as p from (select distinct row, i, size from found)) group by row
+), named as (
+  select row, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  from (select distinct row, cast(item_id as varchar) as id from found) group by row
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hit using (row) left join named using (row)
+"""
+
+
+@query(OP9)
+def op9_benchmark_decontamination(spark, folder):
+    found = decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    n_hit = decontaminate.hits()
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
+@query()
+def op3_best_fit_packing(spark, folder):
+    pieces = packing.pieces(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    packed = packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return packed.select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+@query()
+def op4_token_counts(spark, folder):
+    counts = tokens.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit")
+    )
+
+
+@query()
+def op7_quality_classifier(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = rule_ensemble.fit(docs, table(spark, folder, "labels"))
+    scored = rule_ensemble.classify(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", (fold_bucket("doc_id", 5) == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query()
+def op8_quality_rules(spark, folder):
+    docs = table(spark, folder, "documents")
+    rules = decision_list.fit(docs, table(spark, folder, "labels"))
+    return decision_list.judge(docs, rules, keep=["doc_id"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
+@query()
+def op6_html_extraction(spark, folder):
+    pages = table(spark, folder, "pages")
+    found = html.extract(pages, html.fit(pages))
+    return found.select(
+        F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )

@@ -244,6 +244,21 @@ def near_duplicates(
     return spread_join(printed, cut(named), "fingerprint").select("id", "fingerprint", "component")
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """One document of each group, the one with the smallest id, with all its columns.
+
+    Rows are told apart by two hashes over all columns (128 bits); equal rows
+    are merged within each task before anything is shuffled, so a third of the rows being copies of one does
+    no harm. Null ids come first.
+    """
+    row, whole = F.struct(*docs.columns), F.struct(id_col, *[c for c in docs.columns if c != id_col])
+    keyed = docs.select(row.alias("row"), F.xxhash64(whole).alias("h"), F.xxhash64(F.lit(1), whole).alias("g"))
+    marked = keyed.select(F.struct(f"row.{id_col}", "h", "g").alias("key"), f"row.{text_col}")
+    named = near_duplicates(marked.withColumnRenamed(text_col, "text"), "key", "text", shingle)
+    stay = named.select("component.h", "component.g").distinct()
+    return keyed.dropDuplicates(["h", "g"]).join(stay, ["h", "g"]).select("row.*")
+
+
 def hexadecimal(column: str):
     """A signed long as 16 lower-case hex digits of its 64 bits."""
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
