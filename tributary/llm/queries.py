@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import decision_list, decontaminate, html, packing, rule_ensemble, simhash, tokens
+from tributary.llm import (
+    decision_list,
+    decontaminate,
+    html,
+    interpolation,
+    licences,
+    packing,
+    rule_ensemble,
+    simhash,
+    tokens,
+    url_lists,
+)
 from tributary.llm.common import fold_bucket
 
 REGISTRY: dict[str, tuple] = {}
@@ -124,3 +135,84 @@ def op6_html_extraction(spark, folder):
     return found.select(
         F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars")
     )
+
+
+@query()
+def op1_deleted_interpolation(spark, folder):
+    return interpolation.scores(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+#: A dated list that Spark (and the SQL below) derives from the captures: every host is denied, taken off and denied again; the
+#: domain above it is allowed for a while; the first folder of each host is allowed or denied from some day on.
+LISTS = """
+with seen as (
+  select regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) as host, regexp_extract(url, '^[a-z]+://[^/?#]+/([a-z]+)/', 1) as folder,
+         page_id from pages where url is not null
+), hosts as (
+  select host, min(page_id) as m, count(*) as n from seen where host <> '' group by host
+), domains as (
+  select regexp_replace(host, '^(www|m|blog)[.]', '') as domain, min(m) as m, sum(n) as n from hosts group by 1
+), folders as (
+  select host, folder, min(page_id) as m, count(*) as n from seen where host <> '' and folder <> '' group by host, folder
+)
+select 'hosts' as list, 'domain' as kind, host as pattern, 'add' as action, 'deny' as verdict,
+       date '2024-01-01' + cast(m * 7 % 200 as int) as at from hosts
+union all select 'hosts', 'domain', host, 'remove', 'deny', date '2024-01-01' + cast(m * 7 % 200 + 40 + n % 30 as int) from hosts
+union all select 'hosts', 'domain', host, 'add', 'deny', date '2024-01-01' + cast(m * 7 % 200 + 150 as int) from hosts
+union all select 'domains', 'domain', domain, 'add', 'allow', date '2024-01-01' + cast(m * 11 % 300 as int) from domains
+union all select 'domains', 'domain', domain, 'remove', 'allow', date '2024-01-01' + cast(m * 11 % 300 + 5 + n % 60 as int) from domains
+union all select 'folders', 'prefix', host || '/' || folder, 'add', case when m % 2 = 0 then 'deny' else 'allow' end,
+       date '2024-01-01' + cast(m * 13 % 340 as int) from folders
+"""
+CAPTURES = "select page_id, url, date '2024-01-01' + cast(page_id * 37 % 366 as int) as fetched from pages"
+
+OP10 = f"""
+with entries as ({LISTS}), captures as ({CAPTURES}),
+numbered as (
+  select *, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) as host,
+         regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '^/+|/+$', '', 'g') as path, row_number() over () as r
+  from captures
+), parts as (
+  select r, fetched, string_split(host, '.') as labels, host, string_split(path, '/') as segments, path from numbered where host <> ''
+), tried as (
+  select r, fetched, 'domain' as kind, array_to_string(labels[i:], '.') as pattern, 1 as a, -(len(labels) - i + 1) as b
+  from (select *, unnest(range(1, len(labels) + 1)) as i from parts)
+  union all
+  select r, fetched, 'prefix', host || '/' || array_to_string(segments[1:i], '/'), 0, -i
+  from (select *, unnest(range(1, len(segments) + 1)) as i from parts where path <> '')
+), dated as (
+  select list, kind, pattern, at, bool_and(action = 'add') as adds, bool_or(action = 'add' and verdict = 'deny') as deny
+  from entries group by all
+), lists as (
+  select distinct list from dated
+), asof_entry as (
+  select t.r, t.a, t.b, d.adds, d.deny, d.list, d.pattern, d.at as since
+  from (select * from tried, lists) t asof join dated d
+    on t.list = d.list and t.kind = d.kind and t.pattern = d.pattern and t.fetched >= d.at
+), best as (
+  select r, arg_min({{'v': case when deny then 'deny' else 'allow' end, 'pattern': pattern, 'list': list, 'since': since}},
+                    {{'a': a, 'b': b, 'c': not deny, 'list': list, 'pattern': pattern}}) as x
+  from asof_entry where adds group by r
+)
+select page_id, url, fetched, coalesce(x.v, 'unlisted') as verdict, x.pattern as pattern, x.list as list, x.since as since
+from numbered left join best using (r)
+"""
+
+
+@query(OP10)
+def op10_url_lists(spark, folder):
+    pages = table(spark, folder, "pages")
+    entries, captures = spark.sql(LISTS.replace("from pages", "from {pages}"), pages=pages), spark.sql(CAPTURES.replace("from pages", "from {pages}"), pages=pages)
+    return url_lists.judge(captures, entries).withColumnRenamed("id", "page_id")
+
+
+@query()
+def op5_licence_scan(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = licences.scan(docs, licences.fit(docs))
+    families = F.array_sort(F.array_distinct(F.transform("found", lambda f: f["family"])))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_paragraphs", F.size("found").cast("long").alias("n_notices"),
+        F.concat_ws(",", families).alias("families"), F.array_min(F.transform("found", lambda f: f["paragraph"])).alias("first_notice"),
+        F.array_max(F.transform("found", lambda f: f["probability"])).alias("probability"),
+    )
