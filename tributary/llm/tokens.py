@@ -145,7 +145,14 @@ class Pieces:
         return total
 
 
-byte_level, pieces = cache(ByteLevel), cache(Pieces)
+@cache
+def byte_level(path: str) -> ByteLevel:
+    return ByteLevel(path)
+
+
+@cache
+def pieces(path: str) -> Pieces:
+    return Pieces(path)
 
 
 def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
