@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 
 from tributary.sources import dumps, sinks
@@ -31,6 +32,40 @@ def test_alias_map_as_object_and_as_lines(spark, tmp_path):
     assert rows(dumps.read_alias_map(spark, str(tmp_path / "lines"))) == rows(whole)
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ('{ "variant": "a", "canonical": "b" }\n  {"canonical":"d","variant":"c"}  \n', [("a", "b"), ("c", "d")]),
+        ('{"variant": "x"}', [("variant", "x")]),
+        ('{"variant": "x", "other": "y"}', [("other", "y"), ("variant", "x")]),
+        ('{"a": "b",\n\n "a": "c", "q\\"uote": "\\u00e9"}', [("a", "c"), ('q"uote', "é")]),
+        ("{}", []),
+        ("", []),
+        (" \n\n", []),
+    ],
+)
+def test_alias_map_in_any_spelling(spark, tmp_path, text, expected):
+    (tmp_path / "map").write_text(text)
+    assert rows(dumps.read_alias_map(spark, str(tmp_path / "map"))) == expected
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"a": "b", "c": ',
+        '{"variant": "a", "canonical": "b"}\n{"variant": "c"',
+        '{"variant": "a", "canonical": "b"}\n{"c": "d"}',
+        '["a", "b"]',
+        '{"a": null}',
+        "a,b\nc,d",
+    ],
+)
+def test_broken_alias_maps_raise(spark, tmp_path, text):
+    (tmp_path / "map").write_text(text)
+    with pytest.raises(Exception, match="neither lines|JSONDecodeError"):
+        dumps.read_alias_map(spark, str(tmp_path / "map")).collect()
+
+
 def test_stage_runs_once(spark, tmp_path):
     calls = []
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,18 +42,31 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_alias_map(spark: SparkSession, path: str) -> DataFrame:
-    """(variant, canonical) from a folder of JSON lines or from one JSON object.
+    """(variant, canonical) from JSON lines or from files that are one JSON object each.
 
-    A hand-kept map is one object of a few hundred entries; generated maps are
-    written as lines and may be of any size.
+    Lines are taken if every line that is not blank is an object with exactly the
+    keys `variant` and `canonical`, in any order and spacing; a generated map may have any
+    number of them. Otherwise each file must be one object of variant to canonical, as people
+    keep it; the last of equal keys counts, as usual in JSON. Anything else raises when it is
+    read: a map taken in part would rename artists silently. Blank files are an empty map.
     """
-    lines = spark.read.text(path, wholetext=False).where(F.trim("value").startswith('{"variant"'))
-    if not lines.isEmpty():
-        entry = F.from_json("value", "variant string, canonical string").alias("e")
-        return lines.select(entry).select("e.variant", "e.canonical")
-    whole = spark.read.text(path, wholetext=True)
-    entries = F.explode(F.from_json("value", "map<string,string>")).alias("variant", "canonical")
-    return whole.select(entries)
+    entry = F.from_json("value", "map<string,string>")
+    lines = spark.read.text(path).where(F.trim("value") != "").select(entry.alias("e"))
+    fits = (F.size("e") == 2) & F.col("e.variant").isNotNull() & F.col("e.canonical").isNotNull()
+    seen = lines.agg(F.count("*").alias("all"), F.count_if(fits).alias("entries")).first()
+    if seen["all"] == seen["entries"]:
+        return lines.select("e.variant", "e.canonical")
+    files = spark.read.text(path, wholetext=True).where(F.trim("value") != "")
+    return files.mapInPandas(alias_objects, "variant string, canonical string")
+
+
+def alias_objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for text in batch["value"]:
+            found = json.loads(text)  # the whole text must be one value
+            if not isinstance(found, dict) or not all(isinstance(v, str) for v in found.values()):
+                raise ValueError("an alias map is neither lines of variant and canonical nor one object of names")
+            yield pd.DataFrame(list(found.items()), columns=["variant", "canonical"])
 
 
 def from_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
