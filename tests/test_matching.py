@@ -97,3 +97,39 @@ def test_ranks_with_ties(spark):
     df = spark.createDataFrame([("a", 5), ("b", 5), ("c", 9), ("d", 1)], "artist string, s int")
     got = rows(ranking.add_ranks(df, "s", "artist", "v"), "artist", "v_position", "v_rank", "v_avg_rank")
     assert got == [("a", 2, 2, 2.5), ("b", 3, 2, 2.5), ("c", 1, 1, 1.0), ("d", 4, 4, 4.0)]
+
+
+@pytest.mark.parametrize(
+    "n, t, expected",
+    [  # two-sided p of Student's t: closed forms for one and eight degrees of freedom, else published tables
+        (3, 1.0, 0.5),
+        (10, 2.306004, 0.05),
+        (30, 2.048407, 0.05),
+        (10_000, 2.0, 0.045527),
+        (10**7, 2.0, 0.0455003),
+        (10**8, 1.0, 0.3173105),
+        (10**9, 3.0, 0.0026998),
+    ],
+)
+def test_p_for_any_number_of_rows(n, t, expected):
+    r = t / math.sqrt(n - 2 + t * t)
+    assert ranking.correlation_p(r, n) == pytest.approx(expected, abs=2e-6)
+    assert ranking.correlation_p(-r, n) == pytest.approx(expected, abs=2e-6)
+
+
+def test_p_at_the_ends():
+    assert ranking.correlation_p(0.0, 50) == 1.0
+    assert ranking.correlation_p(1.0, 50) == 0.0
+    assert math.isnan(ranking.correlation_p(0.3, 2))
+
+
+def test_alignment_of_a_list_in_several_passes_and_of_a_cut_ranking(spark):
+    names = [f"band {k} of {k % 7}" for k in range(40)]
+    ranked = [(n, 100.0 - i) for i, n in enumerate(names)]
+    scores = spark.createDataFrame(ranked, "artist string, authority_score double")
+    truth = ranked_names(spark, names[::3])
+    pool = matching.candidates(scores)
+    one, many = matching.similar(truth, pool), matching.similar(truth, pool, list_names=4)
+    assert rows(one, "ground_truth", "artist") == rows(many, "ground_truth", "artist")
+    assert matching.candidates(scores, 5).count() == 5 and pool.count() == 40
+    assert [tuple(r) for r in matching.align(truth, scores, top=10).collect()] == by_hand(names[::3], ranked[:10])

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.functions.similarity import token_set_scorer
+from tributary.functions.similarity import name_words, score_words
 from tributary.operators.context import top_scored
 from tributary.operators.ranking import spearman
-from tributary.operators.skew import spread_join
+from tributary.operators.skew import positions, spread_join
 from tributary.operators.statistics import long_report
 from tributary.session import cut, discard
 
@@ -26,49 +28,63 @@ GROUND_TRUTH = [
 ]
 
 
-def candidates(scores: DataFrame, top: int = 5000) -> DataFrame:
-    """(artist, authority_score, system_rank) of the `top` best; only they may be matched."""
+#: Names of the outside list that travel with the tasks at once; a longer list goes in several passes.
+LIST_NAMES = 10_000
+
+
+def candidates(scores: DataFrame, top: int | None = None) -> DataFrame:
+    """(artist, authority_score, system_rank) of the artists that may be matched: all, or the `top` best."""
+    order = [F.desc("authority_score"), F.asc("artist")]
+    if top is None:
+        return positions(scores, order, "system_rank").select("artist", "authority_score", F.col("system_rank").cast("int").alias("system_rank"))
     best = top_scored(scores, top)
-    by_score = Window.orderBy(F.desc("authority_score"), "artist")  # over `top` rows
-    return best.withColumn("system_rank", F.row_number().over(by_score))
+    return best.withColumn("system_rank", F.row_number().over(Window.orderBy(*order)))  # over `top` rows
 
 
-def similar(truth: DataFrame, pool: DataFrame, threshold: int = 85) -> DataFrame:
+def similar(truth: DataFrame, pool: DataFrame, threshold: int = 85, list_names: int = LIST_NAMES) -> DataFrame:
     """All (ground_truth, artist) with a token-set score of at least `threshold`.
 
-    The outside list may be of any length and is spread over the tasks; the pool
-    is a top-k list and travels with them. Only the pairs found leave a task.
+    The ranking stays where it is; the outside list comes to it, `list_names`
+    names at a time. Each name is cleaned and split once per task, and the
+    letters of two names are only compared if their lengths allow the score.
     """
-    names = [r["artist"] for r in pool.select(F.col("artist").cast("string").alias("artist")).collect()]
-
-    score = token_set_scorer()
-
+    listed = truth.where(F.col("ground_truth").isNotNull()).select("ground_truth", F.col("ground_truth_rank").cast("int").alias("ground_truth_rank"))
+    passes = max(1, math.ceil(listed.count() / list_names))
+    facts = pool.select(F.col("artist").cast("string").alias("artist"), "system_rank", "authority_score").where(F.col("artist").isNotNull())
+    schema = "artist string, system_rank int, authority_score double, ground_truth string, ground_truth_rank int, match_score int"
+    found = []
+    for k in range(passes):
+        some = listed.where(F.pmod(F.xxhash64("ground_truth"), F.lit(passes)) == k) if passes > 1 else listed
+        names = [(r["ground_truth"], r["ground_truth_rank"]) for r in some.collect()]  # about `list_names`
+        found.append(facts.mapInPandas(match_with(names, threshold), schema))
+    return reduce(DataFrame.unionByName, found)
+
+
+def match_with(names: list[tuple[str, int]], threshold: int):
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lowered = [(n, n.lower()) for n in names if n is not None]
+        wanted = [(name, rank, name_words(name.lower())) for name, rank in names]
         for batch in batches:
-            found = []
-            for truth_name, rank in zip(batch["ground_truth"], batch["ground_truth_rank"]):
-                wanted = truth_name.lower()
-                for name, low in lowered:
-                    points = score(wanted, low)
+            rows = []
+            for artist, place, score in zip(batch["artist"], batch["system_rank"], batch["authority_score"]):
+                words = name_words(artist.lower())
+                for name, rank, theirs in wanted:
+                    points = score_words(theirs, words, threshold)
                     if points >= threshold:
-                        found.append((truth_name, int(rank), name, points))
-            yield pd.DataFrame(found, columns=["ground_truth", "ground_truth_rank", "artist", "match_score"])
+                        rows.append((artist, place, score, name, rank, points))
+            columns = ["artist", "system_rank", "authority_score", "ground_truth", "ground_truth_rank", "match_score"]
+            yield pd.DataFrame(rows, columns=columns)
 
-    spread = truth.repartition(truth.sparkSession.sparkContext.defaultParallelism, "ground_truth_rank")
-    pairs = spread.mapInPandas(
-        compare, "ground_truth string, ground_truth_rank int, artist string, match_score int"
-    )
-    facts = pool.select(F.col("artist").cast("string").alias("artist"), "system_rank", "authority_score")
-    return pairs.join(F.broadcast(facts), "artist")
+    return compare
 
 
 def assign(pairs: DataFrame) -> DataFrame:
     """Give each outside name its best free candidate; earlier names choose first.
 
     All names ask for their best candidate at once; a candidate keeps the
-    earliest asker and turns the later ones away for good. That ends in the same
-    assignment as choosing one by one, usually after two or three rounds.
+    earliest asker and turns the later ones away for good. That ends in the same assignment
+    as choosing one by one, usually after two or three rounds; in the worst case,
+    a list whose names all want the same artists in the same order, after as many
+    rounds as it has names.
     """
     wish = F.struct((-F.col("match_score")).alias("falling"), F.col("system_rank"), F.col("artist"))
     open_pairs = cut(pairs)
@@ -95,7 +111,7 @@ def assign(pairs: DataFrame) -> DataFrame:
         discard(before)
 
 
-def align(truth: DataFrame, scores: DataFrame, top: int = 5000, threshold: int = 85) -> DataFrame:
+def align(truth: DataFrame, scores: DataFrame, top: int | None = None, threshold: int = 85) -> DataFrame:
     """(ground_truth, ground_truth_rank, matched_artist, system_rank, authority_score, match_score)."""
     pool = cut(candidates(scores, top))
     return assign(similar(truth, pool, threshold))
