@@ -14,8 +14,9 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parity.lag import previous_in_group
 from tributary.operators.links import collapse, drop_self_loops, link_weight
-from tributary.operators.skew import find_hot, fits_broadcast, previous_in_group, spread_join
+from tributary.operators.skew import find_hot, fits_broadcast, spread_join
 from tributary.session import handoff
 
 # The priorities that play the relation types.

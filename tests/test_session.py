@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tributary.session import checkpoint_root, discard, handoff
+from tributary.session import checkpoint_root, cut, discard, handoff, workspace
 from tributary.sources.sinks import exists
 
 
@@ -37,6 +37,8 @@ def test_only_a_local_master_gets_a_temporary_folder():
     assert "tributary-checkpoint-" in first and checkpoint_root(local) == first
     with pytest.raises(RuntimeError):
         checkpoint_root(session("spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        checkpoint_root(session("local-cluster[2,1,1024]"))
 
 
 def test_discarded_tables_are_gone(spark):
@@ -44,3 +46,19 @@ def test_discarded_tables_are_gone(spark):
     assert table.count() == 3 and exists(spark, table.written_at)
     discard(table, spark.range(2))
     assert not exists(spark, table.written_at)
+
+
+def test_a_workspace_leaves_nothing_behind(spark):
+    kept = handoff(spark.range(1), "outside")
+    paths = []
+    with pytest.raises(ValueError), workspace(spark):
+        one = handoff(spark.range(3), "x")
+        with workspace(spark):
+            paths.append(cut(spark.range(2).select("id")).written_at)
+        assert not exists(spark, paths[0])
+        paths.append(one.written_at)
+        assert one.select("id").count() == 3
+        raise ValueError
+    assert not any(exists(spark, p) for p in paths)
+    assert exists(spark, kept.written_at)
+    discard(kept)

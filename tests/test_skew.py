@@ -5,9 +5,10 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from parity.lag import previous_in_group
 from tributary.operators import skew
 
-FORCED = {"share": 0.05, "min_rows": 0}
+FORCED = {"block": 150}
 
 
 def skewed(spark, n=3000):
@@ -34,13 +35,13 @@ def test_spread_join_on_two_keys(spark, monkeypatch):
     no_broadcast(monkeypatch)
     big = skewed(spark).withColumn("x", F.lit(1))
     small = big.select("k", "v").distinct().withColumn("s", F.col("k") + F.col("v"))
-    ours = skew.spread_join(big, small, ["k", "v"], share=0.02, min_rows=0)
+    ours = skew.spread_join(big, small, ["k", "v"], block=60)
     assert Counter(rows(ours, "k", "v", "s")) == Counter(rows(big.join(small, ["k", "v"]), "k", "v", "s"))
 
 
 def test_hot_key_lands_in_many_partitions(spark):
     big = spark.range(4000).select((F.col("id") * 0 + 1).alias("k"), F.col("id").alias("v")).repartition(4)
-    hot = skew.find_hot(big, ["k"], **FORCED)
+    hot = skew.find_hot(big, ["k"], block=200)
     assert len(hot) == 1 and hot[0][1] == 20
     sizes = [r["count"] for r in skew.salt_rows(big, ["k"], hot).groupBy("_salt").count().collect()]
     assert len(sizes) == 20 and max(sizes) < 400
@@ -74,10 +75,34 @@ def test_previous_in_group_of_a_hot_key(spark):
     data = [(1 if i % 3 else i % 40, random.randrange(500)) for i in range(2000)]
     data += [(1, 77)] * 700 + [(None, i) for i in range(300)]
     df = spark.createDataFrame(data, "k int, o int").repartition(5)
-    plain = skew.previous_in_group(df, ["k"], "o", "before", hot=[])
+    plain = previous_in_group(df, ["k"], "o", "before", hot=[])
     hot = skew.find_hot(df, ["k"], **FORCED)
     assert hot
-    split = skew.previous_in_group(df, ["k"], "o", "before", hot=hot, blocks=16)
+    split = previous_in_group(df, ["k"], "o", "before", hot=hot, blocks=16)
     assert Counter(rows(split)) == Counter(rows(plain))
     assert split.count() == len(data)
     assert split.where("k is null and before is not null").count() == 0
+
+
+def test_the_hot_list_stays_within_what_the_sketch_tells_apart(spark):
+    assert skew.block_size(spark, 1_000) == 500_000
+    total = 10**13
+    assert total / skew.block_size(spark, total) <= skew.TRACKED / 16
+
+
+def test_no_partition_of_a_layout_holds_more_than_twice_the_plan(spark):
+    """A source of 40 % of the arcs, laid out as the loops do."""
+    from tributary.operators.pagerank import hot_sources
+    from tributary.session import layout_width
+
+    arcs = spark.range(40_000).select(F.when(F.col("id") % 5 < 2, -1).otherwise(F.col("id")).alias("src"), "id")
+    spark.conf.set("spark.tributary.blockRows", "1000")
+    try:
+        counts = arcs.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("links"))
+        hot = hot_sources(counts, 40_000)
+        laid = skew.salt_rows(arcs, ["src"], hot).repartition(layout_width(spark, 40_000), "src", "_salt")
+        sizes = laid.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.tributary.blockRows")
+    assert hot == [(hot[0][0], 16)]
+    assert max(r["count"] for r in sizes) <= 3000

@@ -11,14 +11,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators.links import both_ways, weighted_degree
 from tributary.operators.pagerank import hot_sources
-from tributary.operators.skew import (
-    MIN_ROWS,
-    SHARE,
-    copy_to_blocks,
-    positions,
-    salt_rows,
-    spread_join,
-)
+from tributary.operators.skew import copy_to_blocks, positions, salt_rows, spread_join
 from tributary.session import cut, discard, layout_width
 
 
@@ -40,8 +33,9 @@ def modularity(folded: DataFrame, labels: DataFrame, resolution: float = 1.0) ->
     return spread.select(q.alias("modularity"))
 
 
-# A level ends once this share of its nodes or less wants to move.
-FEW = 0.005
+# Rounds without a better modularity after which a level ends although some nodes would still move: awake
+# neighbours that move at once can undo each other's gain, and each round wakes another choice of nodes.
+STALLS = 4
 
 
 class _Level:
@@ -54,7 +48,7 @@ class _Level:
     that carries `own`; it brings the node its own community in the same join.
     """
 
-    def __init__(self, nodes, arcs, share: float, min_rows: int, source: DataFrame | None = None):
+    def __init__(self, nodes, arcs, block: int | None, source: DataFrame | None = None):
         self.nodes, self.source, self.used = nodes, source, []
         at_home = nodes.select(
             F.col("id").alias("node"), F.col("id").alias("other"), F.lit(0.0).alias("w"), "k", "own"
@@ -62,8 +56,7 @@ class _Level:
         arcs = arcs.withColumn("own", F.lit(None).cast("double")).unionByName(at_home)
         counts = arcs.groupBy(F.col("other").alias("id")).agg(F.count("*").alias("links"))
         total = counts.agg(F.sum("links")).first()[0] or 0
-        self.hot = hot_sources(counts, total, share, min_rows)
-        self.share, self.min_rows = share, min_rows
+        self.hot, self.block = hot_sources(counts, total, block), block
         self.on = ["other", "_salt"] if self.hot else ["other"]
         laid = salt_rows(arcs, ["other"], self.hot) if self.hot else arcs
         width = layout_width(nodes.sparkSession, total)
@@ -73,7 +66,7 @@ class _Level:
         """(id, comm) plus each community's strength `total` and node count `size`."""
         totals = labels.groupBy("comm").agg(F.sum("k").alias("total"), F.count("*").alias("size"))
         kept = labels.select("id", "comm")
-        return spread_join(kept, totals, "comm", share=self.share, min_rows=self.min_rows)
+        return spread_join(kept, totals, "comm", block=self.block)
 
     def meet(self, facts: DataFrame) -> DataFrame:
         """The arcs with the facts of their far end."""
@@ -134,29 +127,33 @@ class _Level:
             )
         )
 
-    def settle(self, two_m, resolution, seed, min_gain, max_rounds):
-        """Rounds until the modularity stalls or few nodes want to move.
+    def settle(self, two_m, resolution, seed, min_gain):
+        """Rounds until no node gains by moving, or the modularity stalls.
 
-        Returns the best labelling seen and its modularity. The few that still
-        want to move get their chance as part of a community one level up.
+        Returns the best labelling seen and its modularity. A round reports the
+        modularity of the labels it started from, so the labels of the last
+        round are judged too: either no node moved, or the next round was run.
         """
         labels = self.nodes.withColumn("comm", F.col("id"))
-        best, best_q, stalls, tables, used = labels, None, 0, [], []
-        for round_ in range(max_rounds):
+        best, best_q, stalls, tables, used, round_ = labels, None, 0, [], [], 0
+        while True:
             moved = self.sweep(labels, two_m, resolution, seed * 1000 + round_)
             tables.append(moved)
             seen = moved.agg(
                 F.sum("inside").alias("inside"),
                 F.sum("own").alias("own"),
                 F.sum(F.col("k") * F.col("total")).alias("squares"),
-                F.avg(F.col("restless").cast("int")).alias("restless"),
+                F.count_if("restless").alias("restless"),
             ).first()
             q = (seen["inside"] + seen["own"]) / two_m - resolution * seen["squares"] / two_m**2
             stalls = 0 if best_q is None or q > best_q + min_gain else stalls + 1
             if best_q is None or q > best_q:
+                discard(*used)
                 best, best_q, used = labels, q, tables[-2:-1]
-            if stalls >= 2 or seen["restless"] <= FEW:
+            if stalls >= STALLS or not seen["restless"]:
                 break
+            discard(*[t for t in tables[:-1] if not any(t is u for u in used)])
+            tables, round_ = tables[-1:], round_ + 1
             labels = moved.select("id", "k", "own", "comm")
         discard(*[t for t in tables if not any(t is u for u in used)])
         self.used = used
@@ -180,7 +177,7 @@ class _Level:
             F.col("from").alias("node"), F.col("to").alias("other"), "w", "k"
         )
         self.close()
-        return _Level(nodes, arcs, self.share, self.min_rows, pairs)
+        return _Level(nodes, arcs, self.block, pairs)
 
     def close(self) -> None:
         """Drop what only this level reads."""
@@ -192,24 +189,22 @@ def louvain(
     folded: DataFrame,
     resolution: float = 1.0,
     seed: int = 42,
-    min_gain: float = 1e-4,
-    max_rounds: int = 20,
-    max_levels: int = 12,
-    share: float = SHARE,
-    min_rows: int = MIN_ROWS,
+    min_gain: float = 1e-7,
+    block: int | None = None,
 ) -> DataFrame:
     """labels(node, cluster_id, representative) by synchronous Louvain rounds.
 
     Ids count from 0 in the order of each community's smallest member; the
     representative is the member of highest weighted degree. The outcome depends
-    on the graph and the seed only, not on partitioning. A larger `min_gain`
-    and fewer rounds save jobs for a little less modularity.
+    on the graph and the seed only, not on partitioning. A level ends when no
+    node gains by moving, the run when a level gains less than `min_gain`; a larger
+    one saves jobs for a little less modularity.
     """
     arcs = both_ways(folded)
     strengths = arcs.groupBy("node").agg(F.sum("w").alias("wdeg"), F.count("*").alias("links"))
     numbered = cut(positions(strengths, [F.asc("node")], "place"))
     total = numbered.agg(F.sum("links")).first()[0] or 0
-    hot = hot_sources(numbered.select(F.col("node").alias("id"), "links"), total, share, min_rows)
+    hot = hot_sources(numbered.select(F.col("node").alias("id"), "links"), total, block)
     near = numbered.select("node", F.col("place").alias("a"), F.col("wdeg").alias("k"))
     far = numbered.select(F.col("node").alias("other"), F.col("place").alias("b"))
     # Every node has as many arcs coming as going, so one hot list serves both joins.
@@ -220,16 +215,16 @@ def louvain(
     two_m = nodes.agg(F.sum("k")).first()[0]
     at = numbered.select("id", F.col("id").alias("comm"))
     if two_m:
-        level, last = _Level(nodes, arcs, share, min_rows, arcs), None
-        for depth in range(max_levels):
-            labels, q = level.settle(two_m, resolution, seed + depth, min_gain, max_rounds)
+        level, last, depth = _Level(nodes, arcs, block, arcs), None, 0
+        while True:
+            labels, q = level.settle(two_m, resolution, seed + depth, min_gain)
             step = labels.select(F.col("id").alias("comm"), F.col("comm").alias("up"))
             before = at
             at = cut(spread_join(at, step, "comm").select("id", F.col("up").alias("comm")))
             discard(before)
-            if last is not None and q < last + min_gain / 10:
+            if last is not None and q <= last + min_gain:
                 break
-            last = q
+            last, depth = q, depth + 1
             level = level.contract(labels)
         level.close()
     return _name(numbered, at)

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.operators.skew import MIN_ROWS, SHARE, copy_to_blocks, salt_rows
+from tributary.operators.skew import block_size, copy_to_blocks, salt_rows
 from tributary.session import cut, discard, layout_width
 
 
-def hot_sources(giving: DataFrame, total: int, share: float, min_rows: int) -> list[tuple[int, int]]:
+def hot_sources(giving: DataFrame, total: int, block: int | None = None) -> list[tuple[int, int]]:
     """Exact hot list from giving(id, links), whose links add up to `total`."""
-    if total < max(min_rows, 1):
+    block = block_size(giving.sparkSession, total, block)
+    if total <= block:
         return []
-    block = total * share
     blocks = F.ceil(F.col("links") / F.lit(block)).cast("int")
     rows = giving.where(F.col("links") > block).select(F.xxhash64("id").alias("h"), blocks.alias("b"))
-    return [(r["h"], r["b"]) for r in rows.collect()]  # fewer than 1/share rows
+    return [(r["h"], r["b"]) for r in rows.collect()]  # fewer than total / block rows
 
 
 def pagerank(
@@ -25,13 +27,13 @@ def pagerank(
     damping: float = 0.85,
     tolerance: float = 0.01,
     max_iterations: int = 50,
-    share: float = SHARE,
-    min_rows: int = MIN_ROWS,
+    block: int | None = None,
 ) -> DataFrame:
     """(artist, authority_score) over links(src, dst, weight).
 
     Every node starts at 1. The mass held by nodes without outgoing links is
-    shared out evenly; the loop ends once no rank moves by `tolerance`.
+    shared out evenly; the loop ends once no rank moves by `tolerance`, or warns
+    that `max_iterations` were too few for that.
 
     The links are laid out once by (source, block) and kept; a step ships only
     the ranks. Contributions are summed on the map side before they move, so a
@@ -61,7 +63,7 @@ def pagerank(
     if n == 0:
         return ranks.select(F.col("id").alias("artist"), F.col("rank").alias("authority_score"))
 
-    hot = hot_sources(ranks, start["links"], share, min_rows)
+    hot = hot_sources(ranks, start["links"], block)
     id_type = ranks.schema["id"].dataType
     arcs = links.select(F.col("src").cast(id_type), F.col("dst").cast(id_type), "weight")
     on = ["src"]
@@ -100,5 +102,7 @@ def pagerank(
         sunk = step["sunk"]
         if step["moved"] < tolerance:
             break
+    else:
+        warnings.warn(f"PageRank still moved after {max_iterations} iterations", stacklevel=2)
     arcs.unpersist()
     return ranks.select(F.col("id").alias("artist"), F.col("rank").alias("authority_score"))

@@ -13,13 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.session import cut
+from tributary.session import block_rows, cut
 
-# A key is hot when it owns more than this share of the rows. At most 1/SHARE
-# keys can, which bounds the hot list that is collected and broadcast.
-SHARE = 1 / 1024
-# Below this many rows one task copes with any key.
-MIN_ROWS = 2_000_000
+# The frequent-items sketch tracks at most this many keys, 16 for each that can be hot.
+TRACKED = 1_000_000
 # Rows without a key never match; they are spread over this many blocks.
 NULL_BLOCKS = 1024
 
@@ -39,29 +36,28 @@ def has_no_key(keys: Sequence[str]) -> Column:
     return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
 
 
-def find_hot(
-    df: DataFrame, keys: Sequence[str], share: float = SHARE, min_rows: int = MIN_ROWS
-) -> list[tuple[int, int]]:
-    """(key hash, number of blocks) of the keys that own more than `share` of the rows.
+def block_size(spark: SparkSession, total: int, block: int | None = None) -> int:
+    """Rows of a block: what one partition should hold, and more only where `total` would make
+    the hot list longer than the sketch can tell apart. At most TRACKED / 16 keys are hot."""
+    return max(block or block_rows(spark), math.ceil(16 * total / TRACKED))
 
-    One scan of the key columns with a frequent-items sketch: no shuffle of
-    keys, and one bounded row to the driver. A wrong estimate costs balance,
-    never rows, because the list is fixed before either side is salted.
+
+def find_hot(df: DataFrame, keys: Sequence[str], block: int | None = None) -> list[tuple[int, int]]:
+    """(key hash, number of blocks) of the keys that own more rows than one block should hold.
+
+    One count and one scan of the key columns with a frequent-items sketch: no
+    shuffle of keys, and one bounded row to the driver. A wrong estimate costs
+    balance, never rows, because the list is fixed before either side is salted.
     """
-    kept = math.ceil(2 / share)
     present = df.select(*keys).dropna(how="any")
-    found = present.select(key_hash(keys).alias("_h")).agg(
-        F.count("*").alias("n"), F.expr(f"approx_top_k(_h, {kept}, {8 * kept})").alias("top")
-    ).first()
-    if found["n"] < max(min_rows, 1):
+    total = present.count()
+    block = block_size(df.sparkSession, total, block)
+    if total <= block:
         return []
-    block = found["n"] * share
-    most = math.ceil(1 / share)
-    return [
-        (item["item"], min(most, math.ceil(item["count"] / block)))
-        for item in found["top"]
-        if item["count"] > block
-    ]
+    kept = math.ceil(2 * total / block)
+    top = F.expr(f"approx_top_k(_h, {kept}, {min(TRACKED, 8 * kept)})")
+    found = present.select(key_hash(keys).alias("_h")).agg(top.alias("top")).first()["top"]
+    return [(i["item"], math.ceil(i["count"] / block)) for i in found if i["count"] > block]
 
 
 def hot_table(spark: SparkSession, hot: list[tuple[int, int]]) -> DataFrame:
@@ -83,7 +79,7 @@ def salt_rows(df: DataFrame, keys: Sequence[str], hot: list[tuple[int, int]]) ->
 
 
 def copy_to_blocks(df: DataFrame, keys: Sequence[str], hot: list[tuple[int, int]]) -> DataFrame:
-    """One copy of every row per block of its key; `1/SHARE` blocks at most for all hot keys."""
+    """One copy of every row per block of its key; all hot keys together have as many blocks as there are full ones, and one each."""
     marked = df.withColumn("_h", key_hash(keys)).join(hot_table(df.sparkSession, hot), "_h", "left")
     blocks = F.sequence(F.lit(0), F.coalesce("_blocks", F.lit(1)) - 1)
     return marked.withColumn("_salt", F.explode(blocks)).drop("_h", "_blocks")
@@ -95,8 +91,7 @@ def spread_join(
     on: str | Sequence[str],
     how: str = "inner",
     hot: list[tuple[int, int]] | None = None,
-    share: float = SHARE,
-    min_rows: int = MIN_ROWS,
+    block: int | None = None,
 ) -> DataFrame:
     """Join a big side to a side that is unique on the key (inner or left).
 
@@ -112,7 +107,7 @@ def spread_join(
     if hot is None:
         if fits_broadcast(small):
             return big.join(small, keys, how)
-        hot = find_hot(big, keys, share, min_rows)
+        hot = find_hot(big, keys, block)
     if not hot and how == "inner":
         return big.join(small, keys, how)
     salted = salt_rows(big, keys, hot)
@@ -146,62 +141,3 @@ def positions(df: DataFrame, order: Sequence[Column], column: str = "position")
         .withColumn(column, place)
         .drop("_part", "_at", "_before")
     )
-
-
-def previous_in_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    column: str,
-    hot: list[tuple[int, int]] | None = None,
-    blocks: int = 256,
-) -> DataFrame:
-    """The preceding `order` value of the same key, one output row per input row.
-
-    Returns keys, order and `column`. Keys that are not hot use a plain window.
-    Hot keys are cut into ranges of `order`; the last value of each range is
-    carried over, so no task sees a whole hot key. Copies are counted per map
-    task and unrolled again after the window. Rows without a key have no
-    predecessor and are spread over the tasks.
-    """
-    base = df.select(*keys, order)
-    if hot is None:
-        hot = find_hot(base, keys)
-    no_key = has_no_key(keys)
-    spread = F.when(no_key, F.pmod(F.xxhash64(order), F.lit(NULL_BLOCKS)))
-    plain = Window.partitionBy(*keys, spread).orderBy(order)
-    before = F.when(~no_key, F.lag(order).over(plain))
-    if not hot:
-        return base.withColumn(column, before)
-
-    marked = base.withColumn("_h", key_hash(keys)).join(
-        hot_table(df.sparkSession, hot), "_h", "left"
-    )
-    usual = marked.where(F.col("_blocks").isNull()).select(*keys, order)
-    usual = usual.withColumn(column, before)
-
-    heavy = marked.where(F.col("_blocks").isNotNull()).select(*keys, order)
-    steps = [i / blocks for i in range(1, blocks)]
-    bounds = heavy.agg(F.percentile_approx(order, steps).alias("b")).first()["b"] or []
-    ranges = F.array(*[F.lit(b) for b in sorted(set(bounds))]) if bounds else F.array()
-    counted = (
-        heavy.groupBy(*keys, order, F.spark_partition_id().alias("_task"))
-        .agg(F.count("*").alias("_copies"))
-        .withColumn("_range", F.size(F.filter(ranges, lambda b: b < F.col(order))))
-    )
-    within = Window.partitionBy(*keys, "_range").orderBy(order, "_task")
-    ahead = Window.partitionBy(*keys).orderBy("_range")
-    carried = (
-        counted.groupBy(*keys, "_range")
-        .agg(F.max(order).alias("_last"))
-        .withColumn("_carry", F.lag("_last").over(ahead))  # at most `blocks` rows per key
-        .drop("_last")
-    )
-    linked = (
-        counted.withColumn("_prev", F.lag(order).over(within))
-        .join(carried, [*keys, "_range"])
-        .withColumn("_first", F.coalesce("_prev", "_carry"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .withColumn(column, F.when(F.col("_copy") == 1, F.col("_first")).otherwise(F.col(order)))
-    )
-    return usual.unionByName(linked.select(*keys, order, column))

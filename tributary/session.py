@@ -5,9 +5,16 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows that one partition of a loop's table, or one block of a hot key, should hold.
+BLOCK_ROWS = 500_000
+
+_open: list[list[str]] = []
+
 
 def build_session(app: str = "tributary", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every job here relies on; `conf` overrides them.
@@ -34,7 +41,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for tables and lineage cuts, read from the session.
 
     Only a local master may run without `spark.checkpoint.dir`; it then gets a
-    fresh temporary folder. Executors on other machines could not read one.
+    fresh temporary folder. Executors on other machines could not read one. What
+    the cluster names is taken as it is: a `file:` folder may be a shared mount.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -42,7 +50,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return named
     current = context._jsc.sc().getCheckpointDir()
     if not current.isDefined():
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tributary-checkpoint-"))
         current = context._jsc.sc().getCheckpointDir()
@@ -58,19 +66,40 @@ def handoff(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     root = checkpoint_root(spark)
     path = f"{root}/tables-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.written_at = path
     return table
 
 
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """Delete all hand-off tables made inside when the block ends, however it ends.
+
+    For a job that writes its results itself: frames that still read a table made
+    inside must not be used afterwards.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete hand-off tables that nothing will read again; other frames are left alone."""
     for table in tables:
         path = getattr(table, "written_at", None)
         if path:
-            hadoop = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
+            _delete(table.sparkSession, path)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -82,6 +111,11 @@ def cut(df: DataFrame) -> DataFrame:
     return handoff(df, "step")
 
 
-def layout_width(spark: SparkSession, rows: int, rows_per_part: int = 500_000) -> int:
+def block_rows(spark: SparkSession) -> int:
+    """BLOCK_ROWS, or what the session sets in `spark.tributary.blockRows`."""
+    return int(spark.conf.get("spark.tributary.blockRows", str(BLOCK_ROWS)))
+
+
+def layout_width(spark: SparkSession, rows: int) -> int:
     """Partitions for a table that a loop reads again and again: grows with its rows."""
-    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / rows_per_part))
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / block_rows(spark)))
