@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The clean-up patterns, in the order they apply.
+# The clean-up patterns, in the order they apply. Dashes and quotes are written as code
+# points, in the one form that Spark's and the comparison engine's patterns both read.
 FEATURED = r"(?i)\s+(feat\.?|ft\.?)\s+.*"
 CLEANUP = [
     (r"(?i)\s+&\s+", " and "),
-    (r"[‐-―−]", "-"),
-    (r"[‘-‛′‵]", "'"),
+    (r"[\x{2010}-\x{2015}\x{2212}]", "-"),
+    (r"[\x{2018}-\x{201B}\x{2032}\x{2035}]", "'"),
     (r"\s*\([^)]*\)\s*$", ""),
     (r"^(.+),\s+(The)\s*$", "$2 $1"),
     (r"\s+", " "),

@@ -79,14 +79,14 @@ def frequency(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("degree")).agg(F.count("*").alias("frequency"))
 
 
-def head_sums(freq: DataFrame, cutoffs: dict[str, Column]) -> DataFrame:
-    """One row: degree mass of the top n artists for each n, plus the totals.
+def head_sums(freq: DataFrame, cutoffs: dict[str, Column], per: tuple[str, ...] = ()) -> DataFrame:
+    """One row (or one for each value of `per`): degree mass of the top n artists for each n, plus the totals.
 
     Works on the frequency table: equal degrees are one row, so the running
     count is over few rows and the result does not depend on how ties fall.
     """
-    above = Window.orderBy(F.desc("degree")).rowsBetween(Window.unboundedPreceding, -1)
-    everyone = Window.partitionBy()
+    above = Window.partitionBy(*per).orderBy(F.desc("degree")).rowsBetween(Window.unboundedPreceding, -1)
+    everyone = Window.partitionBy(*per)
     ahead = freq.withColumn("before", F.coalesce(F.sum("frequency").over(above), F.lit(0)))
     ahead = ahead.withColumn("active", F.sum("frequency").over(everyone))
     aggregates = [F.sum(F.col("degree") * F.col("frequency")).alias("total")]
@@ -96,24 +96,37 @@ def head_sums(freq: DataFrame, cutoffs: dict[str, Column]) -> DataFrame:
             F.sum(taken).alias(f"{name}_n"),
             F.sum(F.col("degree") * taken).alias(f"{name}_sum"),
         ]
-    return ahead.agg(*aggregates)
+    return ahead.groupBy(*per).agg(*aggregates)
 
 
-def concentration_all(edges: DataFrame) -> DataFrame:
-    """Per direction: edges held by the top 1 % counted over all artists, at least one artist."""
-    both = degrees(edges)
-    artists = both.agg(F.count("*")).scalar()
-    cutoff = {"top": at_least_one(artists * 0.01)}
-    rows = [
-        head_sums(frequency(both.where(F.col(c) > 0), c), cutoff).select(
-            F.lit(name).alias("direction"),
-            F.col("top_n").alias("artists"),
-            F.col("top_sum").alias("edges"),
-            percent(F.col("top_sum"), F.col("total")).alias("pct"),
+def both_frequencies(both: DataFrame) -> DataFrame:
+    """(direction, degree, frequency) of degrees(artist, in_degree, out_degree), degree 0 included."""
+    sides = F.explode(
+        F.array(
+            F.struct(F.lit("in").alias("direction"), F.col("in_degree").alias("degree")),
+            F.struct(F.lit("out").alias("direction"), F.col("out_degree").alias("degree")),
         )
-        for name, c in (("in", "in_degree"), ("out", "out_degree"))
-    ]
-    return rows[0].unionByName(rows[1])
+    )
+    return both.select(sides.alias("s")).groupBy("s.direction", "s.degree").agg(F.count("*").alias("frequency"))
+
+
+def concentration_of(both: DataFrame) -> DataFrame:
+    """Per direction: edges held by the top 1 % counted over all artists, at least one artist.
+
+    The artists without an edge in a direction are its row of degree 0, so one
+    frequency table holds everything.
+    """
+    cutoff = {"top": at_least_one(F.col("active") * 0.01)}
+    return head_sums(both_frequencies(both), cutoff, ("direction",)).select(
+        "direction",
+        F.col("top_n").alias("artists"),
+        F.col("top_sum").alias("edges"),
+        percent(F.col("top_sum"), F.col("total")).alias("pct"),
+    )
+
+
+def concentration_all(edges: DataFrame) -> DataFrame:
+    return concentration_of(degrees(edges))
 
 
 def scale_free(edges: DataFrame, above_pct: float = 20.0) -> DataFrame:
@@ -168,7 +181,12 @@ def log_histogram(df: DataFrame, column: str, bins: int = 39) -> DataFrame:
 
 def hub_table(edges: DataFrame, scores: DataFrame, labels: DataFrame) -> DataFrame:
     """(artist, in_degree, out_degree, authority_score, cluster) of the readable artists."""
-    hubs = known_degrees(edges).where(readable(F.col("artist").cast("string")))
+    return hubs_of(degrees(edges), scores, labels)
+
+
+def hubs_of(both: DataFrame, scores: DataFrame, labels: DataFrame) -> DataFrame:
+    """The same from degrees(artist, in_degree, out_degree)."""
+    hubs = known(both, "artist").where(readable(F.col("artist").cast("string")))
     named = labels.select(F.col("node").alias("artist"), F.col("representative").alias("cluster"))
     scored = hubs.join(scores, "artist", "left")
     return scored.join(named, "artist", "left").select(
@@ -192,9 +210,8 @@ def top_bridges(both: DataFrame, k: int = 15) -> DataFrame:
 
 def roles(both: DataFrame) -> DataFrame:
     """Quadrant of each artist against the mean of (degree + 1) in either direction."""
-    mean_in = both.agg(F.avg(F.col("in_degree") + 1)).scalar()
-    mean_out = both.agg(F.avg(F.col("out_degree") + 1)).scalar()
-    gets, gives = F.col("in_degree") + 1 >= mean_in, F.col("out_degree") + 1 >= mean_out
+    means = both.agg(F.struct(F.avg(F.col("in_degree") + 1).alias("i"), F.avg(F.col("out_degree") + 1).alias("o"))).scalar()
+    gets, gives = F.col("in_degree") + 1 >= means["i"], F.col("out_degree") + 1 >= means["o"]
     role = (
         F.when(gets & gives, "Bridge")
         .when(gets, "Authority")

@@ -65,34 +65,45 @@ def reciprocity(edges: DataFrame) -> DataFrame:
     return counted.withColumn("reciprocity", share)
 
 
-def node_counts(edges: DataFrame) -> DataFrame:
-    """One row: edges, artists by role, songs, edges per artist and density over songs."""
-    artists = degrees(edges).agg(
-        F.sum("in_degree").alias("total_edges"),
-        F.count("*").alias("total_artists"),
-        F.count_if(F.col("out_degree") > 0).alias("samplers"),
-        F.count_if(F.col("in_degree") > 0).alias("originals"),
+def beside(row: DataFrame, other: DataFrame) -> DataFrame:
+    """Two one-row tables as one row."""
+    held = row.withColumn("_other", other.select(F.struct("*")).scalar())
+    return held.select(*row.columns, "_other.*")
+
+
+def song_facts(edges: DataFrame) -> DataFrame:
+    """One row: total_songs, self_loops, duplicate_edges.
+
+    Songs and song pairs are counted in one grouping of one scan: an edge is one
+    pair and two songs, and equal ones are merged before they move.
+    """
+    none = F.lit(None).cast(edges.schema["target_song_id"].dataType)
+    kinds = F.explode(
+        F.array(
+            F.struct(F.lit(True).alias("pair"), F.col("source_song_id").alias("a"), F.col("target_song_id").alias("b")),
+            F.struct(F.lit(False).alias("pair"), F.col("source_song_id").alias("a"), none.alias("b")),
+            F.struct(F.lit(False).alias("pair"), F.col("target_song_id").alias("a"), none.alias("b")),
+        )
     )
-    songs = edges.select(F.explode(F.array("source_song_id", "target_song_id")).alias("song"))
-    total_songs = songs.distinct().agg(F.count("*")).scalar()
-    counted = artists.withColumn("total_songs", total_songs)
-    e, s = F.col("total_edges").cast("double"), F.col("total_songs").cast("double")
-    return counted.select(
-        "total_edges",
-        "total_songs",
-        "total_artists",
-        "samplers",
-        "originals",
-        ratio(e, F.col("total_artists")).alias("avg_edges_per_artist"),
-        ratio(e, s * (s - 1)).alias("graph_density"),
+    counted = edges.select(kinds.alias("k")).groupBy("k.pair", "k.a", "k.b").agg(F.count("*").alias("n"))
+    pair = F.col("pair")
+    return counted.agg(
+        F.count_if(~pair).alias("total_songs"),
+        F.coalesce(F.sum(F.when(pair & (F.col("a") == F.col("b")), F.col("n"))), F.lit(0)).alias("self_loops"),
+        F.count_if(pair & (F.col("n") > 1)).alias("duplicate_edges"),
     )
 
 
-def degree_spreads(edges: DataFrame) -> DataFrame:
-    """One row: mean, deviation and maximum of both degrees over the artists that have any."""
+def artist_facts(both: DataFrame) -> DataFrame:
+    """One row of degrees(artist, in_degree, out_degree): artists by role, and mean, deviation and
+    maximum of both degrees over the artists that have any."""
     into = F.when(F.col("in_degree") > 0, F.col("in_degree"))
     out = F.when(F.col("out_degree") > 0, F.col("out_degree"))
-    return degrees(edges).agg(
+    return both.agg(
+        F.sum("in_degree").alias("total_edges"),
+        F.count("*").alias("total_artists"),
+        F.count(out).alias("samplers"),
+        F.count(into).alias("originals"),
         F.avg(into).alias("in_degree_mean"),
         F.stddev_samp(into).alias("in_degree_stddev"),
         F.max(into).alias("in_degree_max"),
@@ -102,18 +113,41 @@ def degree_spreads(edges: DataFrame) -> DataFrame:
     )
 
 
-def overview(edges: DataFrame) -> DataFrame:
+SPREADS = [f"{side}_degree_{what}" for side in ("in", "out") for what in ("mean", "stddev", "max")]
+
+
+def graph_facts(both: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row: artist_facts and song_facts, edges per artist and density over songs."""
+    facts = beside(artist_facts(both), song_facts(edges))
+    e, s = F.col("total_edges").cast("double"), F.col("total_songs").cast("double")
+    return facts.withColumns({
+        "avg_edges_per_artist": ratio(e, F.col("total_artists")),
+        "graph_density": ratio(e, s * (s - 1)),
+    })
+
+
+def node_counts(edges: DataFrame) -> DataFrame:
+    """One row: edges, artists by role, songs, edges per artist and density over songs."""
+    return graph_facts(degrees(edges), edges).select(
+        "total_edges", "total_songs", "total_artists", "samplers", "originals", "avg_edges_per_artist", "graph_density"
+    )
+
+
+def degree_spreads(edges: DataFrame) -> DataFrame:
+    """One row: mean, deviation and maximum of both degrees over the artists that have any."""
+    return artist_facts(degrees(edges)).select(SPREADS)
+
+
+def overview(edges: DataFrame, both: DataFrame | None = None) -> DataFrame:
     """The long (metric, value) summary of structure, degrees and concentration."""
-    counts = node_counts(edges).drop("avg_edges_per_artist")
-    return long_report(counts, degree_spreads(edges), concentration_active(edges))
+    facts = graph_facts(degrees(edges) if both is None else both, edges)
+    counts = ["total_edges", "total_songs", "total_artists", "samplers", "originals", "graph_density"]
+    return long_report(beside(facts.select(*counts, *SPREADS), concentration_active(edges)))
 
 
-def network_summary(edges: DataFrame) -> DataFrame:
+def network_summary(edges: DataFrame, both: DataFrame | None = None) -> DataFrame:
     """The long (metric, value) report on the whole graph."""
-    return long_report(
-        node_counts(edges).drop("samplers", "originals"),
-        degree_spreads(edges),
-        song_self_loops(edges),
-        duplicate_groups(edges),
-        reciprocity(edges),
-    )
+    facts = graph_facts(degrees(edges) if both is None else both, edges)
+    counts = ["total_edges", "total_songs", "total_artists", "avg_edges_per_artist", "graph_density"]
+    wanted = facts.select(*counts, *SPREADS, "self_loops", "duplicate_edges")
+    return long_report(beside(wanted, reciprocity(edges)))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.scales import line_width, radius_scale, root_scale, stroke_width
 from tributary.functions.text import contains_ignoring_case
 from tributary.operators.clusters import largest, top_members
 from tributary.operators.context import top_scored
-from tributary.operators.degree import in_degree, out_degree
+from tributary.operators.degree import known_degrees
 from tributary.operators.links import collapse, collapse_count, known_names
 from tributary.operators.skew import spread_join
+from tributary.session import cut
 
 
 def induced(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -85,22 +86,31 @@ def core_nodes(
 ) -> DataFrame:
     """core(id, authority_score, cluster): leaders by four measures that have a score.
 
-    Each list is a top-k, so the union has a fixed upper size.
+    Each list is a top-k, so the union has a fixed upper size and is written once
+    for the readers. Both degrees come from one table. The placeholder artist takes
+    no place among the leaders; on built graphs it does not occur.
     """
-    most_in = in_degree(edges).orderBy(F.desc("times_sampled"), "artist").limit(by_degree)
-    most_out = out_degree(edges).orderBy(F.desc("samples_used"), "artist").limit(by_degree)
+    both = known_degrees(edges)
+    reach = F.explode(F.array(F.struct(F.lit("in").alias("d"), F.col("in_degree").alias("n")), F.struct(F.lit("out").alias("d"), F.col("out_degree").alias("n"))))
+    sides = both.select("artist", reach.alias("r")).where("r.n > 0").select("artist", "r.d", "r.n")
+    leaders = most_by(sides, by_degree)
     chosen = (
         top_scored(scores, by_score).select(F.col("artist").alias("id"))
-        .unionByName(most_in.select(F.col("artist").alias("id")))
-        .unionByName(most_out.select(F.col("artist").alias("id")))
+        .unionByName(leaders.select(F.col("artist").alias("id")))
         .unionByName(top_members(labels, scores, clusters, members).select(F.col("node").alias("id")))
         .distinct()
     )
     as_text = chosen.withColumn("name", F.col("id").cast("string"))
-    kept = F.broadcast(known_names(as_text, "name").select("id"))
+    kept = F.broadcast(cut(known_names(as_text, "name").select("id")))
     ranked = scores.withColumnRenamed("artist", "id").join(kept, "id", "left_semi")
     named = F.broadcast(cluster_of(labels_of_few(labels, kept), "id", "cluster"))
-    return ranked.join(named, "id", "left").na.fill("Unknown", ["cluster"])
+    return cut(ranked.join(named, "id", "left").na.fill("Unknown", ["cluster"]))
+
+
+def most_by(sides: DataFrame, k: int) -> DataFrame:
+    """The k artists of the highest n for each d; the limit bounds what reaches one task per d."""
+    rank = F.row_number().over(Window.partitionBy("d").orderBy(F.desc("n"), "artist"))
+    return sides.withColumn("place", rank).where(F.col("place") <= k).drop("place")
 
 
 def core_links(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -114,11 +124,12 @@ def core_bundle(edges: DataFrame, scores: DataFrame, labels: DataFrame) -> DataF
     links = core_links(edges, nodes)
     node = F.to_json(F.struct("id", F.col("authority_score").alias("pagerank"), "cluster"))
     link = F.to_json(F.struct(F.col("src").alias("source"), F.col("dst").alias("target"), "weight"))
-    cluster = F.to_json(F.struct("representative"))
+    place = F.row_number().over(Window.orderBy(F.desc("size"), "representative"))  # over 20 rows
+    cluster = F.to_json(F.struct("rank", "representative"))
     return (
         nodes.select(F.lit("node").alias("kind"), node.alias("json"))
         .unionByName(links.select(F.lit("link").alias("kind"), link.alias("json")))
-        .unionByName(largest(labels, 20).select(F.lit("cluster").alias("kind"), cluster.alias("json")))
+        .unionByName(largest(labels, 20).withColumn("rank", place).select(F.lit("cluster").alias("kind"), cluster.alias("json")))
     )
 
 

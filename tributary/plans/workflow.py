@@ -25,6 +25,7 @@ from tributary.operators import (
 )
 from tributary.operators.aliases import build_alias_map, name_list
 from tributary.plans.build import build_graph, load_dump
+from tributary.session import workspace
 from tributary.sources import dumps, sinks
 
 LABEL_NAMES = {
@@ -41,7 +42,12 @@ def run_all(
     alias_path: str | None = None,
     ground_truth: Iterable[str] = matching.GROUND_TRUTH,
 ) -> dict[str, str]:
-    """Run all stages; returns where each result lies."""
+    """Run all stages; returns where each result lies. Tables between steps are deleted at the end."""
+    with workspace(spark):
+        return _run(spark, dump, out, alias_path, ground_truth)
+
+
+def _run(spark, dump, out, alias_path, ground_truth) -> dict[str, str]:
     written: dict[str, str] = {}
 
     def keep(name: str, compute: Callable[[], DataFrame]) -> DataFrame:
@@ -53,12 +59,16 @@ def run_all(
         if not sinks.is_complete(spark, written[name]):
             sinks.write_csv(compute(), written[name])
 
-    known = dumps.read_alias_map(spark, alias_path) if alias_path else None
-    graph = keep("music_graph.parquet", lambda: build_graph(load_dump(spark, dump), known))
+    aliases = dumps.read_alias_map(spark, alias_path) if alias_path else None
+    graph = keep("music_graph.parquet", lambda: build_graph(load_dump(spark, dump), aliases))
     edges = links.as_edges(graph)
 
-    report("in_degree.csv", lambda: _sorted(degree.in_degree(edges), "times_sampled", "artist"))
-    report("out_degree.csv", lambda: _sorted(degree.out_degree(edges), "samples_used", "artist"))
+    both = keep("degrees.parquet", lambda: degree.degrees(edges))
+    known = degree.known(both, "artist")
+    sampled = known.where("in_degree > 0").select("artist", F.col("in_degree").alias("times_sampled"))
+    using = known.where("out_degree > 0").select("artist", F.col("out_degree").alias("samples_used"))
+    report("in_degree.csv", lambda: _sorted(sampled, "times_sampled", "artist"))
+    report("out_degree.csv", lambda: _sorted(using, "samples_used", "artist"))
     report("top_songs.csv", lambda: degree.top_songs(edges))
 
     pairs = keep("artist_links.parquet", lambda: links.collapse(links.drop_self_loops(edges)))
@@ -73,11 +83,11 @@ def run_all(
     report("music_cluster_membership.csv", lambda: labelled)
     report("music_clusters.csv", lambda: _sizes(clusters.largest(labels, 100)))
 
-    report("validation_summary.csv", lambda: statistics.network_summary(edges))
-    report("statistics_summary.csv", lambda: statistics.overview(edges))
+    report("validation_summary.csv", lambda: statistics.network_summary(edges, both))
+    report("statistics_summary.csv", lambda: statistics.overview(edges, both))
     report("null_counts.csv", lambda: statistics.long_report(statistics.null_counts(edges)))
-    report("concentration.csv", lambda: degree.concentration_all(edges))
-    report("degree_classes.csv", lambda: _degree_classes(edges))
+    report("concentration.csv", lambda: degree.concentration_of(both))
+    report("degree_classes.csv", lambda: _degree_classes(both))
 
     report("cluster_quality_summary.csv", lambda: clusters.quality_summary(edges, labels))
     report("cluster_sizes.csv", lambda: _sizes(_sorted(clusters.sizes(labels), "size", "representative")))
@@ -85,10 +95,11 @@ def run_all(
     report("cluster_bridges.csv", lambda: clusters.bridges(flows, labels))
     report("cluster_density.csv", lambda: clusters.densest(flows, labels))
 
-    report("top_network_nodes.csv", lambda: subgraph.top_network(edges, scores, labels)[0])
-    report("top_network_links.csv", lambda: subgraph.top_network(edges, scores, labels)[1])
+    nodes, near = subgraph.top_network(edges, scores, labels)
+    report("top_network_nodes.csv", lambda: nodes)
+    report("top_network_links.csv", lambda: near)
 
-    hubs = keep("hubs.parquet", lambda: degree.hub_table(edges, scores, labels))
+    hubs = keep("hubs.parquet", lambda: degree.hubs_of(both, scores, labels))
     report("bridge_artists.csv", lambda: degree.top_bridges(hubs))
     report("roles.csv", lambda: degree.roles(hubs))
 
@@ -96,9 +107,9 @@ def run_all(
     report("self_loops.csv", lambda: degree.self_loop_scores(edges, scores))
     report("top_connectivity.csv", lambda: context.top_connectivity(edges, scores))
 
-    volume = degree.in_degree(edges).where(degree.readable(F.col("artist")))
+    volume = sampled.where(degree.readable(F.col("artist")))
     report("rank_comparison.csv", lambda: ranking.compare_ranks(ranking.volume_and_authority(volume, scores)))
-    received = degree.frequency(edges.groupBy("dst").agg(F.count("*").alias("n")), "n")
+    received = keep("degree_frequency.parquet", lambda: degree.frequency(both.where("in_degree > 0"), "in_degree"))
     report("degree_frequency.csv", lambda: _sorted(received, "degree"))
     report("power_law.csv", lambda: degree.power_law(received))
     report("cluster_top_artists.csv", lambda: _sorted(clusters.top_artist(labels, scores), "size", "representative"))
@@ -114,10 +125,10 @@ def run_all(
     if not sinks.is_complete(spark, core):
         sinks.write_bundle(subgraph.core_bundle(edges, scores, labels), core)
 
-    aliases = f"{out}/artist_aliases.json"
-    written["artist_aliases.json"] = aliases
-    if not sinks.is_complete(spark, aliases):
-        sinks.write_alias_map(build_alias_map(name_list(edges, "src", "dst")), aliases)
+    found = f"{out}/artist_aliases.json"
+    written["artist_aliases.json"] = found
+    if not sinks.is_complete(spark, found):
+        sinks.write_alias_map(build_alias_map(name_list(edges, "src", "dst")), found)
     return written
 
 
@@ -129,8 +140,7 @@ def _sizes(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({"representative": "cluster_representative", "size": "cluster_size"})
 
 
-def _degree_classes(edges: DataFrame) -> DataFrame:
-    both = degree.degrees(edges)
+def _degree_classes(both: DataFrame) -> DataFrame:
     rows = [
         degree.class_counts(both, c).withColumn("direction", F.lit(d))
         for d, c in (("in", "in_degree"), ("out", "out_degree"))
