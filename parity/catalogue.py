@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from parity.standins import reuse, table
+from tributary.functions.text import CONJUNCTIONS, QUALIFIERS
 from tributary.operators.aliases import build_alias_map, name_list
 from tributary.plans.build import build_graph
 from tributary.session import handoff
@@ -57,8 +58,8 @@ def strip_sql(x: str) -> str:
 
 def clean_sql(x: str) -> str:
     x = rf"regexp_replace({x}, '(?i)\s+&\s+', ' and ', 'g')"
-    x = rf"regexp_replace({x}, '[‐-―−]', '-', 'g')"
-    x = rf"regexp_replace({x}, '[‘-‛′‵]', '''', 'g')"
+    x = rf"regexp_replace({x}, '[\x{{2010}}-\x{{2015}}\x{{2212}}]', '-', 'g')"
+    x = rf"regexp_replace({x}, '[\x{{2018}}-\x{{201B}}\x{{2032}}\x{{2035}}]', '''', 'g')"
     x = rf"regexp_replace({x}, '\s*\([^)]*\)\s*$', '')"
     x = rf"regexp_replace({x}, '^(.+),\s+(The)\s*$', '\2 \1')"
     x = rf"regexp_replace({x}, '\s+', ' ', 'g')"
@@ -141,10 +142,12 @@ def music_graph(spark: SparkSession, sf: str) -> DataFrame:
     return _graph(spark.sparkContext.applicationId, spark, sf)
 
 
-QUALIFIES_SQL = """(regexp_replace(rest[1], '\\.+$', '') in
-    ('&', 'and', 'feat.', 'featuring', 'ft.', '+', 'vs.', 'versus', 'et', 'und')
-  or rest[len(rest)] in ('trio', 'quartet', 'quintet', 'sextet', 'quintette', 'orchestra', 'ensemble',
-    'group', 'project', 'chorus', 'incorporated', 'band', 'ubiquity'))"""
+def listed_sql(words: list[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+QUALIFIES_SQL = f"""(regexp_replace(rest[1], '\\.+$', '') in ({listed_sql(CONJUNCTIONS)})
+  or rest[len(rest)] in ({listed_sql(QUALIFIERS)}))"""
 
 ALIAS_SQL = rf"""{NAMES_SQL},
 listed as (select distinct name from names where name is not null and name not in ('', '[unknown]', '[no artist]')),
