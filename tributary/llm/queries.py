@@ -156,7 +156,7 @@ with seen as (
   select host, folder, min(page_id) as m, count(*) as n from seen where host <> '' and folder <> '' group by host, folder
 )
 select 'hosts' as list, 'domain' as kind, host as pattern, 'add' as action, 'deny' as verdict,
-       date '2024-01-01' + cast(m * 7 % 200 as int) as at from hosts
+       date '2024-01-01' + cast(m * 7 % 200 as int) as day from hosts
 union all select 'hosts', 'domain', host, 'remove', 'deny', date '2024-01-01' + cast(m * 7 % 200 + 40 + n % 30 as int) from hosts
 union all select 'hosts', 'domain', host, 'add', 'deny', date '2024-01-01' + cast(m * 7 % 200 + 150 as int) from hosts
 union all select 'domains', 'domain', domain, 'add', 'allow', date '2024-01-01' + cast(m * 11 % 300 as int) from domains
@@ -181,14 +181,14 @@ numbered as (
   select r, fetched, 'prefix', host || '/' || array_to_string(segments[1:i], '/'), 0, -i
   from (select *, unnest(range(1, len(segments) + 1)) as i from parts where path <> '')
 ), dated as (
-  select list, kind, pattern, at, bool_and(action = 'add') as adds, bool_or(action = 'add' and verdict = 'deny') as deny
+  select list, kind, pattern, day, bool_and(action = 'add') as adds, bool_or(action = 'add' and verdict = 'deny') as deny
   from entries group by all
 ), lists as (
   select distinct list from dated
 ), asof_entry as (
-  select t.r, t.a, t.b, d.adds, d.deny, d.list, d.pattern, d.at as since
+  select t.r, t.a, t.b, d.adds, d.deny, d.list, d.pattern, d.day as since
   from (select * from tried, lists) t asof join dated d
-    on t.list = d.list and t.kind = d.kind and t.pattern = d.pattern and t.fetched >= d.at
+    on t.list = d.list and t.kind = d.kind and t.pattern = d.pattern and t.fetched >= d.day
 ), best as (
   select r, arg_min({{'v': case when deny then 'deny' else 'allow' end, 'pattern': pattern, 'list': list, 'since': since}},
                     {{'a': a, 'b': b, 'c': not deny, 'list': list, 'pattern': pattern}}) as x
@@ -203,7 +203,7 @@ from numbered left join best using (r)
 def op10_url_lists(spark, folder):
     pages = table(spark, folder, "pages")
     entries, captures = spark.sql(LISTS.replace("from pages", "from {pages}"), pages=pages), spark.sql(CAPTURES.replace("from pages", "from {pages}"), pages=pages)
-    return url_lists.judge(captures, entries).withColumnRenamed("id", "page_id")
+    return url_lists.judge(captures, entries.withColumnRenamed("day", "at")).withColumnRenamed("id", "page_id")
 
 
 @query()
