@@ -33,7 +33,7 @@ from tributary.llm.common import arrow_schema, as_batch, fold_bucket, lower_word
 from tributary.session import cut
 
 #: Tokens of a slice (a longer document is a slice of its own) and tokens per bucket.
-SLICE, BUCKET = 1 << 21, 1 << 22
+SLICE, BUCKET = 1 << 20, 1 << 22
 #: Folds by crc32 of the id; documents of fold 0 are held out of training, those of fold 1 are deleted for learning the weights.
 FOLDS, DELETED = 10, 1
 #: Steps per octave of the grid for probabilities, and what stands for probability zero there.
@@ -148,11 +148,13 @@ class Slice:
         self.starts = np.r_[0, self.ends[:-1]]
         self.words = np.cumsum(unsqueeze(row["words"])[0], dtype=np.uint64)
         planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), np.uint8).reshape(4, -1)
-        self.tokens = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
-        self.before = np.r_[0, self.tokens[:-1]]
+        self.tokens = np.ascontiguousarray(planes.T).view("<i4").ravel()
+        self.before = np.empty_like(self.tokens)
+        self.before[1:] = self.tokens[:-1]
         self.before[self.starts] = np.searchsorted(self.words, END)
-        self.fold = np.repeat(np.array(row["folds"]), self.ends - self.starts)
-        self.pairs, self.pair = np.unique(mixed(self.words[self.before], self.words[self.tokens]), return_inverse=True)
+        self.fold = np.repeat(np.array(row["folds"], np.int8), self.ends - self.starts)
+        self.pairs, pair = np.unique(mixed(self.words[self.before], self.words[self.tokens]), return_inverse=True)
+        self.pair = pair.astype(np.int32)
 
 
 def counts_of(places: np.ndarray, fold: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,6 +180,7 @@ class Send:
                 squeeze(*[x for at, arrays in sides for x in part(arrays, at[b], at[b + 1])]) for b in range(1 << self.bits)
             ]
             yield {"bucket": list(range(len(blobs))), "slice": [row["slice"]] * len(blobs), "counts": blobs}
+            pa.default_memory_pool().release_unused()
 
 
 def part(arrays: tuple, a: int, b: int) -> tuple:
