@@ -1,8 +1,11 @@
+from pathlib import Path
+
 from conftest import rows
 
 from tributary.operators import links
 from tributary.plans.build import build_graph, load_dump
 from tributary.plans.workflow import run_all
+from tributary.session import checkpoint_root
 
 # Artists 1..6; the sixth is unknown, the fifth is a second spelling of the first.
 ARTISTS = [(1, "Kool & the Gang"), (2, "Beta feat. Guest"), (3, "Gamma, The"), (4, "Delta"), (5, "Cool Gang"), (6, "[unknown]")]
@@ -49,8 +52,11 @@ def test_all_stages_and_a_second_run(spark, tmp_path):
     source, out = tmp_path / "in", tmp_path / "out"
     source.mkdir()
     dump(source)
+    between = Path(checkpoint_root(spark).removeprefix("file:"))
+    kept = set(between.glob("tables-*/*"))
     written = run_all(spark, str(source), str(out), str(source / "aliases.json"), ["Kool Gang The", "Delta", "Nobody"])
     assert {p.name for p in out.iterdir()} == set(written)
+    assert set(between.glob("tables-*/*")) == kept  # nothing but the results is left
     before = {p: p.stat().st_mtime_ns for p in out.rglob("part-*")}
     run_all(spark, str(source), str(out), str(source / "aliases.json"), ["Kool Gang The", "Delta", "Nobody"])
     assert {p: p.stat().st_mtime_ns for p in out.rglob("part-*")} == before

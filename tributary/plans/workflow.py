@@ -7,6 +7,7 @@ already complete is skipped, so an interrupted run picks up where it stopped.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,9 +96,9 @@ def _run(spark, dump, out, alias_path, ground_truth) -> dict[str, str]:
     report("cluster_bridges.csv", lambda: clusters.bridges(flows, labels))
     report("cluster_density.csv", lambda: clusters.densest(flows, labels))
 
-    nodes, near = subgraph.top_network(edges, scores, labels)
-    report("top_network_nodes.csv", lambda: nodes)
-    report("top_network_links.csv", lambda: near)
+    network = cache(lambda: subgraph.top_network(edges, scores, labels))
+    report("top_network_nodes.csv", lambda: network()[0])
+    report("top_network_links.csv", lambda: network()[1])
 
     hubs = keep("hubs.parquet", lambda: degree.hubs_of(both, scores, labels))
     report("bridge_artists.csv", lambda: degree.top_bridges(hubs))
