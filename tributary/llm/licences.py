@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import over_batches, utf8
+from tributary.llm.common import hash_sample, over_batches, utf8
 
 #: Notices by family, as their licences give or recommend them. Fixed values.
 TEMPLATES = {
@@ -279,11 +279,10 @@ class Scan:
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> Classifier:
-    """Trains on at most PARAGRAPHS lines (of at most LENGTH bytes) of the documents, those with the smallest hash."""
+    """Trains on at most PARAGRAPHS different lines (of at most LENGTH bytes) of the documents, those with the smallest hash."""
     lines = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
     short = lines.where((F.octet_length("line") <= LENGTH) & (F.length(F.trim("line")) > 0))
-    # copies of a line count as one, so the sample is drawn with some to spare; merging all lines would shuffle the corpus
-    some = short.orderBy(F.xxhash64("line"), "line").limit(4 * PARAGRAPHS).distinct().orderBy(F.xxhash64("line"), "line").limit(PARAGRAPHS).collect()
+    some = hash_sample(short, PARAGRAPHS).collect()
     return Classifier([r["line"].encode() for r in some])
 
 
