@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import over_batches
+from tributary.llm.common import hash_sample, over_batches
 
 #: Words in class, id and role that name boilerplate or content. Fixed values.
 BOILERPLATE = frozenset(
@@ -286,8 +286,8 @@ def train(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> np.ndarray:
-    """Weights from at most PAGES pages (smallest hash of url and html) and BLOCKS blocks of them."""
+def fit(pages: DataFrame, html_col: str = "html") -> np.ndarray:
+    """Weights from at most PAGES different pages (smallest hash of the html) and BLOCKS blocks of them."""
     names = ["f0", "f1", "f2", "f3", "f4"]
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -297,13 +297,8 @@ def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> np.nd
             x, y = features(page)[said != 0], (said[said != 0] > 0).astype(float)
             yield {**{n: x[:, k] for k, n in enumerate(names)}, "y": y}
 
-    key = F.xxhash64(url_col, html_col)
-    some = pages.where(F.col(html_col).isNotNull()).select(F.col(html_col).alias("h"), key.alias("k"))
-    # the least hashes first, then only those pages: no page travels for being sorted
-    last = some.select("k").orderBy("k").limit(PAGES).agg(F.max("k")).first()[0]
-    if last is None:
-        return np.zeros(5)
-    given = over_batches(some.where(F.col("k") <= last).select("h"), run, ", ".join(f"{n} double" for n in [*names, "y"]))
+    some = hash_sample(pages.where(F.col(html_col).isNotNull()).select(F.col(html_col).alias("h")), PAGES)
+    given = over_batches(some, run, ", ".join(f"{n} double" for n in [*names, "y"]))
     got = given.orderBy(*names, "y").limit(BLOCKS).toPandas().to_numpy(float)
     return train(got[:, :5], got[:, 5])
 
