@@ -220,7 +220,8 @@ def components(edges: DataFrame) -> DataFrame:
     seen = state(now)
     while seen[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # written, so that the join reads two plain sides and Spark can split a hub's links
+        least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         rest = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
