@@ -62,3 +62,25 @@ def test_a_workspace_leaves_nothing_behind(spark):
     assert not any(exists(spark, p) for p in paths)
     assert exists(spark, kept.written_at)
     discard(kept)
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    """A driver started elsewhere without a path setting still runs the functions shipped by name."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    script = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from tributary.session import build_session
+from tributary.operators import matching
+from tributary.sources.dumps import ranked_names
+spark = build_session("elsewhere", "local[1]", **{{"spark.ui.enabled": "false"}})
+scores = spark.createDataFrame([("a b", 1.0)], "artist string, authority_score double")
+print("FOUND", matching.similar(ranked_names(spark, ["b a"]), matching.candidates(scores)).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "FOUND 1" in run.stdout, run.stderr[-2000:]

@@ -15,7 +15,7 @@ from tributary.operators.context import top_scored
 from tributary.operators.ranking import spearman
 from tributary.operators.skew import positions, spread_join
 from tributary.operators.statistics import long_report
-from tributary.session import cut, discard
+from tributary.session import cut, discard, share_code
 
 # The outside list, most reused artists first.
 GROUND_TRUTH = [
@@ -48,6 +48,7 @@ def similar(truth: DataFrame, pool: DataFrame, threshold: int = 85, list_names:
     names at a time. Each name is cleaned and split once per task, and the
     letters of two names are only compared if their lengths allow the score.
     """
+    share_code(pool.sparkSession)
     listed = truth.where(F.col("ground_truth").isNotNull()).select("ground_truth", F.col("ground_truth_rank").cast("int").alias("ground_truth_rank"))
     passes = max(1, math.ceil(listed.count() / list_names))
     facts = pool.select(F.col("artist").cast("string").alias("artist"), "system_rank", "authority_score").where(F.col("artist").isNotNull())

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.operators.skew import positions, spread_join
+from tributary.session import share_code
 
 
 def add_ranks(df: DataFrame, score: str, tie_break: str, prefix: str, descending: bool = True) -> DataFrame:
@@ -113,6 +114,7 @@ def beta_fraction(a: float, b: float, x: float) -> float:
 
 def spearman(df: DataFrame, left: str, right: str, tie_break: str, alpha: float = 0.05) -> DataFrame:
     """One row (rho, p_value, n, not_significant); rho and p are NaN for fewer than two rows."""
+    share_code(df.sparkSession)
     ranked = add_ranks(df.select(*dict.fromkeys([tie_break, left, right])), left, tie_break, "l", descending=False)
     ranked = add_ranks(ranked, right, tie_break, "r", descending=False)
     nan = F.lit(float("nan"))

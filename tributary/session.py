@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,19 @@ def build_session(app: str = "tributary", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started.
+
+    Functions that run in workers are shipped by name. On a cluster without this path
+    the package comes by `--py-files` or is installed, and the entry does no harm.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for tables and lineage cuts, read from the session.
 

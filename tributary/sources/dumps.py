@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.session import share_code
+
 # The columns of the dump files in file order. Files may hold
 # more columns to the right; the reader ignores them.
 SCHEMAS = {
@@ -56,6 +58,7 @@ def read_alias_map(spark: SparkSession, path: str) -> DataFrame:
     seen = lines.agg(F.count("*").alias("all"), F.count_if(fits).alias("entries")).first()
     if seen["all"] == seen["entries"]:
         return lines.select("e.variant", "e.canonical")
+    share_code(spark)
     files = spark.read.text(path, wholetext=True).where(F.trim("value") != "")
     return files.mapInPandas(alias_objects, "variant string, canonical string")
 
