@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tributary.llm.common import fold_bucket, utf8
+from tributary.llm.common import fold_bucket, hash_sample, utf8
+from tributary.session import share_code
 
 SYMBOLS = b"#*$%&|<>"
 CAPITALS = bytes(range(65, 91))
@@ -103,6 +104,7 @@ def with_stats(docs: DataFrame, text_col: str = "text", keep: list[str] | None =
     """The rows with their counts; `keep` names the columns to keep (all)."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    share_code(docs.sparkSession)
     columns = [c for c in (docs.columns if keep is None else keep) if c not in COUNTS]
     given = docs.select(*[F.col(f"`{c}`") for c in columns], utf8(text_col).alias("_t"))
     schema = StructType(given.schema.fields[:-1] + [StructField(c, LongType()) for c in COUNTS])
@@ -132,16 +134,13 @@ def features(counts: np.ndarray) -> np.ndarray:
 def sample(
     docs: DataFrame, labels: DataFrame, label: str, rows: int, folds: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(features, labels) of at most `rows` labelled rows of the training folds: those with the smallest hash of their id.
+    """(features, labels) of at most `rows` labelled rows of the training folds: those with the smallest hash.
 
     Rows whose crc32(id as text) mod `folds` is 0 are held out. At most `rows`
     ids are broadcast and as many rows of counts collected.
     """
-    chosen = (
-        labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & (fold_bucket(id_col, folds) != 0))
-        .select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label"))
-        .orderBy(F.xxhash64("_id"), "_id", "_label").limit(rows)
-    )
+    usable = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & (fold_bucket(id_col, folds) != 0))
+    chosen = hash_sample(usable.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label")), rows)
     found = docs.select(F.col(id_col).alias("_id"), text_col).join(F.broadcast(chosen), "_id")
     table = with_stats(found, text_col, ["_id", "_label"])
     # copies of a document in `docs` may add rows; the same rule bounds them
