@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.session import share_code
+
 #: Rows that a task hands back to Spark at once.
 ROWS_OUT = 20_000
 
@@ -49,8 +51,10 @@ def over_batches(
 
 
 def arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
+    """The Arrow form of a schema; every frame that runs Python here asks for it, so the code is shared first."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    share_code(df.sparkSession)
     return to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
 
