@@ -67,6 +67,8 @@ class BatchMapper:
             if batch.num_rows:
                 for columns in self.function(batch):
                     yield as_batch(columns, self.schema)
+                del batch
+                pa.default_memory_pool().release_unused()
 
 
 def as_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:

@@ -64,6 +64,8 @@ class Cut:
                     held = 0
             if rows["row"]:
                 yield self.out(batch, rows, task)
+            del batch
+            pa.default_memory_pool().release_unused()
 
     def out(self, batch: pa.RecordBatch, rows: dict, task: int) -> pa.RecordBatch:
         at = pa.array(rows["row"], pa.int64())

@@ -98,6 +98,8 @@ class Measure:
                 found = np.array([stats(t.as_py()) for t in batch.column(batch.num_columns - 1)], np.int64)
                 counts = [pa.array(found[:, k]) for k in range(len(COUNTS))]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *counts], schema=self.schema)
+                del batch, counts
+                pa.default_memory_pool().release_unused()
 
 
 def with_stats(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +41,7 @@ class ByteLevel:
     PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
             said = json.load(file)
         self.special = [t["content"] for t in said["added_tokens"]]
@@ -71,6 +68,13 @@ class ByteLevel:
         ranks = {bytes(byte[c] for c in t): i for t, i in vocabulary.items() if t not in self.special}
         return tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def library(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)  # loaded by the first text that needs it
+
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a text, without added special tokens."""
         if self.fast is None or self.OTHER.search(text) or any(s in text for s in self.special):
