@@ -53,6 +53,7 @@ def test_a_workspace_leaves_nothing_behind(spark):
     paths = []
     with pytest.raises(ValueError), workspace(spark):
         one = handoff(spark.range(3), "x")
+        result = handoff(one, "result", keep=True)
         with workspace(spark):
             paths.append(cut(spark.range(2).select("id")).written_at)
         assert not exists(spark, paths[0])
@@ -60,8 +61,8 @@ def test_a_workspace_leaves_nothing_behind(spark):
         assert one.select("id").count() == 3
         raise ValueError
     assert not any(exists(spark, p) for p in paths)
-    assert exists(spark, kept.written_at)
-    discard(kept)
+    assert exists(spark, kept.written_at) and result.count() == 3
+    discard(kept, result)
 
 
 def test_workers_find_the_package_from_any_folder(tmp_path):

@@ -52,6 +52,7 @@ def similar(truth: DataFrame, pool: DataFrame, threshold: int = 85, list_names:
     listed = truth.where(F.col("ground_truth").isNotNull()).select("ground_truth", F.col("ground_truth_rank").cast("int").alias("ground_truth_rank"))
     passes = max(1, math.ceil(listed.count() / list_names))
     facts = pool.select(F.col("artist").cast("string").alias("artist"), "system_rank", "authority_score").where(F.col("artist").isNotNull())
+    facts = facts.repartition(pool.sparkSession.sparkContext.defaultParallelism, "artist")  # a written ranking may be one file
     schema = "artist string, system_rank int, authority_score double, ground_truth string, ground_truth_rank int, match_score int"
     found = []
     for k in range(passes):

@@ -72,16 +72,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return current.get()
 
 
-def handoff(df: DataFrame, name: str) -> DataFrame:
+def handoff(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write `df` as a Parquet table in the shared folder and read it back.
 
     Stages pass tables on this way: readers prune columns, Catalyst plans with
-    true sizes, and nothing upstream runs again when an executor is lost.
+    true sizes, and nothing upstream runs again when an executor is lost. With `keep`
+    the table outlives the workspace it is written in.
     """
     spark = df.sparkSession
     root = checkpoint_root(spark)
     path = f"{root}/tables-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    if _open:
+    if _open and not keep:
         _open[-1].append(path)
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
