@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm.common import arrow_schema, as_batch, lower_words, over_batches, runs, utf8
 from tributary.operators.skew import spread_join
-from tributary.session import cut
+from tributary.session import cut, discard
 
 BITS = 64
 #: Differing bits that still link. The code below is built for this value.
@@ -225,7 +225,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         rest = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = cut(low.select("a", F.col("m").alias("b")).unionByName(rest).distinct())
+        before, now = now, cut(low.select("a", F.col("m").alias("b")).unionByName(rest).distinct())
+        discard(before, least)
         if (then := state(now)) == seen:
             break
         seen = then
