@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import decision_list, decontaminate, packing, rule_ensemble, simhash
-from tributary.session import handoff
+from tributary.session import discard, handoff, workspace
 
 TOKENIZER = "byte_bpe_50k.json"
 #: A document stays if the classifier gives it at least this.
@@ -65,8 +65,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table documents; each stage's rows are written before the next reads them."""
+    """All stages over the table documents; each stage's rows are written before the next reads them.
+
+    What a stage wrote for itself is deleted when its rows are written, and its input after that.
+    """
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = handoff(stage(spark, docs, sf_dir), name)
+        with workspace(spark):
+            before, docs = docs, handoff(stage(spark, docs, sf_dir), name, keep=True)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
