@@ -59,7 +59,7 @@ class Cut:
                     rows["place"].append(seen[length])
                     seen[length] += 1
                 held += len(ids)
-                if held > 1 << 24:
+                if held > 1 << 22:
                     yield self.out(batch, rows, task)
                     held = 0
             if rows["row"]:
