@@ -81,3 +81,36 @@ def test_table(spark):
     body = "Body text here."
     assert got == sorted([(1, "u", body), (1, "u", body), (None, None, body), (2, "v", ""), (3, "w", ""), (4, "w", " ".join(["long text."] * 3000))], key=repr)
     assert rows(html.extract(df.limit(0), html.fit(df.limit(0)))) == []
+
+
+#: Prose counts for about 2.8, a link list for -3.
+PROSE = np.array([-9.0, 1.0, 1.0, 0.0, -2.5])
+LONG = "A long sentence with many words in it, as the articles of a page have them."
+MENU = "<ul><li><a href=x>Home</a></li><li><a href=y>About</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        (f"<div class='layout has-sidebar'>{MENU}<p>{LONG}</p><p>{LONG}</p></div>", f"{LONG} {LONG}"),
+        (f"<div class='page sidebar'><article><p>{LONG}</p><p>Ok</p></article></div>", f"{LONG} Ok"),
+        (f"<article class='post share-enabled'><p>{LONG}</p><p>Ok</p></article>", f"{LONG} Ok"),
+        (f"<form id=aspnetForm><article><p>{LONG}</p></article><nav>{MENU}</nav></form>", LONG),
+        (f"<div class='wrap no-comments'><div class='entry-content'><p>Ok</p></div><div class='widget'>{MENU}</div></div>", "Ok"),
+        (f"<article><p>{LONG}</p></article><div class=comments><article><p>First!</p></article></div>", LONG),
+        (f"<article><p>{LONG}</p><aside><article>{LONG}</article></aside></article><div class=ad>Buy!</div>", LONG),
+    ],
+)
+def test_a_listed_word_on_a_wrapper_loses_no_text(source, expected):
+    assert text(source, PROSE) == expected
+
+
+def test_text_and_edges_outvote_cues():
+    page = html.Page(f"<article><p>{LONG}</p><div class=notice>{LONG}</div><p>{LONG}</p></article><div class=notice>Sale</div>")
+    assert [b[3] > 0 for b in page.blocks] == [True, False, True, False]
+    assert html.labels(page, PROSE) == [True, True, True, False]
+    inside = html.Page(f"<article><p>{LONG}</p>{MENU}<p>{LONG}</p></article>")
+    strict = PROSE * [2, 1, 1, 1, 1]
+    assert html.labels(inside, NONE) == [True] * 4
+    assert all(abs(b[3]) < html.LIMIT + 2 * html.BESIDE + html.INSIDE for b in inside.blocks + page.blocks)
+    assert html.labels(html.Page(f"<div class=text>{MENU}</div>"), strict) == [False, False]

@@ -2,9 +2,9 @@
 
 A page is read into blocks of text and the containers around them. Every block gets two costs, for being called content and for being
 called boilerplate: a logistic classifier over the text (links, length, sentence ends), trained on blocks whose containers say what they are, and a
-fixed weight for what the containers say. These costs are capacities to the two terminals. Neighbouring blocks are joined by an edge, weaker
-the farther apart they are in the tree, and each block is joined to its container and each container to the next one, so that a
-label changes where that is cheap. The minimum cut labels all blocks at once.
+fixed weight for what the containers say, which a sure classifier and the neighbours can outvote. These costs are capacities to the
+two terminals. Neighbouring blocks are joined by an edge, weaker the farther apart they are in the tree, and each block is joined
+to its container and each container to the next one, so that a label changes where that is cheap. The minimum cut labels all blocks at once.
 
 Blocks and containers whose own costs outweigh all their edges must take their own side in a minimum cut; they are settled first,
 in turn, and their edges become costs of their neighbours. Maximum flow runs on what is left.
@@ -36,6 +36,7 @@ BOILERPLATE = frozenset(
     "signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
 CONTENT = frozenset("article articlebody content entry main post story text".split())
+LISTED = BOILERPLATE | CONTENT
 BAD_TAGS = frozenset("nav header footer aside form menu dialog button select textarea fieldset option label".split())
 GOOD_TAGS = frozenset(["article", "main"])
 CONTAINERS = frozenset(
@@ -53,21 +54,25 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
-#: What a container's word is worth against the classifier, whose part is at most LIMIT; weights of edges.
-CUE, LIMIT, BESIDE, INSIDE, ABOVE = 6.0, 3.0, 1.0, 0.5, 0.25
+#: Of those, the ones whose articles are other people's.
+REPLIES = frozenset("comment comments discussion disqus recommended related replies reply respond".split())
+#: What a tag, a class, id or role of listed words, and one with other words in it ("has-sidebar") are worth against the
+#: classifier, whose part is at most LIMIT; weights of edges. The text alone can outvote the words, text and edges a tag.
+TAGGED, WORDED, HINTED, LIMIT, BESIDE, INSIDE, ABOVE = 3.5, 2.5, 1.5, 3.0, 1.0, 0.5, 0.25
 #: Pages and blocks that the classifier is trained on.
 PAGES, BLOCKS = 2_000, 100_000
 
 
 class Page:
-    """blocks: (text, container, characters in links, what its tags say: 1, -1 or 0); up: container -> its container."""
+    """blocks: (text, container, characters in links, what its tags say: above 0 for content); up: container -> its container."""
 
     def __init__(self, source: str) -> None:
-        self.blocks: list[tuple[str, int, int, int]] = []
+        self.blocks: list[tuple[str, int, int, float]] = []
         self.up, self.depth = [0], [0]
-        said, names, stack = [0], [""], [0]
+        said, firm, names, stack = [0.0], [False], [""], [0]
         parts: list[str] = []
-        leaf = linked = at = 0
+        leaf = 0.0
+        linked = at = 0
         link = False
 
         def close() -> None:
@@ -99,7 +104,7 @@ class Page:
                 link = not closing
             elif name in CONTAINERS:
                 close()
-                leaf, link = 0, False
+                leaf, link = 0.0, False
                 if closing:
                     for k in range(len(stack) - 1, 0, -1):
                         if names[stack[k]] == name:
@@ -109,33 +114,68 @@ class Page:
                     here = stack[-1]
                     self.up.append(here)
                     self.depth.append(self.depth[here] + 1)
-                    said.append(cue(name, m[3], said[here]))
+                    says, holds = cue(name, m[3], said[here], firm[here])
+                    said.append(says)
+                    firm.append(holds)
                     names.append(name)
                     stack.append(len(self.up) - 1)
             elif name in LEAVES:
                 close()
-                leaf = 0 if closing or not m[3] or name == "br" else min(0, cue(name, m[3], 0))
+                leaf = 0.0 if closing or not m[3] or name == "br" else min(0.0, cue(name, m[3], 0.0, False)[0])
             elif name in HIDDEN and not closing and not m[3].endswith("/"):
                 over = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(source, at)
                 at = over.end() if over else end
         close()
 
 
-def cue(name: str, attributes: str, outer: int) -> int:
-    """What a container says of its text, given what the one around it says. Boilerplate keeps what is inside it, save `main`."""
+def cue(name: str, attributes: str, outer: float, firm: bool) -> tuple[float, bool]:
+    """What a container says of its text, and whether that holds for the articles in it, given both of the one around it.
+
+    Boilerplate keeps what is inside it, save `main`; an `article` leaves the boilerplate of a class, id or role again, unless that
+    holds replies. A hint gives way to any other word.
+    """
     if name in ("html", "body"):
-        return 0
-    words: set[str] = set()
+        return 0.0, False
+    good, bad, replies = words_said(attributes)
+    if name in BAD_TAGS and not (name in ("header", "label") and outer > 0):
+        return -TAGGED, name != "form"
+    if name == "main":
+        return TAGGED, False
+    if outer < 0 and firm:
+        return outer, True
+    if replies and good < WORDED:
+        return -WORDED, True
+    if name == "article":
+        return (-WORDED, False) if bad >= WORDED > good else (TAGGED, False)
+    if bad >= WORDED > good:
+        return -WORDED, False
+    if good >= WORDED > bad:
+        return (outer if outer <= -WORDED else max(outer, WORDED)), False
+    if bad:
+        return min(outer, -HINTED), False
+    return (outer if outer < 0 else max(outer, good)), False
+
+
+def words_said(attributes: str) -> tuple[float, float, bool]:
+    """How much a tag's class, id and role speak for content and for boilerplate, and whether they name replies.
+
+    A name of listed words only counts in full, also in parts ("cookie-notice"); one with other words in it is a hint.
+    """
+    good = bad = 0.0
+    replies = False
     if attributes and "=" in attributes:
         for m in ATTRIBUTE.finditer(attributes):
-            words.update(re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()))
-    if name in BAD_TAGS and not (name in ("header", "label") and outer > 0) or words & BOILERPLATE:
-        return -1
-    if name == "main":
-        return 1
-    if name in GOOD_TAGS or words & CONTENT:
-        return -1 if outer < 0 else 1
-    return outer
+            for name in (m[1] or m[2] or m[3] or "").lower().split():
+                words = set(re.split(r"[^a-z0-9]+", name)) - {""}
+                if not words & LISTED:
+                    continue
+                worth = WORDED if words <= LISTED else HINTED
+                if words & BOILERPLATE:
+                    bad = max(bad, worth)
+                    replies = replies or (worth == WORDED and bool(words & REPLIES))
+                else:
+                    good = max(good, worth)
+    return good, bad, replies
 
 
 def features(page: Page) -> np.ndarray:
@@ -258,7 +298,7 @@ def max_flow_side(gain: list[float], edges: list[tuple[int, int, float]]) -> lis
 def labels(page: Page, weights: np.ndarray) -> list[bool]:
     """True for the blocks that are content."""
     text = np.clip(features(page) @ weights, -LIMIT, LIMIT)
-    gain = [float(g) + CUE * block[3] for g, block in zip(text, page.blocks)]
+    gain = [float(g) + block[3] for g, block in zip(text, page.blocks)]
     return minimum_cut(gain + [0.0] * len(page.up), list(edges_of(page)))[: len(page.blocks)]
 
 
@@ -271,14 +311,18 @@ def main_text(source: str, weights: np.ndarray) -> str:
 
 
 def train(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights of a logistic regression with a small square penalty, by Newton steps; zeros without both kinds."""
+    """Weights of a logistic regression with a small square penalty, by Newton steps; zeros without both kinds.
+
+    Both kinds count the same in all, so that the text does not repeat what the cues say by being frequent.
+    """
     w = np.zeros(5)
     if not len(y) or y.min() == y.max():
         return w
+    share = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (y - p) - w
-        curve = (x * (p * (1 - p))[:, None]).T @ x + np.eye(5)
+        slope = x.T @ (share * (y - p)) - w
+        curve = (x * (share * p * (1 - p))[:, None]).T @ x + np.eye(5)
         step = np.linalg.solve(curve, slope)
         w += step
         if np.abs(step).max() < 1e-8:
@@ -293,8 +337,9 @@ def fit(pages: DataFrame, html_col: str = "html") -> np.ndarray:
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         for source in batch.column(0):
             page = Page(source.as_py())
-            said = np.array([b[3] for b in page.blocks], int)
-            x, y = features(page)[said != 0], (said[said != 0] > 0).astype(float)
+            said = np.array([b[3] for b in page.blocks], float)
+            plain = np.abs(said) >= WORDED
+            x, y = features(page)[plain], (said[plain] > 0).astype(float)
             yield {**{n: x[:, k] for k, n in enumerate(names)}, "y": y}
 
     some = hash_sample(pages.where(F.col(html_col).isNotNull()).select(F.col(html_col).alias("h")), PAGES)
