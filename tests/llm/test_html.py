@@ -114,3 +114,22 @@ def test_text_and_edges_outvote_cues():
     assert html.labels(inside, NONE) == [True] * 4
     assert all(abs(b[3]) < html.LIMIT + 2 * html.BESIDE + html.INSIDE for b in inside.blocks + page.blocks)
     assert html.labels(html.Page(f"<div class=text>{MENU}</div>"), strict) == [False, False]
+
+
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        ("<html><head><title>T</title><body><article><p>Body.</article>", "Body."),
+        ("<!doctype html><head><meta charset=utf-8><title>T</title><style>p{}</style><article><p>Body.<p>More.</article>", "Body. More."),
+        ("<head><title>T</title><script>var t='<body>';</script><noscript><img></noscript><main>Body.<header>H</header>", "Body. H"),
+        ("<head><title>T</title></head><body><header>Site</header><article>Body.</article>", "Body."),
+        ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be even.</p></article>", "Let x=2 be even."),
+        ("<article><math><semantics><mi>y</mi><annotation encoding=tex>\\y</annotation></semantics></math> holds.</article>", "y holds."),
+        ("<article>A <video src=v><p>No video: <a href=v>file</a>.</p></video> B</article>", "A No video: file. B"),
+        ("<article><object data=o><p>A map.</p></object><canvas>A chart.</canvas><audio>A song.</audio></article>", "A map. A chart. A song."),
+        ("<article>Before <object data=o> after.</article>", "Before after."),
+        ("<article>a<svg><title>s</title><text>t</text></svg>b<template>c</template><iframe>d</iframe></article>", "ab"),
+    ],
+)
+def test_omitted_end_tags_and_fallback_text(source, expected):
+    assert text(source) == expected

@@ -46,8 +46,11 @@ CONTAINERS = frozenset(
 LEAVES = frozenset(
     "p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre figcaption caption summary legend thead tbody tfoot br hr".split()
 )
-#: Elements whose inside is not text of the page.
-HIDDEN = frozenset("script style title noscript template iframe svg math object canvas audio video head".split())
+#: Elements whose inside is not text of the page. A head needs no end tag and holds no text but in these; formulas and what stands in
+#: object, canvas, audio or video for browsers that cannot show those are text, the source code of a formula is not.
+HIDDEN = frozenset("script style title noscript template iframe svg annotation annotation-xml".split())
+#: Elements that stand between words.
+SHOWN = frozenset("object canvas audio video".split())
 
 TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[!?][^>]*(?:>|\Z)|/?[a-zA-Z][^>]*(?:>|\Z))", re.S
@@ -122,6 +125,8 @@ class Page:
             elif name in LEAVES:
                 close()
                 leaf = 0.0 if closing or not m[3] or name == "br" else min(0.0, cue(name, m[3], 0.0, False)[0])
+            elif name in SHOWN:
+                parts.append(" ")
             elif name in HIDDEN and not closing and not m[3].endswith("/"):
                 over = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(source, at)
                 at = over.end() if over else end
