@@ -133,3 +133,14 @@ def test_text_and_edges_outvote_cues():
 )
 def test_omitted_end_tags_and_fallback_text(source, expected):
     assert text(source) == expected
+
+
+def test_more_blocks_than_the_sample_holds(spark, monkeypatch):
+    monkeypatch.setattr(html, "BLOCKS", 400)
+    links = "".join(f"<li><a href=x>Go to another page {k}</a></li>" for k in range(30))
+    prose = "".join(f"<p>{LONG} {k}</p>" for k in range(30))
+    many = [(f"<nav><ul>{links}</ul></nav><article><h1>Page {k}</h1>{prose}</article>",) for k in range(40)]
+    weights = html.fit(spark.createDataFrame(many, "html string"))
+    assert weights[0] < -1
+    assert text(f"<div><ul>{links}</ul></div><div>{prose}</div>", weights).startswith(LONG)
+    assert (html.fit(spark.createDataFrame(many, "html string").repartition(3)) == weights).all()

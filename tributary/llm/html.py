@@ -336,20 +336,22 @@ def train(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def fit(pages: DataFrame, html_col: str = "html") -> np.ndarray:
-    """Weights from at most PAGES different pages (smallest hash of the html) and BLOCKS blocks of them."""
+    """Weights from at most PAGES different pages (smallest hash of the html) and BLOCKS blocks of them (smallest hash of page and place)."""
     names = ["f0", "f1", "f2", "f3", "f4"]
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        for source in batch.column(0):
+        for number, source in zip(batch.column(0), batch.column(1)):
             page = Page(source.as_py())
             said = np.array([b[3] for b in page.blocks], float)
             plain = np.abs(said) >= WORDED
             x, y = features(page)[plain], (said[plain] > 0).astype(float)
-            yield {**{n: x[:, k] for k, n in enumerate(names)}, "y": y}
+            place = {"page": np.full(len(y), number.as_py()), "place": np.flatnonzero(plain)}
+            yield {**place, **{n: x[:, k] for k, n in enumerate(names)}, "y": y}
 
     some = hash_sample(pages.where(F.col(html_col).isNotNull()).select(F.col(html_col).alias("h")), PAGES)
-    given = over_batches(some, run, ", ".join(f"{n} double" for n in [*names, "y"]))
-    got = given.orderBy(*names, "y").limit(BLOCKS).toPandas().to_numpy(float)
+    numbered = some.select(F.xxhash64("h").alias("page"), "h")
+    given = over_batches(numbered, run, "page long, place long, " + ", ".join(f"{n} double" for n in [*names, "y"]))
+    got = hash_sample(given, BLOCKS).select(*names, "y").toPandas().to_numpy(float)
     return train(got[:, :5], got[:, 5])
 
 
