@@ -81,3 +81,28 @@ def test_planted_notices_are_found(spark):
         got = [(f["paragraph"], f["family"]) for f in found[r["doc_id"]]]
         assert set(expected) <= set(got), r["doc_id"]
         assert all(re.search("licen|public", lines[k], re.I) for k, _ in got)
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(["the", "of", "a", "to", "in", "license", "software", *(f"w{k}" for k in range(200))], n))
+
+
+def test_every_notice_in_long_lines(spark, classifier):
+    rng = np.random.default_rng(14)
+    every = [(family, t) for family, notices in licences.TEMPLATES.items() for t in notices]
+    data = []
+    for family, t in every:
+        data.append((len(data), prose(rng, 250) + ". " + t + " " + prose(rng, 250), [family]))
+    for n in (500, 20_000):
+        for family, t in every[::7]:
+            data.append((len(data), " ".join([prose(rng, n // 3), t, prose(rng, n // 3), every[-9][1], prose(rng, n // 3)]), [family, every[-9][0]]))
+        data.append((len(data), prose(rng, n), []))
+    both = "Released under the MIT License. {}Licensed under the Apache License, Version 2.0."
+    data += [(len(data) + k, both.format(x), ["mit", "apache"]) for k, x in enumerate(["", "Parts of it: ", prose(rng, 60) + " "])]
+    for (a, t), (b, u) in [(every[k], every[(k * 5 + 11) % len(every)]) for k in range(len(every))]:
+        data.append((len(data), f"{t} {u}", [a, b]))
+    data.append((len(data), " ".join(f"{t} {prose(rng, 30)}" for _, t in every), [f for f, _ in every]))
+    df = spark.createDataFrame([r[:2] for r in data], "doc_id long, text string")
+    got = {r["id"]: [f["family"] for f in r["found"]] for r in licences.scan(df, classifier).collect()}
+    wrong = [(k, expected, got[k], t[:200]) for k, t, expected in data if sorted(got[k]) != sorted(set(expected))]
+    assert wrong == []

@@ -6,12 +6,18 @@ names a licence family or `unknown`. It is trained here: on the templates below
 of `unknown` among them. A family is reported only if comparison with its templates confirms it: enough of a template's word pairs stand
 in the paragraph, or nearly all of the paragraph's pairs stand in a template (a wrapped line).
 
+A paragraph may be long and hold several notices. So every stretch of a template's length that has enough of its pairs is classified by
+itself as well, and the families that are likely there are reported too, each once a paragraph. Of stretches that overlap the best one counts; a
+family of the whole paragraph gives way if its own stretches all lost.
+
 Whole texts are read, however long. Null and empty texts have no paragraphs. Documents are independent: nothing is shuffled when scoring.
 Repeated rows stay repeated, null ids are kept, other columns are not read. An empty table gives an empty result and is trained without corpus paragraphs.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -105,6 +111,8 @@ UNKNOWN = "unknown"
 PARAGRAPHS, LENGTH, VARIANTS, WORDS = 4_000, 2_000, 24, 3
 #: Share of word pairs that confirms a family: of a template's pairs, or of the paragraph's if it has at least this many.
 CONFIRM, CONFIRM_PART, PART_PAIRS = 0.6, 0.9, 5
+#: Least probability of a family in a stretch; most words of a stretch for each word of the template, and besides.
+LIKELY, STRETCH, BESIDES = 0.25, 1.25, 3
 
 #: Letters, digits and other scripts stay (A-Z as a-z), line ends stay, the rest separates words.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 or b == 10 else 32 for b in range(256))
@@ -133,6 +141,32 @@ def similarity(pairs: frozenset, templates: list[frozenset]) -> float:
     return best
 
 
+def stretches(at: list[int], pairs: list[tuple], need: int, most: int) -> Iterator[tuple[int, int, int]]:
+    """(different pairs, first word, word behind the last) of the best stretches with at least `need` different pairs and at most `most` words.
+
+    `at` has the places of the pairs. Of stretches that share a pair the one with the most different pairs is kept, of these the shortest.
+    """
+    count: Counter = Counter()
+    best, low = None, 0
+    for place, pair in zip(at, pairs):
+        count[pair] += 1
+        while place + 2 - at[low] > most or count[pairs[low]] > 1:
+            count[pairs[low]] -= 1
+            if not count[pairs[low]]:
+                del count[pairs[low]]
+            low += 1
+        if len(count) < need:
+            continue
+        here = (len(count), at[low], place + 2)
+        if best and here[1] >= best[2] - 1:
+            yield best
+            best = None
+        if not best or (here[0], best[2] - best[1]) > (best[0], here[2] - here[1]):
+            best = here
+    if best:
+        yield best
+
+
 class Classifier:
     """Weights by n-gram and class, and the templates to compare with."""
 
@@ -142,6 +176,12 @@ class Classifier:
         self.templates = {c: [pairs_of(w) for k, w in notices if k == c] for c in self.classes[:-1]}
         self.features = {g: k for k, g in enumerate(sorted(set().union(*[grams(w) for _, w in notices])))}
         every = [t for ts in self.templates.values() for t in ts]
+        self.notices = [(c, len(t), int(STRETCH * len(w)) + BESIDES) for (c, w), t in zip(notices, every)]
+        self.need = np.array([next(n for n in range(len(t) + 1) if n / len(t) >= CONFIRM) for t in every])
+        self.within: dict[tuple, list[int]] = {}
+        for k, t in enumerate(every):
+            for pair in t:
+                self.within.setdefault(pair, []).append(k)
         others = [w for w in map(words_of, corpus) if w and similarity(pairs_of(w), every) < 0.3]
         rng = np.random.default_rng(seed)
         filler = sorted({x for w in others[:200] for x in w}) or [b"filler"]
@@ -171,6 +211,9 @@ class Classifier:
         for n in range(1, WORDS + 1):
             some = sorted((self.key([self.number[w] for w in g]), k) for g, k in self.features.items() if len(g) == n)
             self.tables.append((np.array([a for a, _ in some], np.int64), np.array([b for _, b in some], np.int64)))
+        lists = [self.within.get(g, []) for g in sorted(self.features, key=self.features.get)]
+        self.holders = np.array([len(x) for x in lists])
+        self.starts, self.held = np.cumsum(self.holders) - self.holders, np.array([k for x in lists for k in x], np.int64)
 
     def key(self, numbers: list[int]) -> int:
         out = 0
@@ -178,8 +221,9 @@ class Classifier:
             out = out * self.base + x
         return out
 
-    def logits(self, ids: np.ndarray, paragraph: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Of paragraphs; ids: word numbers with -1 behind each paragraph, paragraph: which one each is in, size: words of each."""
+    def logits(self, ids: np.ndarray, paragraph: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of paragraphs, and which of them have enough pairs of a template for a stretch; ids: word numbers with -1 behind each
+        paragraph, paragraph: which one each is in, size: words of each."""
         cells: list = []
         live = np.flatnonzero(ids > 0)
         key = np.zeros(len(live), np.int64)
@@ -198,7 +242,55 @@ class Classifier:
             some = slice(at, at + (1 << 18))
             first = np.flatnonzero(np.diff(which[some], prepend=-1))
             out[which[some][first]] += np.add.reduceat(self.weights[feature[some]], first, axis=0)
-        return out * scale(size)[:, None] + self.weights[-1]
+        return out * scale(size)[:, None] + self.weights[-1], self.near(which, feature)
+
+    def near(self, which: np.ndarray, feature: np.ndarray) -> np.ndarray:
+        """Paragraphs with enough pairs of a template; which: the paragraph, in order, that holds the feature."""
+        out = [np.zeros(0, np.int64)]
+        bounds = np.flatnonzero(np.diff(which, prepend=-1))
+        bounds = np.append(bounds[np.diff(bounds >> 18, prepend=-1) > 0], len(which))  # whole paragraphs at a time
+        for a, b in zip(bounds, bounds[1:]):
+            n = self.holders[feature[a:b]]
+            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            template = self.held[np.repeat(self.starts[feature[a:b]], n) + nth]
+            cells, pairs = np.unique(np.repeat(which[a:b], n) * len(self.need) + template, return_counts=True)
+            out.append(np.unique(cells[pairs >= self.need[cells % len(self.need)]] // len(self.need)))
+        return np.concatenate(out)
+
+    def chances(self, words: list[bytes]) -> list[float]:
+        """Probabilities of the classes."""
+        some = [self.features[g] for g in grams(words) if g in self.features]
+        return softmax((self.weights[some].sum(axis=0) * scale(len(words)) + self.weights[-1])[None])[0].tolist()
+
+    def inside(self, words: list[bytes]) -> tuple[dict[str, tuple[float, float]], set[str]]:
+        """Probability and similarity of the families that stretches of a paragraph hold, by place; the families of all stretches."""
+        places: dict[int, tuple[list, list]] = {}
+        for i, pair in enumerate(zip(words, words[1:])):
+            for k in self.within.get(pair, ()):
+                at, pairs = places.setdefault(k, ([], []))
+                at.append(i)
+                pairs.append(pair)
+        chances: dict[tuple[int, int], list[float]] = {}
+        tried, likely = set(), []
+        for k, (at, pairs) in sorted(places.items()):
+            family, size, most = self.notices[k]
+            for both, a, b in stretches(at, pairs, int(self.need[k]), most):
+                tried.add(family)
+                if (a, b) not in chances:
+                    chances[a, b] = self.chances(words[a:b])
+                p = chances[a, b][self.classes.index(family)]
+                if p >= LIKELY:
+                    likely.append((-p * both / size * (both + 1) / (b - a), a, b, family, p, both / size))
+        taken, found = [], []
+        for _, a, b, *what in sorted(likely):
+            k = bisect_left(taken, (a, b))
+            if (k == 0 or taken[k - 1][1] <= a) and (k == len(taken) or b <= taken[k][0]):
+                taken.insert(k, (a, b))
+                found.append((a, *what))
+        best: dict[str, tuple[float, float]] = {}
+        for _, family, p, same in sorted(found):
+            best[family] = max(best.get(family, (0.0, 0.0)), (p, same))
+        return best, tried
 
 
 def scale(words):
@@ -259,21 +351,26 @@ class Scan:
         doc_ends = np.cumsum([len(p) for p in parts])[1::2] - 1
         last = np.searchsorted(ends, doc_ends)
         lines = np.diff(last, prepend=-1)
-        z = it.logits(ids, paragraph, size)
+        z, near = it.logits(ids, paragraph, size)
         best = z.argmax(axis=1)
         found: list[list] = [[] for _ in lines]
         first = np.cumsum(lines) - lines
-        maybe = np.flatnonzero((best < len(it.classes) - 1) & (size > 0))
+        near = set(near.tolist())
+        maybe = np.union1d(np.flatnonzero((best < len(it.classes) - 1) & (size > 0)), sorted(near)).astype(np.int64)
         owner = np.searchsorted(first, maybe, side="right") - 1
         sure = softmax(z[maybe]).max(axis=1) if len(maybe) else []
         split, at = None, -1
         for p, d, probability in zip(maybe.tolist(), owner.tolist(), sure):
             if d != at:
                 split, at = batch.column(1)[d].as_py().split(b"\n"), d
-            family = it.classes[best[p]]
-            same = similarity(pairs_of(words_of(split[p - int(first[d])])), it.templates[family])
-            if same >= CONFIRM:
-                found[d].append({"paragraph": p - int(first[d]), "family": family, "probability": float(probability), "similarity": same})
+            words, family = words_of(split[p - int(first[d])]), it.classes[best[p]]
+            held, tried = it.inside(words) if p in near else ({}, set())
+            if family != UNKNOWN and (not held or family in held or family not in tried):
+                same = similarity(pairs_of(words), it.templates[family])
+                if same >= CONFIRM:
+                    held = {family: (float(probability), same)} | {k: v for k, v in held.items() if k != family}
+            for family, (probability, same) in held.items():
+                found[d].append({"paragraph": p - int(first[d]), "family": family, "probability": probability, "similarity": same})
         some = np.add.reduceat((size > 0).astype(np.int64), first) if len(first) else []
         yield {"id": batch.column(0), "n_paragraphs": some, "found": found}
 
@@ -287,7 +384,8 @@ def fit(docs: DataFrame, text_col: str = "text") -> Classifier:
 
 
 def scan(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_paragraphs, found (paragraph counted in lines from 0, family, probability, similarity)."""
+    """One row per document: id, n_paragraphs, found (paragraph counted in lines from 0, family, probability, similarity; several
+    families of a paragraph in turn)."""
     shared = docs.sparkSession.sparkContext.broadcast(classifier)  # a few hundred kilobytes whatever the corpus
     kind = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("t"))
