@@ -78,3 +78,13 @@ def test_empty_tables(spark):
     items = spark.createDataFrame([("x", "a")], "item_id string, text string")
     assert found(spark, [(1, "a b")], []) == [(1, 2, [], 0, [])]
     assert rows(decontaminate.find(docs.limit(0), items)) == []
+
+
+def test_repeated_items_do_not_fill_a_block(spark):
+    data = [("a", "one two three four")] * 500 + [(f"i{k}", f"item{k} has five words here") for k in range(300)] + [(None, None)] * 50
+    df = spark.createDataFrame(data, "item_id string, text string")
+    blocks = list(decontaminate.blocks_of(df, "item_id", "text", 400))
+    assert [last for _, last in blocks] == [False] * (len(blocks) - 1) + [True] and len(blocks) > 5
+    assert max(sum(len(w) for _, w in items) for items, _ in blocks) <= 400
+    held = [(i, " ".join(x.decode() for x in w)) for items, _ in blocks for i, w in items]
+    assert sorted(held, key=repr) == sorted({(i, t or "") for i, t in data}, key=repr)

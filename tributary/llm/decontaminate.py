@@ -222,8 +222,8 @@ class Search:
 
 
 def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[tuple[list, bool]]:
-    """(items, is it the last) in blocks of bounded size, each read by its own job."""
-    items = benchmark.select(F.col(id_col).cast("string").alias("id"), utf8(text_col).alias("t"))
+    """(different items, is it the last) in blocks of bounded size, each read by its own job."""
+    items = benchmark.select(F.col(id_col).cast("string").alias("id"), utf8(text_col).alias("t")).distinct()
     # a word has a byte and a separator at least, so bytes bound words
     total = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     count = max(1, math.ceil(total / 2 / block_words))
