@@ -1325,14 +1325,21 @@ def io_alias_roundtrip(spark, sf):
     return dumps.read_alias_map(spark, folder)
 
 
+#: Names in one object, about.
+ALIASES = 100_000
+
+
 @query(f"with {cat.ALIAS_SQL} select * from alias_map")
 def io_alias_object(spark, sf):
-    """The map as one object over many lines, as people keep it, read back."""
+    """The map as objects over many lines, as people keep it, read back: one for each block of names, so none grows with the table."""
     folder = fresh_folder(spark)
+    table = cat.alias_table(spark, sf)
+    blocks = table.count() // ALIASES + 1
     pair = F.concat(F.to_json(F.array("variant")), F.lit(":"), F.to_json(F.array("canonical")))
     entry = F.regexp_replace(pair, r'^\["(.*)"\]:\["(.*)"\]$', '  "$1" : "$2"')
-    found = cat.alias_table(spark, sf).select(entry.alias("e")).agg(F.array_join(F.collect_list("e"), ",\n").alias("all"))
-    found.select(F.concat(F.lit("{\n"), "all", F.lit("\n}")).alias("value")).write.text(folder)
+    parts = table.select(F.pmod(F.xxhash64("variant"), F.lit(blocks)).alias("block"), entry.alias("e"))
+    found = parts.groupBy("block").agg(F.array_join(F.collect_list("e"), ",\n").alias("all"))
+    found.select("block", F.concat(F.lit("{\n"), "all", F.lit("\n}")).alias("value")).write.partitionBy("block").text(folder)
     return dumps.read_alias_map(spark, folder)
 
 

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from conftest import rows
 
@@ -93,3 +95,16 @@ def test_preview_and_csv(spark, tmp_path):
     assert sinks.preview(df, 2).count() == 2
     sinks.write_csv(df, str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).columns == df.columns
+
+
+def test_alias_objects_stay_small(spark, tmp_path, monkeypatch):
+    from parity import catalogue, queries
+
+    monkeypatch.setattr(queries, "ALIASES", 10, raising=False)
+    monkeypatch.setattr(queries, "fresh_folder", lambda session: str(tmp_path / "map"))
+    folder = "/root/testdata/sf0.001"
+    got = rows(queries.io_alias_object(spark, folder), "variant", "canonical")
+    assert got == rows(catalogue.alias_table(spark, folder), "variant", "canonical")
+    objects = [json.loads(p.read_text()) for p in (tmp_path / "map").rglob("part-*.txt")]
+    assert len(objects) > len(got) / 20 and sum(map(len, objects)) == len(got) > 20
+    assert max(map(len, objects)) <= 30
