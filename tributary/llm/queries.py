@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import (
+    collocations,
     decision_list,
     decontaminate,
     html,
@@ -216,3 +217,46 @@ def op5_licence_scan(spark, folder):
         F.concat_ws(",", families).alias("families"), F.array_min(F.transform("found", lambda f: f["paragraph"])).alias("first_notice"),
         F.array_max(F.transform("found", lambda f: f["probability"])).alias("probability"),
     )
+
+
+OP13 = """
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents
+), texts as (
+  select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces
+), starts as (
+  select lang, w, unnest(range(1, len(w) + 1)) as i from texts
+), counts as (
+  select lang, w[i:i + d - 1] as p, d, count(*) as f from (select *, unnest([1, 2, 3, 4]) as d from starts) where i + d - 1 <= len(w)
+  group by all
+), totals as (
+  select lang, sum(f) as n from counts where d = 1 group by lang
+), frequent as (
+  select * from counts where f >= 30
+), candidates as (
+  select lang, p, d, f as a from frequent where d > 1
+), cuts as (
+  select c.lang, c.p, c.d, c.a, k, x.f as l, y.f as r, 2000000 * c.a::hugeint // (x.f + y.f) as score
+  from (select *, unnest(range(1, d)) as k from candidates) c
+  join frequent x on x.lang = c.lang and x.p = c.p[1:k] join frequent y on y.lang = c.lang and y.p = c.p[k + 1:]
+), lowest as (
+  select * from cuts qualify row_number() over (partition by lang, p order by score, k) = 1
+), inner_parts as (
+  select lang, p[i:i + m - 1] as p, max(a) as longer
+  from (select *, unnest(range(1, d - m + 2)) as i from (select *, unnest(range(2, d)) as m from candidates)) group by all
+), ranked as (
+  select lang, array_to_string(p, ' ') as phrase, a, l, r, score
+  from lowest left join inner_parts using (lang, p) where longer is null or 100 * longer::hugeint < 80 * a::hugeint
+), placed as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from ranked
+)
+select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from placed join totals using (lang) where rank <= 2000
+"""
+
+
+@query(OP13)
+def op13_phrase_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
