@@ -12,6 +12,7 @@ from tributary.llm import (
     decontaminate,
     html,
     interpolation,
+    lexical,
     licences,
     packing,
     rule_ensemble,
@@ -260,3 +261,38 @@ select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from
 @query(OP13)
 def op13_phrase_collocations(spark, folder):
     return collocations.collocations(table(spark, folder, "documents"))
+
+
+OP11 = """
+with texts as (
+  select row_number() over () as row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+), lengths as (
+  select row, doc_id, len(w) as n from texts where len(w) > 0
+), facts as (
+  select count(*)::bigint as docs, sum(n)::bigint as length from lengths
+), asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) as term
+  from benchmark
+), postings as (
+  select row, term, count(*) as tf from (select row, unnest(w) as term from texts) where term in (select term from asked) group by all
+), weights as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight from postings, facts group by term, docs
+), impacts as (
+  select row, term, weight * (1000000000 * tf // (1000 * tf + 8 * (10 + (90 * n::hugeint * docs) // length))) as impact
+  from postings join weights using (term) join lengths using (row), facts
+), scores as (
+  select item_id, doc_id, row, sum(impact) as score from asked join impacts using (term) join lengths using (row) group by all
+)
+select item_id, rank, doc_id, score::bigint as score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0) where rank <= 10
+"""
+
+
+@query(OP11)
+def op11_lexical_search(spark, folder):
+    index = lexical.build(table(spark, folder, "documents"))
+    return lexical.search(index, table(spark, folder, "benchmark")).withColumnsRenamed({"query": "item_id", "id": "doc_id"})
