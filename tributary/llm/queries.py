@@ -11,6 +11,7 @@ from tributary.llm import (
     decision_list,
     decontaminate,
     html,
+    inner_products,
     interpolation,
     lexical,
     licences,
@@ -296,3 +297,22 @@ from (select *, row_number() over (partition by item_id order by score desc, doc
 def op11_lexical_search(spark, folder):
     index = lexical.build(table(spark, folder, "documents"))
     return lexical.search(index, table(spark, folder, "benchmark")).withColumnsRenamed({"query": "item_id", "id": "doc_id"})
+
+
+OP12 = """
+with whole as (
+  select row_number() over () as row, vec_id, [floor(64 * x::double) for x in embedding] as v from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), products as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+  from whole q join whole c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id
+)
+select query_id, rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from products) where rank <= 20
+"""
+
+
+@query(OP12)
+def op12_inner_product_search(spark, folder):
+    found = inner_products.search(table(spark, folder, "embeddings"), asked=F.col("vec_id") % 20 == 0)
+    return found.withColumnsRenamed({"query": "query_id", "id": "vec_id"})
