@@ -69,7 +69,7 @@ def test_extends_prefixes(spark, monkeypatch):
     plans, plan_of = [], collocations.plan_of
     monkeypatch.setattr(collocations, "plan_of", lambda *given: plans.append(plan_of(*given)) or plans[-1])
     got = collocations.collocations(spark.createDataFrame(rows, COLUMNS), least=30, budget=3000).collect()
-    assert all(len(plans[0][0].levels[depth][0]) for depth in range(3))
+    assert all(len(plans[0].levels[depth][0]) for depth in range(3))
     assert sorted(tuple(r) for r in got) == brute(rows, 30, 2000)
 
 

@@ -7,7 +7,7 @@ builds its subtrees on its own.
 
 How it runs. Documents become slices of bounded size (the slice's distinct words, and the tokens as places among them), written to the shared
 folder. Words are counted; those with at least `least` occurrences are numbered by falling frequency, because no phrase with a rarer word can
-reach `least`, so a suffix also ends before one. Running totals of the frequencies deal the words out to groups. A word with more
+reach `least`, so a suffix also ends before one. Each slice gets the numbers of its words back and is written once more, as numbers. Running totals of the frequencies deal the words out to groups. A word with more
 suffixes than a group should hold is extended: its suffixes are dealt by the next word, and so are its hot pairs and
 triples, which a fixed stride of the suffixes finds. Each slice then adds up its equal suffixes, sorted, and sends each group that it has suffixes for one
 blob. A group merges its blobs and reads the counts of all nodes from the leaf totals. Nothing is keyed by a word alone, and a passage
@@ -36,7 +36,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import arrow_schema, as_batch, over_batches, utf8
+from tributary.llm.common import arrow_schema, as_batch, over_batches, runs, utf8
+from tributary.llm.interpolation import squeeze, steps, unsqueeze
 from tributary.operators.skew import spread_join
 from tributary.session import cut, discard
 
@@ -140,26 +141,43 @@ def numbered(words: DataFrame) -> DataFrame:
 # --- suffixes --------------------------------------------------------------
 
 
+class Renumber:
+    """A slice in the numbers of the corpus: 0 for a rare word and the end of a piece, else its id."""
+
+    def __call__(self, left: pa.Table, right: pa.Table) -> pa.Table:
+        texts, words = [], []
+        if left.num_rows and right.num_rows:
+            planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(left.column("tokens")[0].as_py()), np.uint8).reshape(4, -1)
+            tokens = np.ascontiguousarray(planes.T).view("<u4").ravel()
+            place, ids, before = (right.column(c).to_numpy().astype(np.int64) for c in ("place", "id", "before"))
+            known = np.zeros(left.column("n_words")[0].as_py() + 1, np.uint32)
+            known[place + 1] = ids
+            order = np.argsort(ids)
+            planes = np.ascontiguousarray(known[tokens].view(np.uint8).reshape(-1, 4).T)
+            texts.append(zstandard.ZstdCompressor(level=1).compress(planes.tobytes()))
+            words.append(squeeze(steps(ids[order].astype(np.uint64)), steps(before[order].astype(np.uint64))))
+        return pa.table({"text": pa.array(texts, pa.binary()), "words": pa.array(words, pa.binary())})
+
+
 class Suffixes:
     """Suffixes of a slice: up to four numbers of words, zeros behind the end; those of a single word are left out."""
 
-    def __init__(self, tokens: bytes, places: np.ndarray, ids: np.ndarray, groups: np.ndarray, n_words: int) -> None:
-        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(tokens), np.uint8).reshape(4, -1)
-        tokens = np.ascontiguousarray(planes.T).view("<u4").ravel()
-        known, dealt = np.zeros(n_words + 1, np.int64), np.full(n_words + 1, -1, np.int64)
-        known[places + 1], dealt[places + 1] = ids, groups
-        text = np.r_[known[tokens], np.zeros(DEPTH, np.int64)]
+    def __init__(self, text: bytes, words: bytes) -> None:
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(text), np.uint8).reshape(4, -1)
+        text = np.r_[np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64), np.zeros(DEPTH, np.int64)]
+        ids, before = (np.cumsum(x).astype(np.int64) for x in unsqueeze(words))
         at = np.flatnonzero((text[:-1] > 0) & (text[1:] > 0))
         self.columns = [text[at], text[at + 1]]
         for k in range(2, DEPTH):
             self.columns.append(np.where(self.columns[-1] > 0, text[at + k], 0))
-        self.group = dealt[tokens[at]]
+        self.before = before[np.searchsorted(ids, self.columns[0])]
 
 
 class Plan:
     """Prefixes that are extended: the group each starts at, and over how many its suffixes are dealt by the next word."""
 
-    def __init__(self, levels: list[dict[tuple, tuple[int, int]]]) -> None:
+    def __init__(self, levels: list[dict[tuple, tuple[int, int]]], groups: int, extended: int, budget: int) -> None:
+        self.groups, self.extended, self.budget = groups, extended, budget
         self.levels, number = [], {(): 0}
         for level in levels:
             keys = {(number[p[:-1]] << 32) | p[-1]: p for p in level}
@@ -179,9 +197,9 @@ class Plan:
             rows, number = rows[same], place[same]
         return rows, number
 
-    def deal(self, columns: list[np.ndarray], group: np.ndarray) -> np.ndarray:
-        """Groups of suffixes: of the longest extended prefix, else the group of the first word."""
-        group = group.copy()
+    def deal(self, columns: list[np.ndarray], before: np.ndarray) -> np.ndarray:
+        """Groups of suffixes: of the longest extended prefix, else by the running total before the first word."""
+        group = self.groups + (before - self.extended) // self.budget
         for depth in range(1, len(self.levels) + 1):
             rows, number = self.find(columns, depth)
             _, first, parts = self.levels[depth - 1]
@@ -226,24 +244,17 @@ def unfold(data: bytes) -> tuple[list[np.ndarray], np.ndarray]:
     return [np.cumsum(arrays[0]), *arrays[1:DEPTH]], arrays[DEPTH]
 
 
-def suffixes_in(left: pa.Table, right: pa.Table) -> Suffixes | None:
-    if not left.num_rows or not right.num_rows:
-        return None
-    places, ids, groups = (right.column(c).to_numpy().astype(np.int64) for c in ("place", "id", "home"))
-    return Suffixes(left.column("tokens")[0].as_py(), places, ids, groups, left.column("n_words")[0].as_py())
-
-
 class Looked:
     """Every STRIDE-th suffix of the hot words of a slice."""
 
     def __init__(self, hot: int) -> None:
         self.hot = hot
 
-    def __call__(self, left: pa.Table, right: pa.Table) -> pa.Table:
-        it = suffixes_in(left, right)
-        columns = [c[::STRIDE] for c in it.columns] if it else [np.zeros(0, np.int64)] * DEPTH
-        at = columns[0] <= self.hot
-        return pa.table({k: c[at] for k, c in zip(KEYS, columns)})
+    def __call__(self, batch: pa.RecordBatch) -> Iterator[dict]:
+        for text, words in zip(batch.column(0), batch.column(1)):
+            columns = [c[::STRIDE] for c in Suffixes(text.as_py(), words.as_py()).columns]
+            at = columns[0] <= self.hot
+            yield {k: c[at] for k, c in zip(KEYS, columns)}
 
 
 class Send:
@@ -252,16 +263,16 @@ class Send:
     def __init__(self, plan) -> None:
         self.plan = plan
 
-    def __call__(self, left: pa.Table, right: pa.Table) -> pa.Table:
-        groups, blobs = [], []
-        if it := suffixes_in(left, right):
-            group = self.plan.value.deal(it.columns, it.group)
+    def __call__(self, batch: pa.RecordBatch) -> Iterator[dict]:
+        for text, words in zip(batch.column(0), batch.column(1)):
+            it = Suffixes(text.as_py(), words.as_py())
+            group = self.plan.value.deal(it.columns, it.before)
             columns, count, group = summed(it.columns, np.ones(len(group), np.int64), group)
-            starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else []
-            for a, b in zip(starts, [*starts[1:], len(group)]):
-                groups.append(int(group[a]))
-                blobs.append(blob([c[a:b] for c in columns], count[a:b]))
-        return pa.table({"group": pa.array(groups, pa.int64()), "suffixes": pa.array(blobs, pa.binary())})
+            starts, sizes = runs(group)
+            blobs = [blob([c[a : a + n] for c in columns], count[a : a + n]) for a, n in zip(starts, sizes)]
+            yield {"group": group[starts], "suffixes": pa.array(blobs, pa.binary())}
+            del it, columns, count, group
+            pa.default_memory_pool().release_unused()
 
 
 class Grow:
@@ -293,8 +304,8 @@ class Grow:
 # --- the plan --------------------------------------------------------------
 
 
-def plan_of(words: DataFrame, looked, budget: int) -> tuple[Plan, int, int]:
-    """(extended prefixes, groups they take, id of the last hot word). `looked` gives suffixes of the hot words."""
+def plan_of(words: DataFrame, looked, budget: int) -> Plan:
+    """The extended prefixes and the groups that they and all other words get. `looked` gives suffixes of the hot words."""
     limit = budget // 2
     hot = {(r["id"],): r["f"] for r in words.where(F.col("f") > limit).select("id", "f").collect()}
     weights = [hot]
@@ -317,18 +328,17 @@ def plan_of(words: DataFrame, looked, budget: int) -> tuple[Plan, int, int]:
             parts = 1 if depth + 1 == DEPTH else max(1, math.ceil((n - below[p]) / budget))
             levels[-1][p] = (group, parts)
             group += parts
-    return Plan(levels), group, len(hot)
+    return Plan(levels, group, sum(hot.values()), budget)
 
 
 def counts(
     docs: DataFrame, text_col: str, lang_col: str, least: int, slice_words: int, budget: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(languages with n; words with lang, word, f, id; nodes with a, b, c, d and f), all of frequency `least` or more."""
-    spark = docs.sparkSession
     parts = cut(slices_of(docs, text_col, lang_col, slice_words))
-    languages = parts.groupBy("lang").agg(F.sum("n").alias("n"))
+    languages = cut(parts.groupBy("lang").agg(F.sum("n").alias("n")))
     each = parts.select("slice", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")).select(
-        "slice", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("f")
+        F.col("slice").alias("owner"), "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("f")
     )
     words = numbered(each.groupBy("lang", "word").agg(F.sum("f").alias("f")).where(F.col("f") >= least))
     total = words.agg(F.coalesce(F.sum("f"), F.lit(0)).alias("n"), F.count("*").alias("rows")).first()
@@ -336,32 +346,27 @@ def counts(
         raise ValueError("more than 2^31 words are frequent: raise `least`")
     budget = max(2, budget, math.ceil(2 * total["n"] / PLAN))
 
-    def known(home) -> DataFrame:
-        named = words.select("lang", "word", "id", home.cast("long").alias("home"))
-        return each.drop("f").join(named, ["lang", "word"]).select(F.col("slice").alias("owner"), "place", "id", "home")
-
-    def over(answers: DataFrame, function, schema: str) -> DataFrame:
-        arrow_schema(docs, schema)
-        left = parts.select("slice", F.size("words").alias("n_words"), "tokens")
+    answers = each.drop("f").join(words.select("lang", "word", "id", "before"), ["lang", "word"]).select("owner", "place", "id", "before")
+    renumber = Renumber()
 
-        def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            return function(left, right)
+    def in_numbers(left: pa.Table, right: pa.Table) -> pa.Table:
+        return renumber(left, right)
 
-        return left.groupBy("slice").cogroup(answers.groupBy("owner")).applyInArrow(run, schema)
+    tokens = parts.select("slice", F.size("words").alias("n_words"), "tokens").groupBy("slice")
+    texts = cut(tokens.cogroup(answers.groupBy("owner")).applyInArrow(in_numbers, "text binary, words binary"))
+    discard(parts)
 
     numbers = ", ".join(f"{k} long" for k in KEYS)
-    plan, groups, hot = plan_of(words, lambda hot: over(known(F.lit(-1)), Looked(hot), numbers), budget)
-    extended = words.where(F.col("id") <= hot).agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
-    home = F.when(F.col("id") > hot, groups + F.floor((F.col("before") - extended) / budget)).otherwise(-1)
-    shipped = spark.sparkContext.broadcast(plan)
-    sent = over(known(home), Send(shipped), "group long, suffixes binary")
-    grow = Grow(shipped, least)
+    plan = docs.sparkSession.sparkContext.broadcast(plan_of(words, lambda hot: over_batches(texts, Looked(hot), numbers), budget))
+    grow = Grow(plan, least)
 
     def subtrees(table: pa.Table) -> pa.Table:
         return grow(table)
 
+    sent = over_batches(texts, Send(plan), "group long, suffixes binary")
     nodes = sent.groupBy("group").applyInArrow(subtrees, f"{numbers}, f long")
     nodes = cut(nodes.groupBy(*KEYS).agg(F.sum("f").alias("f")).where(F.col("f") >= least))
+    discard(texts)
     return languages, words, nodes
 
 
