@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.operators.skew import NULL_BLOCKS, find_hot, has_no_key, hot_table, key_hash
+from tributary.operators.skew import find_hot, has_no_key, hot_table, key_hash
+
+# Rows without a key are spread over so many window partitions.
+NULL_BLOCKS = 1024
 
 
 def previous_in_group(

@@ -25,7 +25,7 @@ from tributary.operators import (
     statistics,
     subgraph,
 )
-from tributary.operators.skew import positions, spread_join
+from tributary.operators.skew import Chain, positions, spread_join
 from tributary.plans import build, workflow
 from tributary.session import checkpoint_root, handoff
 from tributary.sources import dumps, sinks
@@ -485,10 +485,10 @@ def null_counts(spark, sf):
     raw = std.reuse(spark, sf, "dense").withColumnsRenamed(
         {"entity0": "source_song_id", "entity1": "target_song_id"}
     )
+    raw = Chain(raw, "source_song_id", "target_song_id")
     for key, end in (("source_song_id", "src"), ("target_song_id", "dst")):
-        artist = songs.select(F.col("o_orderkey").alias(key), F.col("o_custkey").alias(end))
-        raw = spread_join(raw, artist, key, "left")
-    return statistics.null_counts(raw)
+        raw.join(songs.select(F.col("o_orderkey").alias(key), F.col("o_custkey").alias(end)), key, "left")
+    return statistics.null_counts(raw.df)
 
 
 @query(f"{SUMMARY_SQL} select n as duplicate_edges from d")
@@ -1134,7 +1134,7 @@ def ground_truth_list(spark, sf):
 
 @query(
     f"""with {NAMED_SCORES_SQL} select artist, authority_score,
-  cast(row_number() over (order by authority_score desc, artist) as int) as system_rank
+  cast(row_number() over (order by authority_score desc, artist) as bigint) as system_rank
 from named order by system_rank limit 100"""
 )
 def match_candidates(spark, sf):
@@ -1158,7 +1158,7 @@ WORDS_SQL = r"list_sort(list_distinct(string_split_regex(trim(regexp_replace(low
 SIMILAR_SQL = f"""{NAMED_SCORES_SQL},
 truth as (select array_to_string(list_reverse(string_split(name, ' ')), ' ') as ground_truth, ground_truth_rank
   from richest join names on id = c_custkey),
-pool as (select artist, authority_score, cast(row_number() over (order by authority_score desc, artist) as int) as system_rank
+pool as (select artist, authority_score, cast(row_number() over (order by authority_score desc, artist) as bigint) as system_rank
   from named),
 tw as (select *, {WORDS_SQL.format("ground_truth")} as w from truth),
 pw as (select *, {WORDS_SQL.format("artist")} as v from pool),
@@ -1239,9 +1239,10 @@ def called(spark, sf):
     people = std.table(spark, sf, "customer").withColumn("name", F.expr(CALLED.replace("chr(9)", "char(9)")))
     names = people.select("c_custkey", "name")
     edges = std.edges(spark, sf, "dense").select("src", "dst", "weight")
+    edges = Chain(edges, "src", "dst")
     for side in ("src", "dst"):
-        edges = spread_join(edges, names.withColumnsRenamed({"c_custkey": side, "name": f"{side}_name"}), side)
-    edges = edges.select(F.col("src_name").alias("src"), F.col("dst_name").alias("dst"), "weight")
+        edges.join(names.withColumnsRenamed({"c_custkey": side, "name": f"{side}_name"}), side)
+    edges = edges.df.select(F.col("src_name").alias("src"), F.col("dst_name").alias("dst"), "weight")
     received = links.collapse(links.drop_self_loops(edges)).groupBy(F.col("dst").alias("artist"))
     nations = std.table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("representative"))
     labels = people.where("c_acctbal >= 0 and name like 'Artist%'").join(nations, "c_nationkey")
@@ -1440,6 +1441,10 @@ def salted(name: str, build, rows: int = 20):
 
 salted("edges_build", lambda spark, sf: std.derive_edges(spark, sf, "dense"))
 salted("graph_build", lambda spark, sf: build.build_graph(cat.tables(spark, sf), cat.alias_table(spark, sf)))
+salted("release_year", None)
+salted("edge_class", None)
+salted("null_counts", None)
+salted("modularity_given", None)
 salted("edge_cluster_mix", None)
 salted("pagerank_dense", None, 200)
 

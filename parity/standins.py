@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from parity.lag import previous_in_group
 from tributary.operators.links import collapse, drop_self_loops, link_weight
-from tributary.operators.skew import find_hot, fits_broadcast, spread_join
+from tributary.operators.skew import Chain
 from tributary.session import handoff
 
 # The priorities that play the relation types.
@@ -55,11 +55,7 @@ def derive_edges(spark: SparkSession, sf: str, density: str) -> DataFrame:
         F.col("o_custkey").alias("dst"),
         F.year("o_orderdate").alias("original_year"),
     )
-    # Both ends of the reuse table follow the use counts of the orders.
-    uses = table(spark, sf, "lineitem")
-    hot = None if fits_broadcast(originals) else find_hot(uses, ["l_orderkey"])
-    joined = spread_join(reuse, samplers, "source_song_id", hot=hot)
-    joined = spread_join(joined, originals, "target_song_id", hot=hot)
+    joined = Chain(reuse, "source_song_id", "target_song_id").join(samplers, "source_song_id").join(originals, "target_song_id").df
     return joined.select(
         "source_song_id", "target_song_id", "weight", "src", "dst", "sampler_year", "original_year"
     )

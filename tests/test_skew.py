@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parity.lag import previous_in_group
 from tributary.operators import skew
+from tributary.session import cut
 
 FORCED = {"block": 150}
 
@@ -106,3 +107,66 @@ def test_no_partition_of_a_layout_holds_more_than_twice_the_plan(spark):
         spark.conf.unset("spark.tributary.blockRows")
     assert hot == [(hot[0][0], 16)]
     assert max(r["count"] for r in sizes) <= 3000
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def facts(spark, key, column):
+    return spark.createDataFrame([(k, f"{column} {k}") for k in range(60)], f"{key} long, {column} string")
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_chain_equals_plain_joins(spark, monkeypatch, how):
+    no_broadcast(monkeypatch)
+    data = [(None if i % 17 == 0 else 7 if i % 3 == 0 else i % 90, None if i % 5 == 0 else i % 70, i % 4) for i in range(3000)]
+    big = cut(spark.createDataFrame(data, "a long, b long, v int").repartition(6))
+    sides = facts(spark, "a", "x"), facts(spark, "b", "y")
+    chain = skew.Chain(big, "a", "b", **FORCED).join(sides[0], "a", how).join(sides[1], "b", how)
+    plain = big.join(sides[0], "a", how).join(sides[1], "b", how)
+    columns = ["a", "b", "v", "x", "y"]
+    assert Counter(rows(chain.df, *columns)) == Counter(rows(plain, *columns))
+    assert chain.known[("a",)][0] == len([d for d in data if d[0] is None]) and chain.known[("a",)][1]
+
+
+def test_rows_without_a_key_pass_by_the_shuffle(spark, monkeypatch):
+    no_broadcast(monkeypatch)
+    big = cut(skewed(spark))
+    chain = skew.Chain(big, "k", **FORCED).join(facts(spark, "k", "x"), "k", "left")
+    matched, passed = chain.parts
+    assert "Exchange" not in plan(passed) and passed.count() == big.where("k is null").count()
+    scanned = [x for x in plan(matched).splitlines() if "PushedFilters" in x and "IsNotNull(k)" in x]
+    assert scanned and matched.where("k is null").count() == 0
+
+
+def test_a_chain_scans_its_base_once_for_all_keys(spark, monkeypatch):
+    no_broadcast(monkeypatch)
+    seen, sketch = [], skew.sketch
+    monkeypatch.setattr(skew, "sketch", lambda df, sets, block=None: seen.append((df, sets)) or sketch(df, sets, block))
+    big = cut(spark.range(2000).selectExpr("id % 3 as a", "id % 50 as b", "id as v"))
+    skew.Chain(big, "a", "b", **FORCED).join(facts(spark, "a", "x"), "a").join(facts(spark, "b", "y"), "b").df.count()
+    assert [sets for _, sets in seen] == [[["a"], ["b"]]] and seen[0][0] is big
+
+
+def test_no_sketch_reads_a_join(spark, monkeypatch):
+    """Planning the whole graph build without broadcasts: hot keys are looked up in base and written tables alone."""
+    from parity import catalogue
+    from parity.queries import small_blocks
+    from tributary.plans import build
+
+    folder = "/root/testdata/sf0.001"
+    tables = {name: cut(t) for name, t in catalogue.tables(spark, folder).items()}
+    aliases = cut(catalogue.alias_table(spark, folder))
+    seen, sketch = [], skew.sketch
+    monkeypatch.setattr(skew, "sketch", lambda df, sets, block=None: seen.append(plan(df)) or sketch(df, sets, block))
+    with small_blocks(spark, 20):
+        build.build_graph(tables, aliases)
+    assert len(seen) == 8 and not any("Join" in p or "Exchange" in p for p in seen)
+
+
+def test_the_sketch_is_taken_again_if_there_are_more_rows_than_guessed(spark, monkeypatch):
+    monkeypatch.setattr(skew, "rows_guessed", lambda df: 1)
+    df = spark.range(5000).selectExpr("if(id % 2 = 0, 1, id) as k", "if(id % 10 = 0, null, 5) as j")
+    (none, first), (missing, second) = skew.sketch(df, [["k"], ["j"]], block=1000)
+    assert (none, missing) == (0, 500) and [b for _, b in first] == [3] and [b for _, b in second] == [5]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.scales import ratio
 from tributary.functions.text import readable
-from tributary.operators.skew import fits_broadcast, spread_join
+from tributary.operators.skew import Chain
 from tributary.operators.statistics import long_report
 from tributary.session import cut
 
@@ -66,16 +66,10 @@ def pair_counts(edges: DataFrame) -> DataFrame:
 
 
 def tag(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Add src_cluster and dst_cluster; null for ends without a label.
-
-    Beside labels too big to broadcast the pairs are read several times, so
-    they are written once.
-    """
-    if not fits_broadcast(labels):
-        pairs = cut(pairs)
+    """Add src_cluster and dst_cluster; null for ends without a label."""
     source = labels.select(F.col("node").alias("src"), F.col("cluster_id").alias("src_cluster"))
     target = labels.select(F.col("node").alias("dst"), F.col("cluster_id").alias("dst_cluster"))
-    return spread_join(spread_join(pairs, source, "src", "left"), target, "dst", "left")
+    return Chain(pairs, "src", "dst").join(source, "src", "left").join(target, "dst", "left").df
 
 
 def flow(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -149,8 +143,8 @@ def bridges(flows: DataFrame, labels: DataFrame) -> DataFrame:
     source = names.select(F.col("cluster_id").alias("src_cluster"), F.col("representative").alias("From_Cluster"))
     target = names.select(F.col("cluster_id").alias("dst_cluster"), F.col("representative").alias("To_Cluster"))
     between = flows.where(F.col("src_cluster") != F.col("dst_cluster"))
-    named = spread_join(spread_join(between, source, "src_cluster"), target, "dst_cluster")
-    return named.select(
+    named = Chain(between, "src_cluster", "dst_cluster").join(source, "src_cluster").join(target, "dst_cluster")
+    return named.df.select(
         "From_Cluster", "To_Cluster", F.col("n").alias("Connection_Strength")
     ).orderBy(F.desc("Connection_Strength"), "From_Cluster", "To_Cluster")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators.links import both_ways, weighted_degree
 from tributary.operators.pagerank import hot_sources
-from tributary.operators.skew import copy_to_blocks, positions, salt_rows, spread_join
+from tributary.operators.skew import Chain, copy_to_blocks, positions, salt_rows, spread_join
 from tributary.session import cut, discard, layout_width
 
 
@@ -26,7 +26,7 @@ def modularity(folded: DataFrame, labels: DataFrame, resolution: float = 1.0) ->
     spread = totals.agg(F.sum("k").alias("two_m"), F.sum(F.col("k") * F.col("k")).alias("squares"))
     left = labels.select(F.col("node").alias("i"), F.col("cluster_id").alias("ci"))
     right = labels.select(F.col("node").alias("j"), F.col("cluster_id").alias("cj"))
-    tagged = spread_join(spread_join(folded, left, "i"), right, "j")
+    tagged = Chain(folded, "i", "j").join(left, "i").join(right, "j").df
     same = F.when(F.col("ci") == F.col("cj"), F.col("w"))
     inside = tagged.agg(F.coalesce(F.sum(same), F.lit(0.0)).alias("inside")).scalar()
     q = 2 * inside / F.col("two_m") - resolution * F.col("squares") / (F.col("two_m") * F.col("two_m"))

@@ -65,7 +65,8 @@ def pagerank(
 
     hot = hot_sources(ranks, start["links"], block)
     id_type = ranks.schema["id"].dataType
-    arcs = links.select(F.col("src").cast(id_type), F.col("dst").cast(id_type), "weight")
+    # an arc from nowhere carries no rank
+    arcs = links.where(F.col("src").isNotNull()).select(F.col("src").cast(id_type), F.col("dst").cast(id_type), "weight")
     on = ["src"]
     if hot:
         arcs, on = salt_rows(arcs, ["src"], hot), ["src", "_salt"]

@@ -7,6 +7,7 @@ arrives as one row per task. Joins, windows over a key and global orderings do.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -17,8 +18,8 @@ from tributary.session import block_rows, cut
 
 # The frequent-items sketch tracks at most this many keys, 16 for each that can be hot.
 TRACKED = 1_000_000
-# Rows without a key never match; they are spread over this many blocks.
-NULL_BLOCKS = 1024
+# The sketch reports at most this many keys.
+REPORTED = 100_000
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -42,77 +43,146 @@ def block_size(spark: SparkSession, total: int, block: int | None = None) -> int
     return max(block or block_rows(spark), math.ceil(16 * total / TRACKED))
 
 
-def find_hot(df: DataFrame, keys: Sequence[str], block: int | None = None) -> list[tuple[int, int]]:
-    """(key hash, number of blocks) of the keys that own more rows than one block should hold.
+Hot = list[tuple[int, int]]
 
-    One count and one scan of the key columns with a frequent-items sketch: no
-    shuffle of keys, and one bounded row to the driver. A wrong estimate costs
-    balance, never rows, because the list is fixed before either side is salted.
+
+def rows_guessed(df: DataFrame) -> int:
+    """Rows by Catalyst's statistics, rather too many: from the size where no count is known."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    if stats.rowCount().isDefined():
+        return int(str(stats.rowCount().get()))
+    return int(str(stats.sizeInBytes())) // 4 + 1
+
+
+def sketch(df: DataFrame, key_sets: Sequence[Sequence[str]], block: int | None = None) -> list[tuple[int, Hot]]:
+    """For each set of keys: (rows without the key, hot list), all from one aggregate over `df`.
+
+    A hot list holds (key hash, number of blocks) of the keys that own more rows than one block should hold, by a
+    frequent-items sketch: no shuffle of keys, and one bounded row to the driver. A wrong estimate costs
+    balance, never rows, because the list is fixed before either side is salted. The sketch is sized by Catalyst's
+    row estimate; only if there are more rows than that, it is taken again in the right size.
     """
-    present = df.select(*keys).dropna(how="any")
-    total = present.count()
-    block = block_size(df.sparkSession, total, block)
-    if total <= block:
-        return []
-    kept = math.ceil(2 * total / block)
-    top = F.expr(f"approx_top_k(_h, {kept}, {min(TRACKED, 8 * kept)})")
-    found = present.select(key_hash(keys).alias("_h")).agg(top.alias("top")).first()["top"]
-    return [(i["item"], math.ceil(i["count"] / block)) for i in found if i["count"] > block]
-
-
-def hot_table(spark: SparkSession, hot: list[tuple[int, int]]) -> DataFrame:
+    spark, guess = df.sparkSession, rows_guessed(df)
+    while True:
+        kept = min(REPORTED, math.ceil(2 * guess / block_size(spark, guess, block)) + 1)
+        tracked = min(TRACKED, 8 * kept)
+        hashes = df.select(*[F.when(~has_no_key(keys), key_hash(keys)).alias(f"h{i}") for i, keys in enumerate(key_sets)])
+        facts = [F.count("*").alias("rows")]
+        for i in range(len(key_sets)):
+            top = f"approx_top_k(h{i}, {kept}, {tracked}) filter (where h{i} is not null)"
+            facts += [F.count(f"h{i}").alias(f"n{i}"), F.expr(top).alias(f"top{i}")]
+        seen = hashes.agg(*facts).first()
+        if seen["rows"] <= guess or tracked == TRACKED:
+            break
+        guess = seen["rows"]
+    found = []
+    for i in range(len(key_sets)):
+        size = block_size(spark, seen[f"n{i}"], block)
+        top = seen[f"top{i}"] or []
+        found.append((seen["rows"] - seen[f"n{i}"], [(t["item"], math.ceil(t["count"] / size)) for t in top if t["count"] > size]))
+    return found
+
+
+def find_hot(df: DataFrame, keys: Sequence[str], block: int | None = None) -> Hot:
+    """The hot list of one set of keys."""
+    return sketch(df, [keys], block)[0][1]
+
+
+def hot_table(spark: SparkSession, hot: Hot) -> DataFrame:
     return F.broadcast(spark.createDataFrame(hot, "_h long, _blocks int"))
 
 
-def salt_rows(df: DataFrame, keys: Sequence[str], hot: list[tuple[int, int]]) -> DataFrame:
+def salt_rows(df: DataFrame, keys: Sequence[str], hot: Hot) -> DataFrame:
     """Add `_salt`: which block of its key each row belongs to.
 
     The salt depends on the map task and on the other columns, so exact copies
     of a row spread too, and a task that runs again repeats its choice.
     """
     rest = [F.col(c) for c in df.columns if c not in keys]
-    no_key = has_no_key(keys)
     marked = df.withColumn("_h", key_hash(keys)).join(hot_table(df.sparkSession, hot), "_h", "left")
-    blocks = F.when(no_key, F.lit(NULL_BLOCKS)).otherwise(F.coalesce("_blocks", F.lit(1)))
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *rest), blocks).cast("int")
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *rest), F.coalesce("_blocks", F.lit(1))).cast("int")
     return marked.withColumn("_salt", spread).drop("_h", "_blocks")
 
 
-def copy_to_blocks(df: DataFrame, keys: Sequence[str], hot: list[tuple[int, int]]) -> DataFrame:
+def copy_to_blocks(df: DataFrame, keys: Sequence[str], hot: Hot) -> DataFrame:
     """One copy of every row per block of its key; all hot keys together have as many blocks as there are full ones, and one each."""
     marked = df.withColumn("_h", key_hash(keys)).join(hot_table(df.sparkSession, hot), "_h", "left")
     blocks = F.sequence(F.lit(0), F.coalesce("_blocks", F.lit(1)) - 1)
     return marked.withColumn("_salt", F.explode(blocks)).drop("_h", "_blocks")
 
 
-def spread_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    hot: list[tuple[int, int]] | None = None,
-    block: int | None = None,
-) -> DataFrame:
-    """Join a big side to a side that is unique on the key (inner or left).
+def shuffles(df: DataFrame) -> bool:
+    """Would reading `df` twice shuffle twice?"""
+    return re.search(r"(?<!Broadcast)Exchange", df._jdf.queryExecution().executedPlan().toString()) is not None
+
 
-    Small sides by Catalyst's estimate are left to its broadcast join. Beyond
-    that, hot keys of the big side are cut into blocks and the one matching row
-    is copied to each block. Pass `hot` when the key counts are already known.
+class Chain:
+    """A big table joined, key after key, to tables that are unique on their key (inner or left).
+
+    Such joins never multiply rows, so what one sketch finds about all keys of the base table holds for every join
+    that follows: no join's output is scanned for its hot keys. The sketch is taken when the first small side
+    does not fit a broadcast; a base that shuffles is written before that, so its work is done once.
+
+    Hot keys are cut into blocks and the one matching row is copied to each block. Rows without a key match nothing: an inner
+    join drops them before anything moves, a left join sets them apart, so they pass by the shuffle.
     """
-    keys = [on] if isinstance(on, str) else list(on)
-    if how not in ("inner", "left"):
-        raise ValueError(f"spread_join cannot do a {how} join")
-    for k in keys:
-        small = small.withColumn(k, F.col(k).cast(big.schema[k].dataType))
-    if hot is None:
-        if fits_broadcast(small):
-            return big.join(small, keys, how)
-        hot = find_hot(big, keys, block)
-    if not hot and how == "inner":
+
+    def __init__(self, base: DataFrame, *keys: str | Sequence[str], block: int | None = None) -> None:
+        self.base, self.parts, self.block = base, [base], block
+        self.keys = [[k] if isinstance(k, str) else list(k) for k in keys]
+        self.known: dict[tuple[str, ...], tuple[int, Hot]] = {}
+        self.salts = False  # although a side would fit a broadcast
+
+    @property
+    def df(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.parts)
+
+    def hot(self, keys: list[str]) -> tuple[int, Hot]:
+        """(rows without the key, hot list) of the base table."""
+        if tuple(keys) not in self.known:
+            if shuffles(self.base):
+                self.base = cut(self.df)
+                self.parts = [self.base]
+            sets = self.keys if keys in self.keys else [*self.keys, keys]
+            self.known |= zip(map(tuple, sets), sketch(self.base, sets, self.block))
+        return self.known[tuple(keys)]
+
+    def join(self, small: DataFrame, on: str | Sequence[str], how: str = "inner") -> Chain:
+        keys = [on] if isinstance(on, str) else list(on)
+        if how not in ("inner", "left"):
+            raise ValueError(f"a chain cannot do a {how} join")
+        for k in keys:
+            small = small.withColumn(k, F.col(k).cast(self.base.schema[k].dataType))
+        if not self.salts and fits_broadcast(small):
+            self.parts = [p.join(small, keys, how) for p in self.parts]
+            return self
+        missing, hot = self.hot(keys)
+        no_key, parts = has_no_key(keys), []
+        gained = [f for f in small.schema if f.name not in keys]
+        for part in self.parts:
+            parts.append(salted_join(part.where(~no_key) if missing else part, small, keys, how, hot))
+            if missing and how == "left":
+                parts.append(part.where(no_key).withColumns({f.name: F.lit(None).cast(f.dataType) for f in gained}))
+        self.parts = parts
+        return self
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, hot: Hot) -> DataFrame:
+    if not hot:
         return big.join(small, keys, how)
-    salted = salt_rows(big, keys, hot)
-    copies = copy_to_blocks(small, keys, hot)
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return salt_rows(big, keys, hot).join(copy_to_blocks(small, keys, hot), [*keys, "_salt"], how).drop("_salt")
+
+
+def spread_join(
+    big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner", hot: Hot | None = None, block: int | None = None
+) -> DataFrame:
+    """One such join. Small sides by Catalyst's estimate are left to its broadcast join. Pass `hot` when the key counts are
+    already known; rows without a key are then set apart wherever the key may be null. Several joins of one table: see Chain."""
+    chain = Chain(big, on, block=block)
+    if hot is not None:
+        keys, chain.salts = chain.keys[0], True
+        chain.known[tuple(keys)] = int(any(big.schema[k].nullable for k in keys)), hot
+    return chain.join(small, on, how).df
 
 
 def positions(df: DataFrame, order: Sequence[Column], column: str = "position") -> DataFrame:

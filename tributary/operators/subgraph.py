@@ -11,15 +11,14 @@ from tributary.operators.clusters import largest, top_members
 from tributary.operators.context import top_scored
 from tributary.operators.degree import known_degrees
 from tributary.operators.links import collapse, collapse_count, known_names
-from tributary.operators.skew import spread_join
+from tributary.operators.skew import Chain, spread_join
 from tributary.session import cut
 
 
 def induced(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges with both ends in nodes(id); ids occur once, so plain joins keep the edges as they are."""
-    inside = spread_join(edges, nodes.select(F.col("id").alias("src")), "src")
-    inside = spread_join(inside, nodes.select(F.col("id").alias("dst")), "dst")
-    return inside.select(edges.columns)
+    inside = Chain(edges, "src", "dst").join(nodes.select(F.col("id").alias("src")), "src").join(nodes.select(F.col("id").alias("dst")), "dst")
+    return inside.df.select(edges.columns)
 
 
 def induced_by_few(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -56,7 +55,10 @@ def with_cluster(df: DataFrame, labels: DataFrame, key: str = "id", column: str
 
 def edge_class(sub: DataFrame, labels: DataFrame) -> DataFrame:
     """Add `edge_class`: intra if both ends share a known cluster, else inter."""
-    tagged = with_cluster(with_cluster(sub, labels, "src", "src_cluster"), labels, "dst", "dst_cluster")
+    tagged = Chain(sub, "src", "dst")
+    for key in ("src", "dst"):
+        tagged.join(cluster_of(labels, key, f"{key}_cluster"), key, "left")
+    tagged = tagged.df.na.fill("Unknown", ["src_cluster", "dst_cluster"])
     same = (F.col("src_cluster") == F.col("dst_cluster")) & (F.col("src_cluster") != "Unknown")
     return tagged.withColumn("edge_class", F.when(same, "intra").otherwise("inter"))
 

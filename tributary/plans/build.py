@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tributary.functions.text import clean_name, strip_featured
 from tributary.operators.aliases import apply_aliases
 from tributary.operators.links import UNKNOWN, drop_placeholders, link_weight
-from tributary.operators.skew import spread_join
+from tributary.operators.skew import Chain, spread_join
 from tributary.session import cut
 from tributary.sources.dumps import read_dump
 
@@ -31,15 +31,21 @@ def main_credits(names: DataFrame, artists: DataFrame) -> DataFrame:
 
     One artist may be named in a third of the credits, hence the spread join.
     """
+    return credits_of(names, short_names(artists))
+
+
+def short_names(artists: DataFrame) -> DataFrame:
+    """artists(id, name, gid) with guests cut off the name."""
+    return artists.select("id", strip_featured(F.col("name")).alias("name"), "gid")
+
+
+def credits_of(names: DataFrame, artists: DataFrame) -> DataFrame:
     first = names.where(F.col("position") == 0).select(F.col("artist_credit").alias("id"), "artist")
-    info = artists.select(F.col("id").alias("artist"), "name", "gid")
-    return spread_join(first, info, "artist").select(
-        "id", strip_featured(F.col("name")).alias("name"), "gid"
-    )
+    return spread_join(first, artists.withColumnRenamed("id", "artist"), "artist").select("id", "name", "gid")
 
 
-def release_years(track: DataFrame, medium: DataFrame, release: DataFrame, meta: DataFrame) -> DataFrame:
-    """years(recording, release_year): the first year any release of a recording came out.
+def release_years(track: DataFrame, medium: DataFrame, release: DataFrame, meta: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """years(recording, release_year): the first year any release of a recording came out; `only` these recordings (id).
 
     The chain is resolved from its short end, so the tracks, by far the longest
     table, are joined once. Any parent may own a third of the rows below it.
@@ -49,8 +55,10 @@ def release_years(track: DataFrame, medium: DataFrame, release: DataFrame, meta:
         release.select(F.col("id").alias("release"), "release_group"), groups, "release_group"
     ).drop("release_group")
     media = spread_join(medium.select(F.col("id").alias("medium"), "release"), releases, "release").drop("release")
-    dated = spread_join(track.select("recording", "medium"), media, "medium")
-    return dated.groupBy("recording").agg(F.min("year").alias("release_year"))
+    dated = Chain(track.select("recording", "medium"), "recording", "medium")
+    if only is not None:
+        dated.join(only.select(F.col("id").alias("recording")), "recording")
+    return dated.join(media, "medium").df.groupBy("recording").agg(F.min("year").alias("release_year"))
 
 
 def reuse_edges(relations: DataFrame, link: DataFrame) -> DataFrame:
@@ -64,15 +72,16 @@ def reuse_edges(relations: DataFrame, link: DataFrame) -> DataFrame:
     )
 
 
-def song_info(recording: DataFrame, credits: DataFrame, years: DataFrame) -> DataFrame:
-    """songs(id, title, name, gid, year): one row per recording with a credited artist.
+def song_info(recording: DataFrame, credits: DataFrame, years: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """songs(id, title, name, gid, year): one row per recording with a credited artist; `only` these recordings (id).
 
     Both ends of an edge need the same facts, so they are put together once per
     song instead of once per end of every edge.
     """
-    songs = recording.select("id", F.col("name").alias("title"), "artist_credit")
-    artists = credits.withColumnRenamed("id", "artist_credit")
-    credited = spread_join(songs, artists, "artist_credit").drop("artist_credit")
+    songs = Chain(recording.select("id", F.col("name").alias("title"), "artist_credit"), "id", "artist_credit")
+    if only is not None:
+        songs.join(only.select("id"), "id")
+    credited = songs.join(credits.withColumnRenamed("id", "artist_credit"), "artist_credit").df.drop("artist_credit")
     return credited.join(
         years.select(F.col("recording").alias("id"), F.col("release_year").alias("year")), "id", "left"
     )
@@ -90,9 +99,9 @@ def enrich(edges: DataFrame, songs: DataFrame) -> DataFrame:
             F.col("year").alias(f"{prefix}_Release_Year"),
         )
 
-    left = spread_join(edges, side("Sampler", "source_song_id"), "source_song_id")
-    both = spread_join(left, side("Original", "target_song_id"), "target_song_id")
-    return both.select(
+    both = Chain(edges, "source_song_id", "target_song_id")
+    both.join(side("Sampler", "source_song_id"), "source_song_id").join(side("Original", "target_song_id"), "target_song_id")
+    return both.df.select(
         "source_song_id", "target_song_id", "weight",
         "Sampler_Artist_Name", "Sampler_Artist_GID", "Sampler_Song_Title", "Sampler_Release_Year",
         "Original_Artist_Name", "Original_Artist_GID", "Original_Song_Title", "Original_Release_Year",
@@ -110,20 +119,15 @@ def keep_real(graph: DataFrame) -> DataFrame:
 
 def build_graph(tables: dict[str, DataFrame], aliases: DataFrame | None = None) -> DataFrame:
     """The reuse graph with the names, GIDs, titles and years of both ends."""
-    credits = main_credits(tables["artist_credit_name"], tables["artist"])
-    if aliases is None:
-        credits = credits.withColumn("name", clean_name(F.col("name")))
-    else:
-        credits = apply_aliases(credits, aliases)
+    # A name is resolved once per artist, not once per credit.
+    artists = short_names(tables["artist"])
+    artists = artists.withColumn("name", clean_name(F.col("name"))) if aliases is None else apply_aliases(artists, aliases)
+    credits = credits_of(tables["artist_credit_name"], artists)
     # Few songs take part in any reuse; only their facts are looked up.
     edges = cut(reuse_edges(tables["l_recording_recording"], tables["link"]))
     ends = F.explode(F.array("source_song_id", "target_song_id")).alias("id")
     used = cut(edges.select(ends).distinct())
-    recording = tables["recording"].join(used, "id", "left_semi")
-    track = spread_join(
-        tables["track"].select("recording", "medium"), used.withColumnRenamed("id", "recording"), "recording"
-    )
-    years = release_years(track, *(tables[t] for t in ("medium", "release", "release_group_meta")))
+    years = release_years(*(tables[t] for t in ("track", "medium", "release", "release_group_meta")), used)
     # Both ends read the facts, and their true size decides how they are joined.
-    songs = cut(song_info(recording, credits, years))
+    songs = cut(song_info(tables["recording"], credits, years, used))
     return keep_real(enrich(edges, songs))
