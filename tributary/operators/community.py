@@ -5,14 +5,18 @@ folded(i, j, w) holds each pair once with i < j.
 
 from __future__ import annotations
 
+from collections import deque
+
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.operators.links import both_ways, weighted_degree
 from tributary.operators.pagerank import hot_sources
-from tributary.operators.skew import Chain, copy_to_blocks, positions, salt_rows, spread_join
-from tributary.session import cut, discard, layout_width
+from tributary.operators.skew import Chain, copy_to_blocks, fits_broadcast, positions, salt_rows, salted_join, spread_join
+from tributary.session import block_rows, cut, discard, layout_width, share_code
 
 
 def modularity(folded: DataFrame, labels: DataFrame, resolution: float = 1.0) -> DataFrame:
@@ -33,156 +37,236 @@ def modularity(folded: DataFrame, labels: DataFrame, resolution: float = 1.0) ->
     return spread.select(q.alias("modularity"))
 
 
-# Rounds without a better modularity after which a level ends although some nodes would still move: awake
-# neighbours that move at once can undo each other's gain, and each round wakes another choice of nodes.
-STALLS = 4
+#: A move must gain more than this, as a share of the node's strength; less is rounding.
+LEAST_GAIN = 1e-10
+#: Blocks of arcs that one task may settle node by node: two million arcs, about half a gigabyte there.
+ONE_TASK = 4
 
 
 class _Level:
-    """One coarsening level: nodes(id, k, own) and arcs(node, other, w, k) in both directions.
+    """One coarsening level: nodes(id, k, own, links) and arcs(node, other, w) in both directions.
 
-    k is a node's strength, own its weight to itself counted from both ends.
-    The arcs are laid out by their far end once and kept for all rounds, so a
-    round ships node facts only. Far ends with very many arcs are split into
-    blocks. Every node also gets an arc to itself of weight 0, the only kind
-    that carries `own`; it brings the node its own community in the same join.
+    k is a node's strength, own its weight to itself counted from both ends, links the number of its arcs.
+    The arcs are laid out by their near end once and kept for all rounds. A node with very many arcs is split into
+    blocks.
     """
 
-    def __init__(self, nodes, arcs, block: int | None, source: DataFrame | None = None):
-        self.nodes, self.source, self.used = nodes, source, []
-        at_home = nodes.select(
-            F.col("id").alias("node"), F.col("id").alias("other"), F.lit(0.0).alias("w"), "k", "own"
+    def __init__(self, nodes: DataFrame, arcs: DataFrame, block: int | None, *sources: DataFrame) -> None:
+        self.nodes, self.sources, self.block = nodes, sources, block
+        facts = nodes.agg(F.coalesce(F.sum("links"), F.lit(0)).alias("links"), F.sum("k").alias("k"), F.sum("own").alias("own"), F.sum(F.col("k") * F.col("k")).alias("k2")).first()
+        self.links, self.facts = facts["links"], facts
+        self.hot = hot_sources(nodes, self.links, block)
+        self.on = ["node", "_salt"] if self.hot else ["node"]
+        laid = salt_rows(arcs, ["node"], self.hot) if self.hot else arcs
+        self.arcs = laid.repartition(layout_width(nodes.sparkSession, self.links), *self.on).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def modularity(self, resolution: float) -> float:
+        """Of the partition that made this level's nodes."""
+        two_m = self.facts["k"]
+        return (self.facts["own"] or 0.0) / two_m - resolution * self.facts["k2"] / two_m**2
+
+    def near(self, some: DataFrame) -> DataFrame:
+        """The arcs of some nodes (node, ...), with what `some` says of them."""
+        return self.arcs.join(copy_to_blocks(some, ["node"], self.hot) if self.hot else some, self.on)
+
+    def far(self, arcs: DataFrame, facts: DataFrame) -> DataFrame:
+        """Facts (other, ...) of the far ends. Every node has as many arcs coming as going, so one hot list serves both ends."""
+        return arcs.join(facts, "other") if fits_broadcast(facts) else salted_join(arcs, facts, ["other"], "inner", self.hot)
+
+    def seen(self, state: DataFrame) -> DataFrame:
+        """The arcs of the active nodes with both ends' communities: node, other, w, k, home, home_total, comm, total."""
+        totals = state.groupBy("comm").agg(F.sum("k").alias("total"), F.count("*").alias("size"))
+        placed = spread_join(state, totals, "comm", block=self.block)
+        here = placed.where("active").select(F.col("id").alias("node"), "k", F.col("comm").alias("home"), F.col("total").alias("home_total"))
+        return self.far(self.near(here), placed.select(F.col("id").alias("other"), "comm", "total"))
+
+    def one_by_one(self, state: DataFrame, two_m: float, resolution: float, seed: int) -> DataFrame:
+        """(node, target, delta): where the active nodes end if they move one after another until none gains. For arcs that fit a block."""
+        run = OneByOne(resolution / two_m, seed)
+        share_code(state.sparkSession)
+        columns = ["node", "other", "w", "k", "home", "home_total", "comm", "total"]
+        return self.seen(state).select(*columns).groupBy().applyInPandas(lambda rows: run(rows), "node long, target long, delta double")
+
+    def wishes(self, state: DataFrame, two_m: float, resolution: float) -> DataFrame:
+        """(node, home, target, k, delta): active nodes that would gain by moving, each to the community where it gains most."""
+        options = self.seen(state).groupBy("node", "comm").agg(
+            F.sum("w").alias("w"), *[F.max(c).alias(c) for c in ("k", "home", "home_total", "total")]
         )
-        arcs = arcs.withColumn("own", F.lit(None).cast("double")).unionByName(at_home)
-        counts = arcs.groupBy(F.col("other").alias("id")).agg(F.count("*").alias("links"))
-        total = counts.agg(F.sum("links")).first()[0] or 0
-        self.hot, self.block = hot_sources(counts, total, block), block
-        self.on = ["other", "_salt"] if self.hot else ["other"]
-        laid = salt_rows(arcs, ["other"], self.hot) if self.hot else arcs
-        width = layout_width(nodes.sparkSession, total)
-        self.arcs = laid.repartition(width, *self.on).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def facts(self, labels: DataFrame) -> DataFrame:
-        """(id, comm) plus each community's strength `total` and node count `size`."""
-        totals = labels.groupBy("comm").agg(F.sum("k").alias("total"), F.count("*").alias("size"))
-        kept = labels.select("id", "comm")
-        return spread_join(kept, totals, "comm", block=self.block)
-
-    def meet(self, facts: DataFrame) -> DataFrame:
-        """The arcs with the facts of their far end."""
-        far = facts.withColumnRenamed("id", "other")
-        if self.hot:
-            far = copy_to_blocks(far, ["other"], self.hot)
-        return self.arcs.join(far, self.on)
-
-    def sweep(self, labels: DataFrame, two_m: float, resolution: float, coin: int) -> DataFrame:
-        """Let two thirds of the nodes move to the neighbouring community that gains most.
-
-        Returns the new labels with `was`, the old community, and what the old
-        labelling's modularity needs. A node alone moves to another node alone
-        only downwards, or the two would keep swapping.
+        cost = F.lit(resolution / two_m) * F.col("k")
+        at_home = F.col("comm") == F.col("home")
+        gain = F.col("w") - cost * F.when(at_home, F.col("total") - F.col("k")).otherwise(F.col("total"))
+        best = F.struct((-F.col("gain")).alias("loss"), F.col("comm"))
+        choice = options.withColumn("gain", gain).groupBy("node").agg(
+            *[F.max(c).alias(c) for c in ("k", "home", "home_total")],
+            F.min(F.when(~at_home, best)).alias("best"), F.max(F.when(at_home, F.col("gain"))).alias("stay"),
+        )
+        stay = F.coalesce("stay", -cost * (F.col("home_total") - F.col("k")))
+        found = choice.select("node", "home", F.col("best.comm").alias("target"), "k", (-F.col("best.loss") - stay).alias("delta"))
+        return found.where(F.col("delta") > F.lit(LEAST_GAIN) * F.col("k"))
+
+    def independent(self, wishes: DataFrame, two_m: float, resolution: float, coin: int, single: bool) -> DataFrame:
+        """The wishes that are granted together: no community gives and receives in one round.
+
+        Two moves can only undo each other if one goes where the other leaves, or if both enter or both leave one community. A
+        community receives if the best wish to enter it beats the best to leave it, and gives otherwise; the best
+        wish of all is always granted. Nodes that enter or leave together cost resolution k k' / 2m for each pair at most; where that may
+        outweigh a community's gains, only a share of the wishes is granted, by hash. With `single`, each community takes part in one
+        move at most.
         """
-        options = (
-            self.meet(self.facts(labels))
-            .groupBy("node", "comm")
-            .agg(
-                F.sum("w").alias("w"),
-                F.max("k").alias("k"),
-                F.max("own").alias("own"),
-                F.max("total").alias("total"),
-                F.max("size").alias("size"),
-            )
-        )
-        home = F.col("own").isNotNull()
-        others = F.col("total") - F.when(home, F.col("k")).otherwise(0.0)
-        gain = F.col("w") - resolution * F.col("k") * others / F.lit(two_m)
-        best = F.struct((-F.col("gain")).alias("loss"), F.col("comm"), F.col("size"))
-        choice = (
-            options.withColumn("gain", gain)
-            .groupBy(F.col("node").alias("id"))
-            .agg(
-                F.max("k").alias("k"),
-                F.max("own").alias("own"),
-                F.min(best).alias("best"),
-                F.min(F.when(home, best)).alias("now"),
-                F.max(F.when(home, F.col("w"))).alias("inside"),
-                F.max(F.when(home, F.col("total"))).alias("total"),
-            )
-        )
-        better = F.col("best.loss") < F.col("now.loss") - 1e-12
-        both_alone = (F.col("now.size") == 1) & (F.col("best.size") == 1)
-        downwards = F.col("best.comm") < F.col("now.comm")
-        awake = F.pmod(F.xxhash64("id", F.lit(coin)), F.lit(3)) > 0
-        moves = better & (~both_alone | downwards) & awake
-        return cut(
-            choice.select(
-                "id",
-                "k",
-                "own",
-                F.when(moves, F.col("best.comm")).otherwise(F.col("now.comm")).alias("comm"),
-                F.col("now.comm").alias("was"),
-                "inside",
-                "total",
-                better.alias("restless"),
-            )
-        )
+        rank = F.struct("delta", "node")
+        sides = wishes.select(F.explode(F.array(
+            F.struct(F.col("home").alias("comm"), F.lit(False).alias("enters")), F.struct(F.col("target").alias("comm"), F.lit(True).alias("enters"))
+        )).alias("at"), "node", "k", "delta")
+        one_way = lambda enters, what: F.when(F.col("at.enters") == enters, what)
+        facts = sides.groupBy("at.comm").agg(
+            F.max(one_way(True, rank)).alias("enter"), F.max(one_way(False, rank)).alias("leave"),
+            *[F.sum(one_way(enters, F.col(c) * F.col(d))).alias(f"{c}{d}{enters}") for enters in (True, False) for c, d in (("k", "k"),)],
+            *[F.sum(one_way(enters, F.col(c))).alias(f"{c}{enters}") for enters in (True, False) for c in ("k", "delta")],
+        )
 
-    def settle(self, two_m, resolution, seed, min_gain):
-        """Rounds until no node gains by moving, or the modularity stalls.
+        def share(enters: bool):
+            pairs = (F.col(f"k{enters}") * F.col(f"k{enters}") - F.col(f"kk{enters}")) * F.lit(resolution / two_m) / 2
+            return F.when(pairs <= 0, F.lit(1.0)).otherwise(F.col(f"delta{enters}") / (4 * pairs))
 
-        Returns the best labelling seen and its modularity. A round reports the
-        modularity of the labels it started from, so the labels of the last
-        round are judged too: either no node moved, or the next round was run.
+        receives = F.coalesce(F.col("enter") > F.col("leave"), F.col("enter").isNotNull())
+        facts = facts.select("comm", receives.alias("receives"), F.when(receives, F.col("enter.node")).otherwise(F.col("leave.node")).alias("first"),
+                             F.when(receives, share(True)).otherwise(share(False)).alias("share"))
+        leaving = facts.where(~F.col("receives")).select(F.col("comm").alias("home"), F.col("first").alias("a"), F.col("share").alias("share_a"))
+        entering = facts.where("receives").select(F.col("comm").alias("target"), F.col("first").alias("b"), F.col("share").alias("share_b"))
+        both = Chain(wishes, "home", "target", block=self.block).join(leaving, "home").join(entering, "target").df
+        first = (F.col("a") == F.col("node")) & (F.col("b") == F.col("node"))
+        drawn = F.pmod(F.xxhash64("node", F.lit(coin)), F.lit(1 << 20)) < F.least("share_a", "share_b") * (1 << 20)
+        return both.where(first if single else first | drawn).select("node", "target", "delta")
+
+    def moved(self, state: DataFrame, granted: DataFrame, again: DataFrame | None) -> DataFrame:
+        """The next state: new communities; active are the neighbours of nodes that moved, and the nodes of `again`. Without `again`, the
+        nodes that were active are settled among themselves and rest."""
+        granted = granted.withColumnsRenamed({"target": "to", "delta": "gained"})
+        touched = self.near(granted.select("node")).select(F.col("other").alias("id"))
+        if again is not None:
+            touched = touched.unionByName(again.select(F.col("node").alias("id")))
+        touched = touched.distinct().withColumn("touched", F.lit(True))
+        after = state.drop("was", "gained").join(granted.withColumnRenamed("node", "id"), "id", "left").join(touched, "id", "left")
+        active = F.col("touched").isNotNull() & (F.lit(again is not None) | ~F.col("active"))
+        return after.select(
+            "id", "k", "own", "links", F.coalesce("to", "comm").alias("comm"), active.alias("active"),
+            F.when(F.col("to").isNotNull(), F.col("comm")).alias("was"), "gained",
+        )
+
+    def judged(self, state: DataFrame, two_m: float, resolution: float):
+        """One row: nodes moved, what the modularity gained at least (times m), arcs of the nodes now active."""
+        ends = state.where("was is not null").select("k", F.explode(F.array(F.struct("comm", F.lit(1).alias("side")), F.struct(F.col("was").alias("comm"), F.lit(0).alias("side")))).alias("at"))
+        pairs = ends.groupBy("at").agg((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs"))
+        lost = pairs.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)) * (resolution / two_m / 2)).scalar()
+        return state.agg(
+            F.count("was").alias("moved"), (F.coalesce(F.sum("gained"), F.lit(0.0)) - lost).alias("gained"),
+            F.coalesce(F.sum(F.when(F.col("active"), F.col("links"))), F.lit(0)).alias("links"),
+        ).first()
+
+    def settle(self, two_m: float, resolution: float, seed: int, arcs_read: list[int], start: DataFrame | None = None) -> tuple[DataFrame, bool]:
+        """(state in which no node gains by moving, did any move), from `start` (id, comm) or from every node alone.
+
+        A round looks at the active nodes only. When none of them gains, all nodes are looked at once more,
+        because a community's total may have changed far from its members. Every round raises the modularity: what the moves of a
+        round may cost each other is summed up, and a round that might lose is done again with single moves. As soon as the arcs of
+        the active nodes fit ONE_TASK blocks, one task lets these nodes move one after another, which ends the long tail of rounds with few moves.
         """
-        labels = self.nodes.withColumn("comm", F.col("id"))
-        best, best_q, stalls, tables, used, round_ = labels, None, 0, [], [], 0
+        alone = self.nodes.withColumn("comm", F.col("id")) if start is None else self.nodes.join(start, "id")
+        state = alone.withColumn("active", F.lit(True))
+        reads, any_moved, round_, fits = self.links, False, 0, ONE_TASK * block_rows(state.sparkSession)
         while True:
-            moved = self.sweep(labels, two_m, resolution, seed * 1000 + round_)
-            tables.append(moved)
-            seen = moved.agg(
-                F.sum("inside").alias("inside"),
-                F.sum("own").alias("own"),
-                F.sum(F.col("k") * F.col("total")).alias("squares"),
-                F.count_if("restless").alias("restless"),
-            ).first()
-            q = (seen["inside"] + seen["own"]) / two_m - resolution * seen["squares"] / two_m**2
-            stalls = 0 if best_q is None or q > best_q + min_gain else stalls + 1
-            if best_q is None or q > best_q:
-                discard(*used)
-                best, best_q, used = labels, q, tables[-2:-1]
-            if stalls >= STALLS or not seen["restless"]:
-                break
-            discard(*[t for t in tables[:-1] if not any(t is u for u in used)])
-            tables, round_ = tables[-1:], round_ + 1
-            labels = moved.select("id", "k", "own", "comm")
-        discard(*[t for t in tables if not any(t is u for u in used)])
-        self.used = used
-        return best, best_q
-
-    def contract(self, labels: DataFrame) -> _Level:
+            full, coin = reads == self.links, seed * 1000 + round_
+            arcs_read.append(reads)
+            if reads <= fits:
+                granted = cut(self.one_by_one(state, two_m, resolution, coin))
+                after, used = cut(self.moved(state, granted, None)), [granted]
+                seen = self.judged(after, two_m, resolution)
+            else:
+                wishes = cut(self.wishes(state, two_m, resolution))
+                used = [wishes]
+                for single in (False, True):
+                    granted = self.independent(wishes, two_m, resolution, coin, single)
+                    after = cut(self.moved(state, granted, wishes))
+                    seen = self.judged(after, two_m, resolution)
+                    if not seen["moved"] or seen["gained"] > 0:
+                        break
+                    discard(after)
+            discard(*used, state)
+            any_moved, round_, state, reads = any_moved or seen["moved"] > 0, round_ + 1, after, seen["links"]
+            if full and (not seen["moved"] or self.links <= fits):
+                return state, any_moved
+            if not reads:
+                state, reads = after.withColumn("active", F.lit(True)), self.links
+                state.written_at = after.written_at
+
+    def contract(self, state: DataFrame) -> _Level:
         """Communities become the nodes of the next level."""
-        facts = self.facts(labels)
-        far = self.meet(facts.select("id", F.col("comm").alias("to"))).where(F.col("own").isNull())
-        near = facts.select(F.col("id").alias("node"), F.col("comm").alias("from"), "total")
-        pairs = cut(
-            spread_join(far.select("node", "to", "w"), near, "node", hot=self.hot)
-            .groupBy("from", "to")
-            .agg(F.sum("w").alias("w"), F.max("total").alias("k"))
+        placed = state.select(F.col("id").alias("node"), F.col("comm").alias("from"))
+        ends = self.far(self.near(placed), placed.withColumnsRenamed({"node": "other", "from": "to"}))
+        pairs = cut(ends.groupBy("from", "to").agg(F.sum("w").alias("w")))
+        out = pairs.groupBy(F.col("from").alias("id")).agg(
+            F.sum(F.when(F.col("from") == F.col("to"), F.col("w"))).alias("inner"), F.count_if(F.col("from") != F.col("to")).alias("links")
         )
-        inner = pairs.where(F.col("from") == F.col("to")).select(F.col("from").alias("id"), F.col("w").alias("inner"))
-        merged = labels.groupBy(F.col("comm").alias("id")).agg(F.sum("k").alias("k"), F.sum("own").alias("own"))
+        merged = state.groupBy(F.col("comm").alias("id")).agg(F.sum("k").alias("k"), F.sum("own").alias("own"))
         own = F.col("own") + F.coalesce("inner", F.lit(0.0))
-        nodes = cut(merged.join(inner, "id", "left").select("id", "k", own.alias("own")))
-        arcs = pairs.where(F.col("from") != F.col("to")).select(
-            F.col("from").alias("node"), F.col("to").alias("other"), "w", "k"
-        )
-        self.close()
-        return _Level(nodes, arcs, self.block, pairs)
+        nodes = cut(merged.join(out, "id", "left").select("id", "k", own.alias("own"), F.coalesce("links", F.lit(0)).alias("links")))
+        arcs = pairs.where(F.col("from") != F.col("to")).select(F.col("from").alias("node"), F.col("to").alias("other"), "w")
+        return _Level(nodes, arcs, self.block, nodes, pairs)
 
     def close(self) -> None:
         """Drop what only this level reads."""
         self.arcs.unpersist()
-        discard(self.nodes, *self.used, *([self.source] if self.source is not None else []))
+        discard(*self.sources)
+
+
+class OneByOne:
+    """Sequential moves of some nodes, all their arcs and the totals of all communities they touch being known."""
+
+    def __init__(self, cost: float, seed: int) -> None:
+        self.cost, self.seed = cost, seed
+
+    def __call__(self, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["node", "other"])
+        node, start, degree = np.unique(rows["node"].to_numpy(), return_index=True, return_counts=True)
+        first = rows.iloc[start]
+        place = {n: i for i, n in enumerate(node.tolist())}
+        home, k = first["home"].tolist(), first["k"].tolist()
+        comm = home.copy()
+        total = dict(zip(rows["comm"].tolist(), rows["total"].tolist())) | dict(zip(home, first["home_total"].tolist()))
+        other = [place.get(o, -1) for o in rows["other"].tolist()]  # -1: a node that stays where it is
+        there, weight = rows["comm"].tolist(), rows["w"].tolist()
+        ends = (start + degree).tolist()
+        start = start.tolist()
+        mixed = (node.astype(np.uint64) + np.uint64(self.seed)) * np.uint64(0x9E3779B97F4A7C15)
+        order = np.argsort(mixed, kind="stable").tolist()
+        queue, moves, asked = deque(order), 0, 0
+        waiting, gained = [True] * len(node), [0.0] * len(node)
+        while queue:
+            i = queue.popleft()
+            waiting[i] = False
+            to: dict[int, float] = {}
+            for at in range(start[i], ends[i]):
+                c = there[at] if other[at] < 0 else comm[other[at]]
+                to[c] = to.get(c, 0.0) + weight[at]
+            now, cost = comm[i], self.cost * k[i]
+            stay = to.pop(now, 0.0) - cost * (total[now] - k[i])
+            best, target = max(((w - cost * total[c], -c) for c, w in to.items()), default=(stay, 0))
+            if best > stay + LEAST_GAIN * k[i]:
+                total[now] -= k[i]
+                comm[i] = -target
+                total[comm[i]] += k[i]
+                gained[i] += best - stay
+                moves += 1
+                for at in range(start[i], ends[i]):
+                    j = other[at]
+                    if j >= 0 and not waiting[j]:
+                        waiting[j] = True
+                        queue.append(j)
+            if not queue and moves != asked:  # totals have changed for those that are no neighbours too
+                asked, waiting = moves, [True] * len(node)
+                queue.extend(order)
+        moved = [i for i in range(len(node)) if comm[i] != home[i]]
+        return pd.DataFrame({"node": node[moved], "target": [comm[i] for i in moved], "delta": [gained[i] for i in moved]})
 
 
 def louvain(
@@ -191,42 +275,60 @@ def louvain(
     seed: int = 42,
     min_gain: float = 1e-7,
     block: int | None = None,
+    cycles: int = 2,
+    arcs_read: list[int] | None = None,
 ) -> DataFrame:
-    """labels(node, cluster_id, representative) by synchronous Louvain rounds.
+    """labels(node, cluster_id, representative) by Louvain rounds of moves that cannot undo each other.
 
     Ids count from 0 in the order of each community's smallest member; the
     representative is the member of highest weighted degree. The outcome depends
-    on the graph and the seed only, not on partitioning. A level ends when no
+    on the graph, the seed and the block size of the session, not on partitioning. A level ends when no
     node gains by moving, the run when a level gains less than `min_gain`; a larger
-    one saves jobs for a little less modularity.
+    one saves jobs for a little less modularity. Further `cycles` start again from the nodes with the communities found, so that
+    nodes can leave a community that others have joined since; they end early if one gains too little. `arcs_read` gets the number of arcs that each round looked at.
     """
+    arcs_read = [] if arcs_read is None else arcs_read
     arcs = both_ways(folded)
     strengths = arcs.groupBy("node").agg(F.sum("w").alias("wdeg"), F.count("*").alias("links"))
     numbered = cut(positions(strengths, [F.asc("node")], "place"))
     total = numbered.agg(F.sum("links")).first()[0] or 0
     hot = hot_sources(numbered.select(F.col("node").alias("id"), "links"), total, block)
-    near = numbered.select("node", F.col("place").alias("a"), F.col("wdeg").alias("k"))
+    near = numbered.select("node", F.col("place").alias("a"))
     far = numbered.select(F.col("node").alias("other"), F.col("place").alias("b"))
     # Every node has as many arcs coming as going, so one hot list serves both joins.
     arcs = spread_join(spread_join(arcs, near, "node", hot=hot), far, "other", hot=hot)
-    arcs = cut(arcs.select(F.col("a").alias("node"), F.col("b").alias("other"), "w", "k"))
+    arcs = cut(arcs.select(F.col("a").alias("node"), F.col("b").alias("other"), "w"))
     numbered = numbered.withColumnRenamed("place", "id")
-    nodes = numbered.select("id", F.col("wdeg").alias("k"), F.lit(0.0).alias("own"))
+    nodes = numbered.select("id", F.col("wdeg").alias("k"), F.lit(0.0).alias("own"), "links")
     two_m = nodes.agg(F.sum("k")).first()[0]
-    at = numbered.select("id", F.col("id").alias("comm"))
-    if two_m:
-        level, last, depth = _Level(nodes, arcs, block, arcs), None, 0
+    at, last = numbered.select("id", F.col("id").alias("comm")), None
+    ground = _Level(nodes, arcs, block, arcs) if two_m else None
+    for cycle in range(cycles if two_m else 0):
+        level, depth, start = ground, 0, at if cycle else None
         while True:
-            labels, q = level.settle(two_m, resolution, seed + depth, min_gain)
-            step = labels.select(F.col("id").alias("comm"), F.col("comm").alias("up"))
-            before = at
-            at = cut(spread_join(at, step, "comm").select("id", F.col("up").alias("comm")))
-            discard(before)
-            if last is not None and q <= last + min_gain:
+            before = level.modularity(resolution)
+            state, any_moved = level.settle(two_m, resolution, seed + depth, arcs_read, start)
+            start = None
+            if not any_moved:
+                discard(state)
+                break
+            step = state.select(F.col("id").alias("comm"), F.col("comm").alias("up"))
+            old, at = at, cut(spread_join(at, step, "comm").select("id", F.col("up").alias("comm")) if depth else state.select("id", "comm"))
+            discard(old)
+            finer, level, depth = level, level.contract(state), depth + 1
+            discard(state)
+            if finer is not ground:
+                finer.close()
+            if level.modularity(resolution) <= before + min_gain:
                 break
-            last, depth = q, depth + 1
-            level = level.contract(labels)
-        level.close()
+        found = level.modularity(resolution)
+        if level is not ground:
+            level.close()
+        if not depth or last is not None and found <= last + min_gain:
+            break
+        last = found
+    if ground:
+        ground.close()
     return _name(numbered, at)
 
 
