@@ -106,7 +106,7 @@ def test_a_listed_word_on_a_wrapper_loses_no_text(source, expected):
 
 
 def test_text_and_edges_outvote_cues():
-    page = html.Page(f"<article><p>{LONG}</p><div class=notice>{LONG}</div><p>{LONG}</p></article><div class=notice>Sale</div>")
+    page = html.Page(f"<article><p>{LONG}</p><div class=notice-shown>{LONG}</div><p>{LONG}</p></article><div class=notice-shown>Sale</div>")
     assert [b[3] > 0 for b in page.blocks] == [True, False, True, False]
     assert html.labels(page, PROSE) == [True, True, True, False]
     inside = html.Page(f"<article><p>{LONG}</p>{MENU}<p>{LONG}</p></article>")
@@ -144,3 +144,45 @@ def test_more_blocks_than_the_sample_holds(spark, monkeypatch):
     assert weights[0] < -1
     assert text(f"<div><ul>{links}</ul></div><div>{prose}</div>", weights).startswith(LONG)
     assert (html.fit(spark.createDataFrame(many, "html string").repartition(3)) == weights).all()
+
+
+#: Prose as it comes out of training on real pages, at the limit of what text may weigh.
+STRONG = np.array([-9.0, 2.0, 2.0, 0.0, -2.5])
+
+
+@pytest.mark.parametrize(
+    "boilerplate",
+    [
+        f"<div class='comments'><p>{LONG}</p></div>", f"<section class='comment'><p>{LONG}</p><p>{LONG}</p></section>",
+        f"<div class='ad'>{LONG}</div>", f"<p class='ad'>{LONG}</p>", f"<div class='cookie-notice'><p>{LONG}</p></div>",
+        f"<div class='site-footer'><p>{LONG}</p><p>{LONG}</p></div>", f"<div id=user-comments><article><p>{LONG}</p></article></div>",
+        f"<ul class='comment-list user-comments'><li>{LONG}</li><li>{LONG}</li></ul>", f"<div class='footer-wrapper'>{LONG}</div>",
+        f"<div class=notice>{LONG}</div>", f"<div class='comments'>{'<p>' + LONG + '</p>' * 1}{('<p>' + LONG + '</p>') * 20}</div>",
+        f"<aside>{LONG}</aside>", f"<div role=complementary><p>{LONG}</p></div>",
+    ],
+)
+@pytest.mark.parametrize("weights", [PROSE, STRONG])
+def test_prose_in_boilerplate_is_dropped(boilerplate, weights):
+    """Inside the article and behind it, whatever the text says."""
+    assert text(f"<article><p>{LONG}</p>{boilerplate}<p>{LONG}</p></article>", weights) == f"{LONG} {LONG}"
+    assert text(f"<div class=page><article><p>{LONG}</p></article>{boilerplate}</div>", weights) == LONG
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "page-with-sidebar", "ad-free-story", "share-enabled", "no-comments", "entry-header", "comments-open"])
+def test_names_that_only_mention_boilerplate(name):
+    assert text(f"<div class='{name}'><p>{LONG}</p><p>{LONG}</p></div>", PROSE) == f"{LONG} {LONG}"
+    assert text(f"<article class='{name}'><p>{LONG}</p></article>", PROSE) == LONG
+
+
+def test_a_page_without_article_in_a_listed_wrapper():
+    assert text(f"<body><div class='widget'><p>{LONG}</p><p>{LONG}</p></div><div class='ad'>{LONG}</div></body>", STRONG) == f"{LONG} {LONG}"
+
+
+def test_stray_tags_and_deep_nesting_take_linear_time():
+    import time
+
+    deep = "<div>" * 20_000 + "</section>" * 40_000 + f"<p>{LONG}</p>" + "<div><p>x</p>" * 2_000
+    start = time.process_time()
+    page = html.Page(deep)
+    list(html.edges_of(page))
+    assert time.process_time() - start < 2 and len(page.blocks) == 2_001

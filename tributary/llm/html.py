@@ -18,7 +18,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +38,8 @@ BOILERPLATE = frozenset(
 CONTENT = frozenset("article articlebody content entry main post story text".split())
 LISTED = BOILERPLATE | CONTENT
 BAD_TAGS = frozenset("nav header footer aside form menu dialog button select textarea fieldset option label".split())
+#: Of those, the ones that hold no page.
+ASIDE_TAGS = frozenset(["nav", "footer", "aside"])
 GOOD_TAGS = frozenset(["article", "main"])
 CONTAINERS = frozenset(
     "html body main article section div nav header footer aside form ul ol dl table figure blockquote details dialog fieldset "
@@ -59,9 +61,17 @@ ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 
 #: Of those, the ones whose articles are other people's.
 REPLIES = frozenset("comment comments discussion disqus recommended related replies reply respond".split())
+#: Words of a compound that say nothing about its content, and such that make it speak of something else ("has-sidebar").
+NEUTRAL = frozenset("area block body box container group inner item list outer section wrap wrapper".split())
+MODIFIERS = frozenset("disable disabled enable enabled has hide hidden is js no open show toggle with without".split())
 #: What a tag, a class, id or role of listed words, and one with other words in it ("has-sidebar") are worth against the
-#: classifier, whose part is at most LIMIT; weights of edges. The text alone can outvote the words, text and edges a tag.
+#: classifier, whose part is at most LIMIT; weights of edges. The text alone can outvote the words of a wrapper,
+#: text and edges its tag.
 TAGGED, WORDED, HINTED, LIMIT, BESIDE, INSIDE, ABOVE = 3.5, 2.5, 1.5, 3.0, 1.0, 0.5, 0.25
+#: What a boilerplate name is worth on an element that is no layout wrapper: more than text and edges together.
+FIRM = LIMIT + 2 * BESIDE + INSIDE + 0.5
+#: Blocks further apart than so many steps in the tree have no edge.
+FAR = 64
 #: Pages and blocks that the classifier is trained on.
 PAGES, BLOCKS = 2_000, 100_000
 
@@ -73,6 +83,7 @@ class Page:
         self.blocks: list[tuple[str, int, int, float]] = []
         self.up, self.depth = [0], [0]
         said, firm, names, stack = [0.0], [False], [""], [0]
+        listed, holds, opened = [0], [0], Counter()
         parts: list[str] = []
         leaf = 0.0
         linked = at = 0
@@ -109,73 +120,109 @@ class Page:
                 close()
                 leaf, link = 0.0, False
                 if closing:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if names[stack[k]] == name:
-                            del stack[k:]
-                            break
+                    if opened[name]:  # else there is nothing to close
+                        while names[stack[-1]] != name:
+                            opened[names[stack.pop()]] -= 1
+                        stack.pop()
+                        opened[name] -= 1
                 else:
                     here = stack[-1]
                     self.up.append(here)
                     self.depth.append(self.depth[here] + 1)
-                    says, holds = cue(name, m[3], said[here], firm[here])
+                    says, keeps, boilerplate = cue(name, m[3], said[here], firm[here])
                     said.append(says)
-                    firm.append(holds)
+                    firm.append(keeps)
+                    listed.append(boilerplate)
+                    holds.append(0)
                     names.append(name)
                     stack.append(len(self.up) - 1)
+                    opened[name] += 1
+                    kind = 2 if name == "main" else 1 if name == "article" else 0
+                    while holds[here] < kind:  # every container is raised twice at most
+                        holds[here] = kind
+                        here = self.up[here]
             elif name in LEAVES:
                 close()
-                leaf = 0.0 if closing or not m[3] or name == "br" else min(0.0, cue(name, m[3], 0.0, False)[0])
+                says, _, boilerplate = (0.0, False, 0) if closing or not m[3] or name == "br" else cue(name, m[3], 0.0, False)
+                leaf = -FIRM if boilerplate else min(0.0, says)
             elif name in SHOWN:
                 parts.append(" ")
             elif name in HIDDEN and not closing and not m[3].endswith("/"):
                 over = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(source, at)
                 at = over.end() if over else end
         close()
-
-
-def cue(name: str, attributes: str, outer: float, firm: bool) -> tuple[float, bool]:
-    """What a container says of its text, and whether that holds for the articles in it, given both of the one around it.
+        self.hold_firm(listed, holds)
+
+    def hold_firm(self, listed: list[int], holds: list[int]) -> None:
+        """Boilerplate names and tags on what is no layout wrapper cannot be outvoted.
+
+        A wrapper holds an `article` or `main`, or, on a page without any, over half of the text. Replies, asides, menus and
+        footers are no wrapper unless they hold a `main`.
+        """
+        inside = [0] * len(self.up)
+        for text, container, _, _ in self.blocks:
+            inside[container] += len(text)
+        for c in range(len(self.up) - 1, 0, -1):
+            inside[self.up[c]] += inside[c]
+        strong = [False] * len(self.up)
+        for c in range(1, len(self.up)):
+            wrapper = holds[c] == 2 if listed[c] == 2 else holds[c] > 0 or (not holds[0] and 2 * inside[c] > inside[0])
+            strong[c] = strong[self.up[c]] or (listed[c] > 0 and not wrapper)
+        self.blocks = [(t, c, n, -FIRM if strong[c] else says) for t, c, n, says in self.blocks]
+
+
+def cue(name: str, attributes: str, outer: float, firm: bool) -> tuple[float, bool, int]:
+    """What a container says of its text, whether that holds for the articles in it, given both of the one around it, and whether
+    its own tag and names are boilerplate: 1, or 2 if that holds for articles in it, too.
 
     Boilerplate keeps what is inside it, save `main`; an `article` leaves the boilerplate of a class, id or role again, unless that
     holds replies. A hint gives way to any other word.
     """
     if name in ("html", "body"):
-        return 0.0, False
+        return 0.0, False, 0
     good, bad, replies = words_said(attributes)
+    replies = replies and good < WORDED
+    listed = 2 if replies else int(bad >= WORDED > good)
     if name in BAD_TAGS and not (name in ("header", "label") and outer > 0):
-        return -TAGGED, name != "form"
+        return -TAGGED, name != "form", 2 if name in ASIDE_TAGS else max(listed, 1)
     if name == "main":
-        return TAGGED, False
+        return TAGGED, False, 0
     if outer < 0 and firm:
-        return outer, True
-    if replies and good < WORDED:
-        return -WORDED, True
+        return outer, True, listed
+    if replies:
+        return -WORDED, True, 2
     if name == "article":
-        return (-WORDED, False) if bad >= WORDED > good else (TAGGED, False)
-    if bad >= WORDED > good:
-        return -WORDED, False
+        return (-WORDED if listed else TAGGED), False, listed
+    if listed:
+        return -WORDED, False, 1
     if good >= WORDED > bad:
-        return (outer if outer <= -WORDED else max(outer, WORDED)), False
+        return (outer if outer <= -WORDED else max(outer, WORDED)), False, 0
     if bad:
-        return min(outer, -HINTED), False
-    return (outer if outer < 0 else max(outer, good)), False
+        return min(outer, -HINTED), False, 0
+    return (outer if outer < 0 else max(outer, good)), False, 0
 
 
 def words_said(attributes: str) -> tuple[float, float, bool]:
     """How much a tag's class, id and role speak for content and for boilerplate, and whether they name replies.
 
-    A name of listed words only counts in full, also in parts ("cookie-notice"); one with other words in it is a hint.
+    A name of listed and neutral words counts in full ("cookie-notice", "footer-wrapper"), and so does a compound whose last part is
+    listed ("site-footer"). One with a modifier ("has-sidebar") or other words behind is a hint, and so is the header of a
+    listed kind of content ("entry-header"), which may hold the title.
     """
     good = bad = 0.0
     replies = False
     if attributes and "=" in attributes:
         for m in ATTRIBUTE.finditer(attributes):
             for name in (m[1] or m[2] or m[3] or "").lower().split():
-                words = set(re.split(r"[^a-z0-9]+", name)) - {""}
+                parts = [x for x in re.split(r"[^a-z0-9]+", name) if x]
+                words = set(parts)
                 if not words & LISTED:
                     continue
-                worth = WORDED if words <= LISTED else HINTED
-                if words & BOILERPLATE:
+                whole = words <= LISTED | NEUTRAL
+                worth = WORDED if not words & MODIFIERS and (whole or parts[-1] in LISTED) else HINTED
+                if words & BOILERPLATE == {"header"} and words & CONTENT:
+                    worth = HINTED
+                if words & BOILERPLATE if whole or worth == HINTED else parts[-1] in BOILERPLATE:
                     bad = max(bad, worth)
                     replies = replies or (worth == WORDED and bool(words & REPLIES))
                 else:
@@ -201,15 +248,16 @@ def edges_of(page: Page) -> Iterator[tuple[int, int, float]]:
     for i in range(n):
         a = page.blocks[i][1]
         yield i, n + a, INSIDE
-        if i:
-            yield i - 1, i, BESIDE / (1 + steps_between(page, page.blocks[i - 1][1], a))
+        if i and (steps := steps_between(page, page.blocks[i - 1][1], a)) <= FAR:
+            yield i - 1, i, BESIDE / (1 + steps)
     for c in range(1, len(page.up)):
         yield n + c, n + page.up[c], ABOVE
 
 
 def steps_between(page: Page, a: int, b: int) -> int:
+    """Steps in the tree from container to container, counted to FAR + 1."""
     count = 0
-    while a != b:
+    while a != b and count <= FAR:
         if page.depth[a] < page.depth[b]:
             a, b = b, a
         a = page.up[a]
