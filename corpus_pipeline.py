@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import decision_list, decontaminate, packing, rule_ensemble, simhash
+from tributary.llm.common import whole_row
 from tributary.session import discard, handoff, workspace
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,7 +25,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def as_row(docs: DataFrame) -> DataFrame:
     """All columns in one, so that none can clash with what a stage computes, beside the text."""
-    return docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return docs.select(whole_row(docs).alias("row"), "text")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

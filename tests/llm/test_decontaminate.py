@@ -85,6 +85,46 @@ def test_repeated_items_do_not_fill_a_block(spark):
     df = spark.createDataFrame(data, "item_id string, text string")
     blocks = list(decontaminate.blocks_of(df, "item_id", "text", 400))
     assert [last for _, last in blocks] == [False] * (len(blocks) - 1) + [True] and len(blocks) > 5
-    assert max(sum(len(w) for _, w in items) for items, _ in blocks) <= 400
-    held = [(i, " ".join(x.decode() for x in w)) for items, _ in blocks for i, w in items]
+    assert max(sum(len(t.split()) for _, t in items) for items, _ in blocks) <= 400
+    held = [(i, t.decode()) for items, _ in blocks for i, t in items]
     assert sorted(held, key=repr) == sorted({(i, t or "") for i, t in data}, key=repr)
+
+
+def test_blocks_are_searched_one_after_another(spark):
+    """Three blocks and more give the same as brute force, and no stage holds two of them."""
+    rng = np.random.default_rng(5)
+    text = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 40, n))
+    items = [(f"i{k}", text(25)) for k in range(12)]
+    docs = [(k, text(30) + " " + items[k % 12][1][: 10 * k]) for k in range(30)]
+    searches = decontaminate.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"), block_words=90, window=5)
+    assert searches._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert found(spark, docs, items, block_words=90, window=5) == sorted(brute(docs, items, 5), key=repr)
+
+
+def test_a_full_block_is_small():
+    """A block of many items with a shared instruction: memory, and time for a text full of that instruction."""
+    import time
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    prompt = " ".join(f"prompt{k}" for k in range(30))
+    items = [(f"i{k}", (prompt + " " + " ".join(f"v{x}" for x in rng.integers(0, 50_000, 30))).encode()) for k in range(8_000)]
+    tracemalloc.start()
+    held = decontaminate.Items(items, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20 and len(held.text) <= decontaminate.BLOCK_WORDS
+    ids = np.array([held.vocabulary[w] for w in prompt.encode().split()] * 400 + [0], np.int64)
+    start = time.process_time()
+    place, which = held.occurrences(ids)
+    reach = held.reach(ids, place)
+    assert time.process_time() - start < 2 and len(place) == 400 * 21 and reach.max() == 30
+    assert sorted(held.names(int(which[0]))) == sorted(i for i, _ in items)
+
+
+def test_the_longest_match_among_equal_windows():
+    items = [(f"i{k}", ("a b c d " + " ".join(f"x{j}" for j in range(k))).encode()) for k in range(40)]
+    held = decontaminate.Items(items, 4)
+    words_ = "a b c d x0 x1 x2 x3 x4 zz a b c d x1 a b c d".split()
+    ids = np.array([held.vocabulary.get(w.encode(), 0) for w in words_] + [0], np.int64)
+    assert held.reach(ids, np.array([0, 10, 15])).tolist() == [9, 4, 4]

@@ -75,3 +75,17 @@ def test_equal_and_null_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs, FOLDER).collect()
         stage(spark, docs.limit(0), FOLDER).collect()
+
+
+def test_odd_column_names_and_maps(spark):
+    """Dots, backticks and maps in other columns pass all stages that hand rows on."""
+    odd = spark.createDataFrame(
+        [(i % 6, f"some words of text number {i % 6} that differ " * 3, {"b": i % 2, "a": 1}, [{"x": None}], "u") for i in range(12)] + [(None, None, None, None, None)],
+        "doc_id long, text string, `meta.url` map<string,int>, `a``b` array<map<string,string>>, `row.id` string",
+    )
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, odd, FOLDER)
+        assert got.collect() is not None
+        if name != "best_fit_packing":
+            assert got.columns == odd.columns
+    assert corpus_pipeline.simhash_near_dedup(spark, odd.select("doc_id", "text", "`a``b`"), FOLDER).count() == 7

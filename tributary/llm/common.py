@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType, VariantType
 
 from tributary.session import share_code
 
@@ -20,6 +21,34 @@ def utf8(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots or backticks, as Spark reads it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns in one, whatever their names."""
+    return F.struct(*[F.col(quoted(c)).alias(c) for c in df.columns])
+
+
+def hashable(column: Column, kind: DataType) -> Column:
+    """The column for a hash over rows: maps have no order, so anything that holds one goes as JSON with sorted entries."""
+    if isinstance(kind, MapType):
+        entries = F.transform(F.map_entries(column), lambda e: F.struct(F.to_json(F.struct(e["key"])).alias("k"), F.to_json(F.struct(hashable(e["value"], kind.valueType))).alias("v")))
+        return F.array_sort(entries)
+    if isinstance(kind, ArrayType) and holds_map(kind):
+        return F.transform(column, lambda x: hashable(x, kind.elementType))
+    if isinstance(kind, StructType) and holds_map(kind):
+        return F.when(column.isNotNull(), F.struct(*[hashable(column.getField(f.name), f.dataType).alias(f.name) for f in kind]))
+    return F.to_json(F.struct(column)) if isinstance(kind, VariantType) else column
+
+
+def holds_map(kind: DataType) -> bool:
+    return isinstance(kind, MapType) or any(
+        holds_map(x) for x in ([kind.elementType] if isinstance(kind, ArrayType) else [f.dataType for f in kind] if isinstance(kind, StructType) else [])
+    )
+
+
 def fold_bucket(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds`; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
@@ -43,14 +72,20 @@ def lower_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def with_id(df: DataFrame, id_col: str, rest: str) -> StructType:
+    """A schema of id, of the type it has in `df` (which may be a whole row), and the columns of `rest`."""
+    fields = df.sparkSession.createDataFrame([], rest).schema.fields
+    return StructType([StructField("id", df.schema[id_col].dataType), *fields])
+
+
 def over_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[dict]], schema: str
+    df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[dict]], schema: str | StructType
 ) -> DataFrame:
     """mapInArrow whose function yields dicts of equally long columns."""
     return df.mapInArrow(BatchMapper(function, arrow_schema(df, schema)), schema)
 
 
-def arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
+def arrow_schema(df: DataFrame, schema: str | StructType) -> pa.Schema:
     """The Arrow form of a schema; every frame that runs Python here asks for it, so the code is shared first."""
     from pyspark.sql.pandas.types import to_arrow_schema
 

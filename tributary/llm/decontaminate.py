@@ -8,8 +8,8 @@ match goes beyond its window is read off the neighbours of the training suffix i
 
 A window is `window` consecutive item words; an item of fewer words, but not none, is one window.
 
-The items are the query set. They are shipped in blocks of at most BLOCK_WORDS words, each block a pass of its own over the
-documents (no shuffle), so what a task holds of them is bounded. A document needs no other document: nothing is shuffled.
+The items are the query set. They are shipped in blocks of about BLOCK_WORDS words (an item is never split), each block a pass of its own over the
+documents (no shuffle); between two passes the rows are written to the shared folder, so no task ever holds two blocks. A document needs no other document: nothing is shuffled.
 
 Null text has no words; a null item id counts for hits but is not listed. Repeated documents stay repeated. Empty tables give empty
 results (no items: nothing is hit). Other columns are not read, and `remove` returns them unchanged.
@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import over_batches, utf8
+from tributary.llm.common import over_batches, quoted, utf8, whole_row, with_id
+from tributary.session import cut, discard
 
 WINDOW = 10
-#: Item words of one block.
-BLOCK_WORDS = 2_000_000
+#: Item words of one block: some 100 MB on the driver and in each task.
+BLOCK_WORDS = 500_000
 
 #: Bytes to word bytes: digits, a-z and all of any other script; A-Z become a-z, the rest separates words.
 FOLD = bytes(
@@ -45,12 +46,12 @@ def words_of(text: bytes) -> list[bytes]:
 class Sorted:
     """Suffixes in order, as columns of several words packed into one number each."""
 
-    def __init__(self, ids: np.ndarray, starts: np.ndarray, depth: int, bits: int) -> None:
+    def __init__(self, ids: np.ndarray, starts: np.ndarray, depth: int, bits: int, rank: np.ndarray | None = None) -> None:
         per = 62 // bits
-        self.columns = [pack(ids, starts, at, min(per, depth - at), per, bits) for at in range(0, depth, per)]
-        order = np.lexsort(self.columns[::-1]) if len(starts) else np.zeros(0, np.int64)
+        columns = [pack(ids, starts, at, min(per, depth - at), per, bits) for at in range(0, depth, per)]
+        order = np.lexsort(columns[::-1] if rank is None else [rank[starts]]) if len(starts) else np.zeros(0, np.int64)
         self.at = starts[order]
-        self.columns = [c[order] for c in self.columns]
+        self.columns = [c[order] for c in columns]
 
     def bound(self, wanted: list[np.ndarray], side: str) -> np.ndarray:
         """First place whose suffix is not below (left) or is above (right) each of the wanted rows."""
@@ -87,40 +88,79 @@ def bisect(have: np.ndarray, want: np.ndarray, low: np.ndarray, high: np.ndarray
     return low
 
 
+def ranks(text: np.ndarray) -> np.ndarray:
+    """Rank of every suffix in full order, by doubling the length compared; a suffix ends at a 0, equal ones share a rank."""
+    rank = text.copy()
+    ends = text == 0  # does a suffix end within the words compared so far?
+    length = 1
+    while length < len(text):
+        after = np.where(ends[:-length], 0, rank[length:])
+        after = np.r_[after, np.zeros(length, np.int64)]
+        order = np.lexsort([after, rank])
+        new = np.r_[False, (rank[order[1:]] != rank[order[:-1]]) | (after[order[1:]] != after[order[:-1]])]
+        ends = ends | np.r_[ends[length:], np.ones(length, bool)]
+        rank[order] = np.cumsum(new)
+        if ends.all():
+            break
+        length *= 2
+    return rank
+
+
 class Items:
-    """The test suffixes of one block of items, ready to be searched for."""
+    """The test suffixes of one block of items, ready to be searched for. All in arrays, about a hundred bytes for each word."""
 
-    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int) -> None:
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int) -> None:
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
-        number = self.vocabulary.setdefault
-        texts = [[number(w, len(self.vocabulary) + 1) for w in words] for _, words in items]
+        number, parts, lengths = self.vocabulary.setdefault, [], []
+        for _, text in items:
+            words = words_of(text)
+            parts.append(np.array([number(w, len(self.vocabulary) + 1) for w in words] + [0], np.int64))
+            lengths.append(len(words))
+        self.ids = [name for name, _ in items]
         self.bits = max(1, len(self.vocabulary).bit_length())
-        owners: dict[tuple, set] = {}
-        for (name, _), text in zip(items, texts):
-            size = min(window, len(text))
-            for at in range(len(text) - size + 1 if text else 0):
-                owners.setdefault(tuple(text[at : at + size]), set()).add(name)
-        keys = list(owners)
-        self.names = [[n for n in owners[k] if n is not None] for k in keys]
-        self.sizes = np.array([len(k) for k in keys], np.int64)
-        top = (1 << self.bits) - 1
-        low = np.array([k + (0,) * (window - len(k)) for k in keys], np.int64).reshape(-1, window)
-        high = np.array([k + (top,) * (window - len(k)) for k in keys], np.int64).reshape(-1, window)
-        self.low, self.high = self.columns(low), self.columns(high)
-        self.single = np.unique(low[self.sizes == 1, 0])
-        wide = low[self.sizes > 1]
-        self.pairs = np.unique((wide[:, 0] << 32) | wide[:, 1]) if window > 1 else np.zeros(0, np.int64)
-        # all test suffixes, for the length of a match beyond its window
-        self.text = np.array([x for t in texts for x in (*t, 0)], np.int64)
-        self.suffixes = Sorted(self.text, np.flatnonzero(self.text), window, self.bits)
-
-    def columns(self, rows: np.ndarray) -> list[np.ndarray]:
+        self.text = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        del parts
+        lengths = np.array(lengths, np.int64)
+        begins = np.cumsum(lengths + 1) - lengths - 1
+        # where windows start, of which item, and of how many words
+        count = np.where(lengths > 0, np.maximum(lengths - window + 1, 1), 0)
+        owner = np.repeat(np.arange(len(lengths)), count)
+        starts = begins[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        sizes = np.minimum(window, lengths)[owner]
+        columns = self.columns(starts, sizes, 0)
+        order = np.lexsort([owner, sizes, *columns[::-1]])
+        owner, starts, sizes = owner[order], starts[order], sizes[order]
+        columns = [c[order] for c in columns]
+        new = np.ones(len(order), bool)
+        if len(order):
+            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in (*columns, sizes)])
+        window_of = np.cumsum(new) - 1
+        once = np.ones(len(order), bool)  # an item that has a window twice owns it once
+        once[1:] = new[1:] | (owner[1:] != owner[:-1])
+        self.owner = owner[once]
+        self.first = np.searchsorted(window_of[once], np.arange(window_of[-1] + 2 if len(order) else 1))
+        starts, self.sizes = starts[new], sizes[new]
+        self.low, self.high = self.columns(starts, self.sizes, 0), self.columns(starts, self.sizes, (1 << self.bits) - 1)
+        self.single = np.unique(self.text[starts[self.sizes == 1]])
+        wide = starts[self.sizes > 1]
+        self.pairs = np.unique((self.text[wide] << 32) | self.text[wide + 1]) if window > 1 else np.zeros(0, np.int64)
+        # all test suffixes in full order, for the length of a match beyond its window
+        self.suffixes = Sorted(self.text, np.flatnonzero(self.text), window, self.bits, ranks(self.text))
+
+    def names(self, window: int) -> list[str]:
+        """Ids of the items that have a window."""
+        return [n for k in self.owner[self.first[window] : self.first[window + 1]].tolist() if (n := self.ids[k]) is not None]
+
+    def columns(self, starts: np.ndarray, sizes: np.ndarray, fill: int) -> list[np.ndarray]:
+        """The windows packed; `fill` stands behind the end of a short one."""
         per, out = 62 // self.bits, []
         for at in range(0, self.window, per):
-            column = np.zeros(len(rows), np.int64)
-            for k in range(per):
-                column = (column << self.bits) | (rows[:, at + k] if at + k < self.window else 0)
+            column = np.zeros(len(starts), np.int64)
+            for k in range(at, at + per):
+                column <<= self.bits
+                if k < self.window:
+                    column |= np.where(k < sizes, self.text[np.minimum(starts + k, max(len(self.text) - 1, 0))], fill)
             out.append(column)
         return out
 
@@ -147,18 +187,23 @@ class Items:
         return place, which
 
     def reach(self, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Words from each place on that some item has verbatim."""
+        """Words from each place on that some item has verbatim: the longer match with the two neighbours in the order of all test suffixes."""
         if not len(places):
             return places
-        per = 62 // self.bits
-        wanted = [pack(ids, places, at, min(per, self.window - at), per, self.bits) for at in range(0, self.window, per)]
-        first, last = self.suffixes.bound(wanted, "left"), self.suffixes.bound(wanted, "right")
-        first, last = np.maximum(first - 1, 0), np.minimum(last + 1, len(self.suffixes.at))
-        best = np.zeros(len(places), np.int64)
-        for k in range(int((last - first).max())):  # equal windows of the items; each is extended on its own
-            live = np.flatnonzero(first + k < last)
-            best[live] = np.maximum(best[live], self.common(ids, places[live], self.suffixes.at[first[live] + k]))
-        return best
+        per, at = 62 // self.bits, self.suffixes.at
+        wanted = [pack(ids, places, k, min(per, self.window - k), per, self.bits) for k in range(0, self.window, per)]
+        low, high = self.suffixes.bound(wanted, "left"), self.suffixes.bound(wanted, "right")
+        while len(live := np.flatnonzero(low < high)):  # among equal windows, by the words behind them
+            middle = (low[live] + high[live]) >> 1
+            here, there = places[live], at[middle]
+            same = self.common(ids, here, there)
+            after = here + same
+            wants = np.where(after < len(ids), ids[np.minimum(after, len(ids) - 1)], 0)
+            up = self.text[there + same] < wants
+            low[live] = np.where(up, middle + 1, low[live])
+            high[live] = np.where(up, high[live], middle)
+        before, behind = at[np.maximum(low - 1, 0)], at[np.minimum(low, len(at) - 1)]
+        return np.maximum(self.common(ids, places, before), self.common(ids, places, behind))
 
     def common(self, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         length, live = np.zeros(len(a), np.int64), np.arange(len(a))
@@ -206,7 +251,7 @@ class Search:
                     change[at + span["last"] + 1] -= 1
         doc = np.searchsorted(starts, place, side="right") - 1
         for d, w in np.unique(np.stack([doc, which], axis=1), axis=0).tolist():
-            names[d].update(items.names[w])
+            names[d].update(items.names(w))
         np.maximum.at(longest, doc, items.reach(ids, place))
         hit = np.cumsum(change)[:-1] > 0
         edge = np.diff(np.r_[0, hit.astype(np.int8), 0])
@@ -229,7 +274,7 @@ def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_words: int
     count = max(1, math.ceil(total / 2 / block_words))
     for k in range(count):
         some = items.where(F.pmod(F.xxhash64("id", "t"), F.lit(count)) == k) if count > 1 else items
-        yield [(r["id"], words_of(bytes(r["t"]))) for r in some.collect()], k == count - 1
+        yield [(r["id"], bytes(r["t"])) for r in some.toLocalIterator()], k == count - 1
 
 
 def find(
@@ -245,14 +290,16 @@ def find(
     """One row per document: id, n_words, spans (first and last hit word), longest (words of the longest
     verbatim match that holds a whole window), items (ids as strings, in order)."""
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("t"))
     for k, (block, last) in enumerate(blocks_of(benchmark, item_col, item_text_col, block_words)):
         items = spark.sparkContext.broadcast(Items(block, window))
         given = out if k == 0 else out.select("id", "t", "spans", "longest", "items")
         text = "" if last else "t binary, "  # what a further block needs to read
-        schema = f"id {kind}, {text}n_words long, spans {SPANS}, longest long, items array<string>"
-        out = over_batches(given, Search(items, k == 0), schema)
+        schema = with_id(docs, id_col, f"{text}n_words long, spans {SPANS}, longest long, items array<string>")
+        before, out = out, over_batches(given, Search(items, k == 0), schema)
+        if not last:  # else the searches of all blocks would run at once, in one stage
+            out = cut(out)
+            discard(before)
     return out
 
 
@@ -263,6 +310,6 @@ def hits(spans: str = "spans"):
 
 def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The documents in which no window of an item occurs, with all their columns."""
-    row = F.struct(*docs.columns)
-    found = find(docs.select(row.alias("row"), F.col(text_col).alias("text")), benchmark, "row", "text", **options)
+    given = docs.select(whole_row(docs).alias("row"), F.col(quoted(text_col)).alias("text"))
+    found = find(given, benchmark, "row", "text", **options)
     return found.where(F.size("spans") == 0).select("id.*")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import arrow_schema, as_batch, lower_words, over_batches, runs, utf8
+from tributary.llm.common import arrow_schema, as_batch, hashable, lower_words, over_batches, quoted, runs, utf8, whole_row
 from tributary.operators.skew import spread_join
 from tributary.session import cut, discard
 
@@ -253,12 +253,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     are merged within each task before anything is shuffled, so a third of the rows being copies of one does
     no harm. Null ids come first.
     """
-    row, whole = F.struct(*docs.columns), F.struct(id_col, *[c for c in docs.columns if c != id_col])
-    keyed = docs.select(row.alias("row"), F.xxhash64(whole).alias("h"), F.xxhash64(F.lit(1), whole).alias("g"))
-    marked = keyed.select(F.struct(f"row.{id_col}", "h", "g").alias("key"), f"row.{text_col}")
-    named = near_duplicates(marked.withColumnRenamed(text_col, "text"), "key", "text", shingle)
+    others = [f for f in docs.schema if f.name != id_col]
+    whole = F.struct(F.col(quoted(id_col)), *[hashable(F.col(quoted(f.name)), f.dataType) for f in others])
+    keyed = docs.select(
+        whole_row(docs).alias("row"), F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"),
+        F.xxhash64(whole).alias("h"), F.xxhash64(F.lit(1), whole).alias("g"),
+    )
+    named = near_duplicates(keyed.select(F.struct("id", "h", "g").alias("key"), "text"), "key", "text", shingle)
     stay = named.select("component.h", "component.g").distinct()
-    return keyed.dropDuplicates(["h", "g"]).join(stay, ["h", "g"]).select("row.*")
+    return keyed.select("row", "h", "g").dropDuplicates(["h", "g"]).join(stay, ["h", "g"]).select("row.*")
 
 
 def hexadecimal(column: str):
