@@ -27,7 +27,7 @@ from tributary.operators import (
 )
 from tributary.operators.components import components
 from tributary.operators.skew import Chain, positions, spread_join
-from tributary.plans import build, workflow
+from tributary.plans import build, stages, workflow
 from tributary.session import checkpoint_root, handoff
 from tributary.sources import dumps, sinks
 
@@ -1384,6 +1384,34 @@ def io_stage_gating(spark, sf):
     )
 
 
+@query(
+    """select n_name as name, n_name || case when n_regionkey = 1 then ' the Second' else '' end as resolved, 3 as runs, 2 as computed from nation"""
+)
+def io_input_manifest(spark, sf):
+    """A stage and what follows from it are computed again when an input changes: the alias map is another one in the last of three runs."""
+    folder, seen = fresh_folder(spark), []
+    names = std.table(spark, sf, "nation").select(F.col("n_name").alias("name"), "n_regionkey")
+
+    def run(region: int) -> DataFrame:
+        aliases = names.where(F.col("n_regionkey") == region)
+        sinks.write_alias_map(aliases.select(F.col("name").alias("variant"), F.concat("name", F.lit(" the Second")).alias("canonical")), f"{folder}/aliases-{region}")
+        kept = stages.Stages(spark, f"{folder}/out", {"aliases": stages.digest(region)})
+
+        def resolved() -> DataFrame:
+            seen.append(region)
+            known = dumps.read_alias_map(spark, f"{folder}/aliases-{region}").withColumnRenamed("variant", "name")
+            return names.join(known, "name", "left").select("name", F.coalesce("canonical", "name").alias("resolved"))
+
+        kept.add("resolved.parquet", ["aliases"], resolved)
+        kept.add("copy.parquet", ["resolved.parquet"], lambda: kept.table("resolved.parquet"))
+        kept.run()
+        return kept.table("copy.parquet")
+
+    for region in (0, 0, 1):
+        found = run(region)
+    return found.withColumns({"runs": F.lit(3), "computed": F.lit(len(seen))})
+
+
 @query(f"with {CORE_SQL} select id, authority_score as pagerank, cluster from core")
 def io_bundle_roundtrip(spark, sf):
     folder = fresh_folder(spark)

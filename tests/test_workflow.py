@@ -1,11 +1,17 @@
+import threading
+from functools import reduce
 from pathlib import Path
 
+import pytest
 from conftest import rows
+from pyspark.sql import DataFrame
 
 from tributary.operators import links
 from tributary.plans.build import build_graph, load_dump
+from tributary.plans.stages import Stages
 from tributary.plans.workflow import run_all
 from tributary.session import checkpoint_root
+from tributary.sources import sinks
 
 # Artists 1..6; the sixth is unknown, the fifth is a second spelling of the first.
 ARTISTS = [(1, "Kool & the Gang"), (2, "Beta feat. Guest"), (3, "Gamma, The"), (4, "Delta"), (5, "Cool Gang"), (6, "[unknown]")]
@@ -60,7 +66,68 @@ def test_all_stages_and_a_second_run(spark, tmp_path):
     before = {p: p.stat().st_mtime_ns for p in out.rglob("part-*")}
     run_all(spark, str(source), str(out), str(source / "aliases.json"), ["Kool Gang The", "Delta", "Nobody"])
     assert {p: p.stat().st_mtime_ns for p in out.rglob("part-*")} == before
+    (source / "aliases.json").write_text('{"Cool Gang": "Kool & the Gang", "Delta": "Delta Force"}')
+    run_all(spark, str(source), str(out), str(source / "aliases.json"), ["Kool Gang The", "Delta", "Nobody"])
+    after = {p: p.stat().st_mtime_ns for p in out.rglob("part-*")}
+    assert {p.relative_to(out).parts[0] for p in after if before.get(p) != after[p]} == set(written)
+    assert "Delta Force" in {r[0] for r in rows(spark.read.parquet(written["artist_pagerank.parquet"]), "artist")}
     matched = spark.read.parquet(written["external_validation.parquet"])
-    assert rows(matched, "ground_truth", "matched_artist") == [("Delta", "Delta"), ("Kool Gang The", "Kool and the Gang")]
+    assert rows(matched, "ground_truth", "matched_artist") == [("Delta", "Delta Force"), ("Kool Gang The", "Kool and the Gang")]
     labels = spark.read.parquet(written["music_labels.parquet"])
     assert labels.columns == ["artist_name", "cluster_id", "cluster_representative"]
+
+
+def staged(spark, out, log, broken=(), facts=None):
+    """Four stages: a feeds b and c, which run side by side; d needs both."""
+    run = Stages(spark, str(out), facts or {"in": "1"})
+    meet = threading.Barrier(2, timeout=60)
+
+    def of(name, needs):
+        def compute():
+            log.append(name)
+            if name in ("b", "c") and not broken:
+                meet.wait()  # neither goes on before the other has begun
+            if name in broken:
+                raise ValueError(name)
+            tables = [run.table(f"{n}.parquet") for n in needs] or [spark.range(3)]
+            return reduce(DataFrame.unionByName, tables)
+
+        run.add(f"{name}.parquet", [f"{n}.parquet" for n in needs] or ["in"], compute)
+
+    for name, needs in (("a", []), ("b", ["a"]), ("c", ["a"]), ("d", ["b", "c"])):
+        of(name, needs)
+    return run
+
+
+def test_stages_run_side_by_side_and_once(spark, tmp_path):
+    log = []
+    staged(spark, tmp_path, log).run()
+    assert log[0] == "a" and set(log[1:3]) == {"b", "c"} and log[3:] == ["d"]
+    assert spark.read.parquet(f"{tmp_path}/d.parquet").count() == 6
+    staged(spark, tmp_path, log).run()
+    assert len(log) == 4
+    staged(spark, tmp_path, log, facts={"in": "2"}).run()
+    assert len(log) == 8
+
+
+def test_a_failure_stops_the_run_and_the_next_goes_on(spark, tmp_path):
+    log = []
+    with pytest.raises(ValueError, match="c"):
+        staged(spark, tmp_path, log, broken=("c",)).run(workers=1)
+    assert "d" not in log and sinks.is_complete(spark, f"{tmp_path}/a.parquet") and not sinks.is_complete(spark, f"{tmp_path}/d.parquet")
+    more = []
+    staged(spark, tmp_path, more, broken=("none",)).run()
+    assert "a" not in more and sorted(more)[-2:] == ["c", "d"]
+
+
+def test_a_result_without_its_manifest_is_computed_again(spark, tmp_path):
+    log = []
+    staged(spark, tmp_path, log, broken=("none",)).run()
+    sinks.forget(spark, f"{tmp_path}/d.parquet")
+    staged(spark, tmp_path, log, broken=("none",)).run()
+    assert log.count("d") == 2 and len(log) == 5
+
+
+def test_stages_must_know_what_they_need(spark, tmp_path):
+    with pytest.raises(ValueError, match="missing.parquet"):
+        Stages(spark, str(tmp_path)).add("x.parquet", ["missing.parquet"], lambda: spark.range(1))

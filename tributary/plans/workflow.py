@@ -1,13 +1,12 @@
 """The whole analysis in one session: from a catalogue dump to every result table.
 
-Every stage hands its table on as Parquet below `out`. A stage whose table is
-already complete is skipped, so an interrupted run picks up where it stopped.
+Every stage hands its table on as Parquet below `out`. Stages that do not depend on each other run side by side. A stage whose
+table is complete and was made from the same inputs is skipped, so an interrupted run picks up where it stopped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from functools import cache
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +24,8 @@ from tributary.operators import (
     subgraph,
 )
 from tributary.operators.aliases import build_alias_map, name_list
-from tributary.plans.build import build_graph, load_dump
+from tributary.plans.build import TABLES, build_graph, load_dump
+from tributary.plans.stages import Stages, digest
 from tributary.session import workspace
 from tributary.sources import dumps, sinks
 
@@ -42,95 +42,98 @@ def run_all(
     out: str,
     alias_path: str | None = None,
     ground_truth: Iterable[str] = matching.GROUND_TRUTH,
+    workers: int = 4,
 ) -> dict[str, str]:
-    """Run all stages; returns where each result lies. Tables between steps are deleted at the end."""
+    """Run all stages that are not done yet; returns where each result lies. Tables between steps are deleted at the end.
+
+    A result is computed again if the dump's files, the alias map, the outside list or anything it is made from has changed.
+    """
     with workspace(spark):
-        return _run(spark, dump, out, alias_path, ground_truth)
-
-
-def _run(spark, dump, out, alias_path, ground_truth) -> dict[str, str]:
-    written: dict[str, str] = {}
-
-    def keep(name: str, compute: Callable[[], DataFrame]) -> DataFrame:
-        written[name] = f"{out}/{name}"
-        return sinks.read_or_compute(spark, written[name], compute)
-
-    def report(name: str, compute: Callable[[], DataFrame]) -> None:
-        written[name] = f"{out}/{name}"
-        if not sinks.is_complete(spark, written[name]):
-            sinks.write_csv(compute(), written[name])
-
-    aliases = dumps.read_alias_map(spark, alias_path) if alias_path else None
-    graph = keep("music_graph.parquet", lambda: build_graph(load_dump(spark, dump), aliases))
-    edges = links.as_edges(graph)
-
-    both = keep("degrees.parquet", lambda: degree.degrees(edges))
-    known = degree.known(both, "artist")
-    sampled = known.where("in_degree > 0").select("artist", F.col("in_degree").alias("times_sampled"))
-    using = known.where("out_degree > 0").select("artist", F.col("out_degree").alias("samples_used"))
-    report("in_degree.csv", lambda: _sorted(sampled, "times_sampled", "artist"))
-    report("out_degree.csv", lambda: _sorted(using, "samples_used", "artist"))
-    report("top_songs.csv", lambda: degree.top_songs(edges))
-
-    pairs = keep("artist_links.parquet", lambda: links.collapse(links.drop_self_loops(edges)))
-    scores = keep("artist_pagerank.parquet", lambda: pagerank.pagerank(pairs))
-    report("top_100_artists_pagerank.csv", lambda: context.top_scored(scores, 100))
-
-    labelled = keep(
-        "music_labels.parquet",
-        lambda: community.louvain(links.undirected(pairs)).withColumnsRenamed(LABEL_NAMES),
-    )
-    labels = labelled.withColumnsRenamed({v: k for k, v in LABEL_NAMES.items()})
-    report("music_cluster_membership.csv", lambda: labelled)
-    report("music_clusters.csv", lambda: _sizes(clusters.largest(labels, 100)))
-
-    report("validation_summary.csv", lambda: statistics.network_summary(edges, both))
-    report("statistics_summary.csv", lambda: statistics.overview(edges, both))
-    report("null_counts.csv", lambda: statistics.long_report(statistics.null_counts(edges)))
-    report("concentration.csv", lambda: degree.concentration_of(both))
-    report("degree_classes.csv", lambda: _degree_classes(both))
-
-    report("cluster_quality_summary.csv", lambda: clusters.quality_summary(edges, labels))
-    report("cluster_sizes.csv", lambda: _sizes(_sorted(clusters.sizes(labels), "size", "representative")))
-    flows = keep("cluster_flow.parquet", lambda: clusters.flow(edges, labels))
-    report("cluster_bridges.csv", lambda: clusters.bridges(flows, labels))
-    report("cluster_density.csv", lambda: clusters.densest(flows, labels))
-
-    network = cache(lambda: subgraph.top_network(edges, scores, labels))
-    report("top_network_nodes.csv", lambda: network()[0])
-    report("top_network_links.csv", lambda: network()[1])
-
-    hubs = keep("hubs.parquet", lambda: degree.hubs_of(both, scores, labels))
-    report("bridge_artists.csv", lambda: degree.top_bridges(hubs))
-    report("roles.csv", lambda: degree.roles(hubs))
-
-    report("authority_context.csv", lambda: context.authority_context(edges, labels, scores))
-    report("self_loops.csv", lambda: degree.self_loop_scores(edges, scores))
-    report("top_connectivity.csv", lambda: context.top_connectivity(edges, scores))
-
-    volume = sampled.where(degree.readable(F.col("artist")))
-    report("rank_comparison.csv", lambda: ranking.compare_ranks(ranking.volume_and_authority(volume, scores)))
-    received = keep("degree_frequency.parquet", lambda: degree.frequency(both.where("in_degree > 0"), "in_degree"))
-    report("degree_frequency.csv", lambda: _sorted(received, "degree"))
-    report("power_law.csv", lambda: degree.power_law(received))
-    report("cluster_top_artists.csv", lambda: _sorted(clusters.top_artist(labels, scores), "size", "representative"))
-    report("cluster_size_histogram.csv", lambda: degree.log_histogram(clusters.sizes(labels), "size"))
-
-    truth = dumps.ranked_names(spark, ground_truth)
-    matches = keep("external_validation.parquet", lambda: matching.align(truth, scores))
-    report("external_validation.csv", lambda: matches.orderBy("ground_truth_rank"))
-    report("external_validation_meta.csv", lambda: matching.agreement_report(truth, matches))
-
-    core = f"{out}/core_network.json"
-    written["core_network.json"] = core
-    if not sinks.is_complete(spark, core):
-        sinks.write_bundle(subgraph.core_bundle(edges, scores, labels), core)
-
-    found = f"{out}/artist_aliases.json"
-    written["artist_aliases.json"] = found
-    if not sinks.is_complete(spark, found):
-        sinks.write_alias_map(build_alias_map(name_list(edges, "src", "dst")), found)
-    return written
+        return stages_of(spark, dump, out, alias_path, list(ground_truth)).run(workers)
+
+
+def stages_of(spark: SparkSession, dump: str, out: str, alias_path: str | None, ground_truth: list[str]) -> Stages:
+    graph, both, pairs, ranked = "music_graph.parquet", "degrees.parquet", "artist_links.parquet", "artist_pagerank.parquet"
+    labelled, flow, hubs, received, matched = (
+        "music_labels.parquet", "cluster_flow.parquet", "hubs.parquet", "degree_frequency.parquet", "external_validation.parquet"
+    )
+    facts = {
+        "dump": digest(sinks.listing(spark, *[f"{dump}/{name}" for name in TABLES])),
+        "aliases": digest(sinks.listing(spark, alias_path) if alias_path else None), "ground_truth": digest(ground_truth),
+    }
+    run = Stages(spark, out, facts)
+    add = run.add
+
+    def edges() -> DataFrame:
+        return links.as_edges(run.table(graph))
+
+    def scores() -> DataFrame:
+        return run.table(ranked)
+
+    def labels() -> DataFrame:
+        return run.table(labelled).withColumnsRenamed({v: k for k, v in LABEL_NAMES.items()})
+
+    def sampled() -> DataFrame:
+        return degree.known(run.table(both), "artist").where("in_degree > 0").select("artist", F.col("in_degree").alias("times_sampled"))
+
+    def using() -> DataFrame:
+        return degree.known(run.table(both), "artist").where("out_degree > 0").select("artist", F.col("out_degree").alias("samples_used"))
+
+    def truth() -> DataFrame:
+        return dumps.ranked_names(spark, ground_truth)
+
+    def network(part: int) -> DataFrame:
+        return subgraph.top_network(edges(), scores(), labels())[part]
+
+    add(graph, ["dump", "aliases"], lambda: build_graph(load_dump(spark, dump), dumps.read_alias_map(spark, alias_path) if alias_path else None))
+    add(both, [graph], lambda: degree.degrees(edges()))
+    add(pairs, [graph], lambda: links.collapse(links.drop_self_loops(edges())))
+    # what others wait for comes first
+    add(labelled, [pairs], lambda: community.louvain(links.undirected(run.table(pairs))).withColumnsRenamed(LABEL_NAMES))
+    add(ranked, [pairs], lambda: pagerank.pagerank(run.table(pairs)))
+    add(flow, [graph, labelled], lambda: clusters.flow(edges(), labels()))
+    add(hubs, [both, ranked, labelled], lambda: degree.hubs_of(run.table(both), scores(), labels()))
+    add(matched, [ranked, "ground_truth"], lambda: matching.align(truth(), scores()))
+    add(received, [both], lambda: degree.frequency(run.table(both).where("in_degree > 0"), "in_degree"))
+
+    add("in_degree.csv", [both], lambda: _sorted(sampled(), "times_sampled", "artist"))
+    add("out_degree.csv", [both], lambda: _sorted(using(), "samples_used", "artist"))
+    add("top_songs.csv", [graph], lambda: degree.top_songs(edges()))
+    add("top_100_artists_pagerank.csv", [ranked], lambda: context.top_scored(scores(), 100))
+    add("music_cluster_membership.csv", [labelled], lambda: run.table(labelled))
+    add("music_clusters.csv", [labelled], lambda: _sizes(clusters.largest(labels(), 100)))
+
+    add("validation_summary.csv", [graph, both], lambda: statistics.network_summary(edges(), run.table(both)))
+    add("statistics_summary.csv", [graph, both], lambda: statistics.overview(edges(), run.table(both)))
+    add("null_counts.csv", [graph], lambda: statistics.long_report(statistics.null_counts(edges())))
+    add("concentration.csv", [both], lambda: degree.concentration_of(run.table(both)))
+    add("degree_classes.csv", [both], lambda: _degree_classes(run.table(both)))
+
+    add("cluster_quality_summary.csv", [graph, labelled], lambda: clusters.quality_summary(edges(), labels()))
+    add("cluster_sizes.csv", [labelled], lambda: _sizes(_sorted(clusters.sizes(labels()), "size", "representative")))
+    add("cluster_bridges.csv", [flow, labelled], lambda: clusters.bridges(run.table(flow), labels()))
+    add("cluster_density.csv", [flow, labelled], lambda: clusters.densest(run.table(flow), labels()))
+    add("top_network_nodes.csv", [graph, ranked, labelled], lambda: network(0))
+    add("top_network_links.csv", [graph, ranked, labelled], lambda: network(1))
+
+    add("bridge_artists.csv", [hubs], lambda: degree.top_bridges(run.table(hubs)))
+    add("roles.csv", [hubs], lambda: degree.roles(run.table(hubs)))
+    add("authority_context.csv", [graph, labelled, ranked], lambda: context.authority_context(edges(), labels(), scores()))
+    add("self_loops.csv", [graph, ranked], lambda: degree.self_loop_scores(edges(), scores()))
+    add("top_connectivity.csv", [graph, ranked], lambda: context.top_connectivity(edges(), scores()))
+
+    volume = lambda: sampled().where(degree.readable(F.col("artist")))
+    add("rank_comparison.csv", [both, ranked], lambda: ranking.compare_ranks(ranking.volume_and_authority(volume(), scores())))
+    add("degree_frequency.csv", [received], lambda: _sorted(run.table(received), "degree"))
+    add("power_law.csv", [received], lambda: degree.power_law(run.table(received)))
+    add("cluster_top_artists.csv", [labelled, ranked], lambda: _sorted(clusters.top_artist(labels(), scores()), "size", "representative"))
+    add("cluster_size_histogram.csv", [labelled], lambda: degree.log_histogram(clusters.sizes(labels()), "size"))
+    add("external_validation.csv", [matched], lambda: run.table(matched).orderBy("ground_truth_rank"))
+    add("external_validation_meta.csv", [matched, "ground_truth"], lambda: matching.agreement_report(truth(), run.table(matched)))
+
+    add("core_network.json", [graph, ranked, labelled], lambda: subgraph.core_bundle(edges(), scores(), labels()), sinks.write_bundle)
+    add("artist_aliases.json", [graph], lambda: build_alias_map(name_list(edges(), "src", "dst")), sinks.write_alias_map)
+    return run
 
 
 def _sorted(df: DataFrame, by: str, *ties: str) -> DataFrame:

@@ -32,15 +32,57 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Did a job finish writing this folder?"""
-    return exists(spark, f"{path}/_SUCCESS")
+#: Beside a result: what it was computed from. Spark's readers pass over names that start like this.
+MANIFEST = "_manifest"
 
 
-def read_or_compute(spark: SparkSession, path: str, compute: Callable[[], DataFrame]) -> DataFrame:
-    """The table at `path`, computed and written first unless it is there already."""
-    if not is_complete(spark, path):
+def is_complete(spark: SparkSession, path: str, manifest: str | None = None) -> bool:
+    """Did a job finish writing this folder, from what `manifest` stands for?"""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        return False
+    return manifest is None or (exists(spark, f"{path}/{MANIFEST}") and recalled(spark, path) == manifest)
+
+
+def remember(spark: SparkSession, path: str, manifest: str) -> None:
+    """Put the manifest beside a finished result."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}")
+    stream = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop, True)
+    stream.writeBytes(manifest)
+    stream.close()
+
+
+def recalled(spark: SparkSession, path: str) -> str:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}")
+    stream = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}")
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, False)
+
+
+def listing(spark: SparkSession, *paths: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time of the last change) of all files in these folders, or of these files."""
+    found = []
+    for path in paths:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(hadoop, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(found)
+
+
+def read_or_compute(spark: SparkSession, path: str, compute: Callable[[], DataFrame], manifest: str | None = None) -> DataFrame:
+    """The table at `path`, computed and written first unless it is there already, from what `manifest` stands for."""
+    if not is_complete(spark, path, manifest):
         write_table(compute(), path)
+        if manifest is not None:
+            remember(spark, path, manifest)
     return spark.read.parquet(path)
 
 
