@@ -1314,6 +1314,36 @@ def io_csv_roundtrip(spark, sf):
     return spark.read.option("header", True).schema(nations.schema).csv(folder)
 
 
+#: Texts that a writer or reader may trip over, by the key of a nation.
+HOSTILE = """case n_nationkey when 0 then null when 1 then '' when 2 then '"Heroes" live' when 3 then 'say "hi"' when 4 then 'AC{b}DC'
+  when 5 then 'ends with {b}' when 6 then 'a' || chr(9) || 'tab' when 7 then 'two' || chr(10) || 'lines' when 8 then ',' when 9 then '"'
+  when 10 then '  blanks  ' when 11 then '""' when 12 then '{b}"' when 13 then '{b}N' when 14 then 'Ünï, "cödé"' else n_name end"""
+
+
+@query(f"select n_nationkey, {HOSTILE.format(b=chr(92))} as text, n_regionkey from nation")
+def io_csv_texts(spark, sf):
+    """Quotes, separators, line ends, blanks, null and empty text through the CSV sink."""
+    folder = fresh_folder(spark)
+    text = F.expr(HOSTILE.format(b=chr(92) * 2))
+    rows = std.table(spark, sf, "nation").select("n_nationkey", text.alias("text"), "n_regionkey")
+    sinks.write_csv(rows, folder)
+    return sinks.read_csv(spark, folder, rows.schema)
+
+
+@query(
+    f"""select n_nationkey as id, nullif(nullif(x, ''), '{chr(92)}N') as name, n_regionkey as artist_credit
+from (select *, replace(replace({HOSTILE.format(b=chr(92))}, chr(9), ' '), chr(10), ' ') as x from nation)"""
+)
+def io_dump_texts(spark, sf):
+    """Dump lines as they come: quotes and backslashes are plain characters, empty fields and {chr(92)}N are null."""
+    folder = fresh_folder(spark)
+    text = F.translate(F.expr(HOSTILE.format(b=chr(92) * 2)), "\t\n", "  ")
+    field = F.coalesce(text, F.lit("\\N"))
+    lines = std.table(spark, sf, "nation").select(F.concat_ws("\t", "n_nationkey", F.lit("gid"), field, "n_regionkey", F.lit("\\N"), F.lit(""), F.lit("0")))
+    lines.write.text(f"{folder}/recording")
+    return dumps.read_dump(spark, folder, "recording").select("id", "name", "artist_credit")
+
+
 @query("select * from customer")
 def io_parquet_roundtrip(spark, sf):
     folder = fresh_folder(spark)

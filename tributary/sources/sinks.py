@@ -12,8 +12,18 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+#: Quotes are doubled and blanks at the ends are kept, so that any text comes back as it was.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """With a header; null is an empty field, empty text a pair of quotes."""
+    df.write.mode("overwrite").options(**CSV).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What write_csv has written, line ends inside texts included. An empty field is null; only a text of a single NUL is lost to it."""
+    return spark.read.options(**CSV, multiLine=True, nullValue="\0").schema(schema).csv(path)
 
 
 def write_alias_map(aliases: DataFrame, path: str) -> None:
