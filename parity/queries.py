@@ -1535,6 +1535,32 @@ CONTENT = {
 }
 
 
+#: Of results that depend on communities or ranks, what SQL can foretell: data set -> (aggregate there, the same in SQL).
+TOTALS = {
+    "top_100_artists_pagerank.csv": ("count(*)", "(select least(100, count(*)) from nodes)"),
+    "validation_summary.csv": ("count(*)", "16"), "cluster_quality_summary.csv": ("count(*)", "7"), "statistics_summary.csv": ("count(*)", "15"),
+    "cluster_flow.parquet": ("sum(n)", "(select count(*) from graph)"),
+    "music_clusters.csv": ("count_if(double(cluster_size) > 0)", None),
+    "cluster_sizes.csv": ("sum(double(cluster_size))", "(select count(*) from nodes)"),
+    "cluster_top_artists.csv": ("sum(double(size))", "(select count(*) from nodes)"),
+    "cluster_density.csv": ("count_if(abs(double(density) * double(size) * (double(size) - 1) - double(internal_edges)) > 1e-6 * double(internal_edges))", "0"),
+    "cluster_bridges.csv": ("count_if(From_Cluster = To_Cluster or double(Connection_Strength) < 1)", "0"),
+    "concentration.csv": ("count(*)", "2"),
+    "top_network_nodes.csv": ("count(distinct id)", "(select least(50, count(*)) from nodes)"),
+    "top_network_links.csv": ("count_if((src_cluster = dst_cluster and src_cluster <> 'Unknown') <> (edge_class = 'intra'))", "0"),
+    "bridge_artists.csv": ("count(distinct artist)", "(select least(15, count(*)) from both_degrees)"),
+    "authority_context.csv": ("count_if(double(total_samples) <> double(internal_samples) + double(external_samples)) * 1000 + count(*)", "(select least(15, count(*)) from nodes)"),
+    "top_connectivity.csv": ("sum(double(place))", "(select least(15, count(*)) * (least(15, count(*)) + 1) / 2 from nodes)"),
+    "power_law.csv": ("count_if(abs(double(slope) + double(gamma)) < 1e-9)", "1"),
+    "external_validation.csv": ("count(distinct matched_artist) - count(*)", "0"),
+    "external_validation.parquet": ("count_if(match_score < 85)", "0"),
+    "external_validation_meta.csv": ("sum(if(metric = 'Number_of_ground_truth_artists', cast(value as double), 0))", "30"),
+    "cluster_size_histogram.csv": ("sum(double(`count`))", None),
+    "core_network.json": ("count_if(kind = 'node' and get_json_object(value, '$.id') is null)", "0"),
+    "artist_aliases.json": ("count_if(get_json_object(value, '$.variant') = get_json_object(value, '$.canonical'))", "0"),
+}
+
+
 def digest_sql(name: str) -> str:
     columns, source = CONTENT[name]
     text = ", ".join(f"coalesce(cast({c} as varchar), '~')" for _, c in columns)
@@ -1556,19 +1582,31 @@ nodes as (select s from l union select o from l),
 both_degrees as (select s as artist, cast(sum(i) as bigint) as i, cast(sum(u) as bigint) as u
   from (select s, 0 as i, n as u from pairs union all select o, n, 0 from pairs) group by 1)
 {" union all ".join(digest_sql(n) for n in CONTENT)}
-union all select 'top_100_artists_pagerank.csv', least(100, count(*)), null from nodes
-union all select 'validation_summary.csv', 16, null union all select 'cluster_quality_summary.csv', 7, null"""
+{" ".join(f"union all select '{n}', null, cast({sql} as bigint)" for n, (_, sql) in TOTALS.items() if sql)}
+union all select 'clusters agree', null, 1"""
 )
 def whole_workflow(spark, sf):
-    """All stages on dump files of the stand-in tables; content of the results SQL can foretell, rows of three others."""
+    """All stages on dump files of the stand-in tables; content of the results SQL can foretell, totals and rules of the others.
+
+    The numbers of clusters in four results must agree with each other.
+    """
     folder = fresh_folder(spark)
     cat.write_dump(spark, sf, f"{folder}/dump")
     sinks.write_alias_map(aliases.build_alias_map(listed(spark, sf)), f"{folder}/aliases")
     written = workflow.run_all(spark, f"{folder}/dump", f"{folder}/out", f"{folder}/aliases")
     parts = []
-    for name in [*CONTENT, "top_100_artists_pagerank.csv", "validation_summary.csv", "cluster_quality_summary.csv"]:
-        reader = spark.read.option("header", True)
-        df = spark.read.parquet(written[name]) if name.endswith("parquet") else reader.csv(written[name])
-        counted = df.agg(F.count("*").alias("n"), F.lit(None).cast("long").alias("digest"))
-        parts.append(digest(df, name) if name in CONTENT else counted.select(F.lit(name).alias("dataset"), "n", "digest"))
+    read = {
+        name: spark.read.parquet(path) if name.endswith("parquet") else spark.read.text(path) if name.endswith("json")
+        else spark.read.option("header", True).option("escape", '"').csv(path) for name, path in written.items()
+    }
+    none = F.lit(None).cast("long")
+    parts = [digest(read[name], name) for name in CONTENT]
+    parts += [read[n].agg(F.expr(e).cast("long").alias("digest")).select(F.lit(n).alias("dataset"), none.alias("n"), "digest") for n, (e, sql) in TOTALS.items() if sql]
+    found = [read["cluster_sizes.csv"].agg(F.count("*")), read["cluster_top_artists.csv"].agg(F.count("*")),
+             read["cluster_size_histogram.csv"].agg(F.expr(TOTALS["cluster_size_histogram.csv"][0]).cast("long")),
+             read["cluster_quality_summary.csv"].where("metric = 'num_clusters'").agg(F.max(F.col("value").cast("double")).cast("long")),
+             read["music_cluster_membership.csv"].agg(F.countDistinct("cluster_id"))]
+    same = F.array_max(F.array(*[f.scalar() for f in found])) == F.array_min(F.array(*[f.scalar() for f in found]))
+    shown = read["music_clusters.csv"].agg(F.expr(TOTALS["music_clusters.csv"][0])).scalar() == F.least(F.lit(100), found[0].scalar())
+    parts.append(spark.range(1).select(F.lit("clusters agree").alias("dataset"), none.alias("n"), (same & shown).cast("long").alias("digest")))
     return reduce(DataFrame.unionByName, parts)
