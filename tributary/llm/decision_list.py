@@ -7,7 +7,8 @@ sought, until `PATIENCE` in a row were not good enough or no bad row is left. Th
 
 The rules are learned on the driver from at most `rows` labelled rows (a bounded sample, see textstats.sample) and applied to all
 documents. Without labels, or with one kind only, the list is empty and rejects nothing. Null and empty texts have counts 0 and fail the base
-rule, as do texts of fewer than ten words. Repeated rows stay repeated; null labels are ignored.
+rule, as do texts of fewer than ten words. Repeated rows stay repeated; null labels are ignored. Equal
+gains fall to the first statistic and threshold tried. Very long texts are measured whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ The items are the query set. They are shipped in blocks of about BLOCK_WORDS wor
 documents (no shuffle); between two passes the rows are written to the shared folder, so no task ever holds two blocks. A document needs no other document: nothing is shuffled.
 
 Null text has no words; a null item id counts for hits but is not listed. Repeated documents stay repeated. Empty tables give empty
-results (no items: nothing is hit). Other columns are not read, and `remove` returns them unchanged.
+results (no items: nothing is hit). A very long text is searched whole, with the batch it is in. Other
+columns are not read, and `remove` returns them unchanged.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ Blocks and containers whose own costs outweigh all their edges must take their o
 in turn, and their edges become costs of their neighbours. Maximum flow runs on what is left.
 
 Null or empty html gives an empty text. Whole pages are read. A broken or unclosed tag, comment or script ends with the page. Pages are
-independent: nothing is shuffled; repeated rows stay repeated, null ids and urls are kept, an empty table gives an empty result.
+independent: nothing is shuffled; repeated rows stay repeated, null ids and urls are kept, an empty table gives an empty result. Blocks that cost the
+same on both sides count as boilerplate. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -14,6 +14,7 @@ grid of 1/16 octave; only that pool, whose size does not depend on the corpus, c
 Words are told apart by 64 bits of XXH64, pairs by 64 bits mixed from them. Tokens: lower-cased (A-Z) words, then one end. The end also
 stands before the first word as its context. Null text is empty: the end alone. Null ids are held out (they count as the empty text). Repeated
 rows are learned from as often as they occur. An empty table gives an empty result; without any training document every token has probability 1 / 1.
+A very long text is a slice of its own. Other columns are not read.
 """
 
 from __future__ import annotations

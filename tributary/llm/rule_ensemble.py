@@ -6,7 +6,8 @@ conditional expressions over the statistics' columns: scoring needs no model obj
 
 Learned on the driver from at most `rows` labelled rows outside the held-out fold (a bounded sample, see textstats.sample), applied to all
 documents. Inputs are statistics of the text alone. Null text is scored as the empty text. Without labels every score is 0.5; with
-one kind only, the score is close to that label. Repeated rows stay repeated.
+one kind only, the score is close to that label. Repeated rows stay repeated. Equal gains fall to the first statistic and threshold tried. Very long
+texts are measured whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations

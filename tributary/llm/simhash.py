@@ -10,7 +10,8 @@ Exact copies have one fingerprint and meet the anchors as one row. An anchor wit
 each pair of blocks is a task of its own. What leaves a comparison is a forest (a link less than rows), never all pairs.
 
 Null or empty text: fingerprint zero, which links like any other. Null ids keep their row; the smallest id ignores them. Repeated rows
-stay repeated. Other columns are not read. An empty table gives an empty result.
+stay repeated. A very long text is hashed in runs of 65,536 shingles; a bit set in exactly half of the hashes is 0. Other columns are not
+read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
