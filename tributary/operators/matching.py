@@ -29,7 +29,7 @@ GROUND_TRUTH = [
 
 
 #: Pairs of one component of competing names that a single task may settle; larger components go in rounds.
-SETTLED = 200_000
+SETTLED = 1_000_000
 
 
 def candidates(scores: DataFrame, top: int | None = None) -> DataFrame:
