@@ -108,3 +108,14 @@ def test_alias_objects_stay_small(spark, tmp_path, monkeypatch):
     objects = [json.loads(p.read_text()) for p in (tmp_path / "map").rglob("part-*.txt")]
     assert len(objects) > len(got) / 20 and sum(map(len, objects)) == len(got) > 20
     assert max(map(len, objects)) <= 30
+
+
+def test_bundle_has_a_folder_for_every_kind(spark, tmp_path):
+    """Core artists of a large sparse graph may have no link among each other."""
+    bundle = spark.createDataFrame([("node", '{"id":1}'), ("cluster", '{"rank":1,"representative":"a"}')], "kind string, json string")
+    sinks.write_bundle(bundle, f"{tmp_path}/some")
+    read = {k: spark.read.schema(s).json(f"{tmp_path}/some/kind={k}") for k, s in {"node": "id long", "link": "source string", "cluster": "rank string"}.items()}
+    assert {k: df.count() for k, df in read.items()} == {"node": 1, "link": 0, "cluster": 1}
+    assert spark.read.text(f"{tmp_path}/some").groupBy("kind").count().count() == 2
+    sinks.write_bundle(bundle.limit(0), f"{tmp_path}/none")
+    assert spark.read.schema("id long").json(f"{tmp_path}/none/kind=node").count() == 0

@@ -32,9 +32,18 @@ def write_alias_map(aliases: DataFrame, path: str) -> None:
     aliases.select(line).write.mode("overwrite").text(path)
 
 
+#: What a bundle holds; every kind has its folder, also without a row.
+KINDS = ("node", "link", "cluster")
+
+
 def write_bundle(bundle: DataFrame, path: str) -> None:
     """Rows of (kind, json) as one folder of JSON lines per kind."""
     bundle.select("kind", F.col("json").alias("value")).write.mode("overwrite").partitionBy("kind").text(path)
+    # Spark makes no folder for a kind without rows, and readers of that kind would fail
+    spark = bundle.sparkSession
+    for kind in KINDS:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/kind={kind}")
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
