@@ -170,3 +170,17 @@ def test_the_sketch_is_taken_again_if_there_are_more_rows_than_guessed(spark, mo
     df = spark.range(5000).selectExpr("if(id % 2 = 0, 1, id) as k", "if(id % 10 = 0, null, 5) as j")
     (none, first), (missing, second) = skew.sketch(df, [["k"], ["j"]], block=1000)
     assert (none, missing) == (0, 500) and [b for _, b in first] == [3] and [b for _, b in second] == [5]
+
+
+def test_small_blocks_bring_no_task_for_each(spark):
+    """A step of a loop has a bounded number of tasks a core until partitions are full."""
+    from tributary.session import BLOCK_ROWS, WAVES, layout_width
+
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.tributary.blockRows", "200")
+    try:
+        assert layout_width(spark, 3_000_000) == WAVES * cores
+        assert layout_width(spark, 1000 * BLOCK_ROWS) == 1000
+        assert layout_width(spark, 100) == cores
+    finally:
+        spark.conf.unset("spark.tributary.blockRows")

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.operators.skew import block_size, copy_to_blocks, salt_rows
+from tributary.operators.skew import block_size, hot_table, key_hash, salt_rows
 from tributary.session import cut, discard, layout_width
 
 
@@ -68,17 +68,23 @@ def pagerank(
     # an arc from nowhere carries no rank
     arcs = links.where(F.col("src").isNotNull()).select(F.col("src").cast(id_type), F.col("dst").cast(id_type), "weight")
     on = ["src"]
+    blocks = F.lit(1)
     if hot:
         arcs, on = salt_rows(arcs, ["src"], hot), ["src", "_salt"]
-    arcs = arcs.repartition(layout_width(spark, start["links"]), *on).persist(StorageLevel.MEMORY_AND_DISK)
+        # looked up once, by the list that salts the arcs; every step reads it from the ranks
+        looked_up = ranks.withColumn("_h", key_hash(["id"])).join(hot_table(spark, hot), "_h", "left")
+        before, ranks = ranks, cut(looked_up.withColumn("blocks", F.coalesce("_blocks", F.lit(1))).drop("_h", "_blocks"))
+        discard(before)
+        blocks = F.col("blocks")
+    arcs = arcs.repartition(layout_width(spark, start["links"]), *on).sortWithinPartitions(*on).persist(StorageLevel.MEMORY_AND_DISK)
 
     for _ in range(max_iterations):
         teleport = (1.0 - damping) + damping * sunk / n
-        giving = ranks.where(F.col("gives").isNotNull()).select(
-            F.col("id").alias("src"), (F.col("rank") / F.col("gives")).alias("per_unit")
+        giving = ranks.where(F.col("gives").isNotNull() & F.col("id").isNotNull()).select(
+            F.col("id").alias("src"), (F.col("rank") / F.col("gives")).alias("per_unit"), blocks.alias("blocks")
         )
         if hot:
-            giving = copy_to_blocks(giving, ["src"], hot)
+            giving = giving.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
         received = (
             arcs.join(giving, on)
             .groupBy(F.col("dst").alias("id"))
@@ -91,6 +97,7 @@ def pagerank(
                 "id",
                 "gives",
                 "links",
+                *(["blocks"] if hot else []),
                 rank.alias("rank"),
                 F.abs(rank - F.col("rank")).alias("moved"),
             )
