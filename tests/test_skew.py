@@ -172,6 +172,18 @@ def test_the_sketch_is_taken_again_if_there_are_more_rows_than_guessed(spark, mo
     assert (none, missing) == (0, 500) and [b for _, b in first] == [3] and [b for _, b in second] == [5]
 
 
+def test_large_sketches_give_way_to_counts(spark, monkeypatch):
+    """No task merges sketches that grow with tables and small blocks; what is found is the same."""
+    df = spark.range(5000).selectExpr("if(id % 2 = 0, 1, id) as k", "if(id % 10 = 0, null, id % 3) as j")
+    by_sketch = skew.sketch(df, [["k"], ["j"], ["k", "j"]], block=400)
+    monkeypatch.setattr(skew, "SKETCHED", 0)
+    merged, counted = [], skew.counted
+    monkeypatch.setattr(skew, "counted", lambda hashes, block: merged.append(hashes.columns) or counted(hashes, block))
+    by_count = skew.sketch(df, [["k"], ["j"], ["k", "j"]], block=400)
+    assert [(none, sorted(hot)) for none, hot in by_count] == [(none, sorted(hot)) for none, hot in by_sketch]
+    assert merged == [["h0", "h1", "h2"]] and all(hot for _, hot in by_count)
+
+
 def test_small_blocks_bring_no_task_for_each(spark):
     """A step of a loop has a bounded number of tasks a core until partitions are full."""
     from tributary.session import BLOCK_ROWS, WAVES, layout_width

@@ -20,6 +20,8 @@ from tributary.session import block_rows, cut
 TRACKED = 1_000_000
 # The sketch reports at most this many keys.
 REPORTED = 100_000
+# Sketches of more tracked keys are not taken: one task merges those of all tasks. The keys are counted then.
+SKETCHED = 100_000
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -60,13 +62,16 @@ def sketch(df: DataFrame, key_sets: Sequence[Sequence[str]], block: int | None =
     A hot list holds (key hash, number of blocks) of the keys that own more rows than one block should hold, by a
     frequent-items sketch: no shuffle of keys, and one bounded row to the driver. A wrong estimate costs
     balance, never rows, because the list is fixed before either side is salted. The sketch is sized by Catalyst's
-    row estimate; only if there are more rows than that, it is taken again in the right size.
+    row estimate; only if there are more rows than that, it is taken again in the right size. Blocks so small that
+    a sketch would have to be large are found by counting all keys, each in the task it falls to.
     """
     spark, guess = df.sparkSession, rows_guessed(df)
     while True:
         kept = min(REPORTED, math.ceil(2 * guess / block_size(spark, guess, block)) + 1)
         tracked = min(TRACKED, 8 * kept)
         hashes = df.select(*[F.when(~has_no_key(keys), key_hash(keys)).alias(f"h{i}") for i, keys in enumerate(key_sets)])
+        if tracked > SKETCHED:
+            return counted(hashes, block)
         facts = [F.count("*").alias("rows")]
         for i in range(len(key_sets)):
             top = f"approx_top_k(h{i}, {kept}, {tracked}) filter (where h{i} is not null)"
@@ -83,6 +88,20 @@ def sketch(df: DataFrame, key_sets: Sequence[Sequence[str]], block: int | None =
     return found
 
 
+def counted(hashes: DataFrame, block: int | None) -> list[tuple[int, Hot]]:
+    """What `sketch` finds for each column of key hashes, exactly; fewer than rows / block keys reach the driver."""
+    columns = hashes.columns
+    seen = hashes.agg(F.count("*").alias("rows"), *[F.count(h).alias(h) for h in columns]).first()
+    sizes = [block_size(hashes.sparkSession, seen[h], block) for h in columns]
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(h).alias("h")) for i, h in enumerate(columns)])).alias("e")
+    counts = hashes.select(each).where("e.h is not null").groupBy("e.i", "e.h").agg(F.count("*").alias("n"))
+    size = F.array(*[F.lit(s) for s in sizes])[F.col("i")]
+    found: list[Hot] = [[] for _ in columns]
+    for row in counts.where(F.col("n") > size).sort(F.desc("n"), "h").collect():
+        found[row["i"]].append((row["h"], math.ceil(row["n"] / sizes[row["i"]])))
+    return [(seen["rows"] - seen[h], hot) for h, hot in zip(columns, found)]
+
+
 def find_hot(df: DataFrame, keys: Sequence[str], block: int | None = None) -> Hot:
     """The hot list of one set of keys."""
     return sketch(df, [keys], block)[0][1]
