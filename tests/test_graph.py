@@ -260,3 +260,23 @@ def test_independent_moves_never_lose(spark):
         label = {r["id"]: r["comm"] for r in state.collect()}
         assert seen["moved"] > 0 and quality(edges, label) >= before + 2 * seen["gained"] / two_m - 1e-9
     level.close()
+
+
+def test_a_round_moves_no_arcs_for_few_nodes(spark):
+    """Without any broadcast by size: what is known of the nodes goes to the arcs, and the wishes and their grants are those of the joins that spread."""
+    edges, level, two_m = first_level(spark)
+    state = cut(level.nodes.withColumn("comm", F.col("id") % 40).withColumn("active", F.col("id") % 3 > 0))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = {}
+    try:
+        for level.few in (True, False):
+            wishes = level.wishes(state, two_m, 1.0)
+            plan = wishes._jdf.queryExecution().executedPlan().toString()
+            assert ("SortMergeJoin" in plan) is not level.few
+            granted = level.independent(wishes, two_m, 1.0, 0, False)
+            found[level.few] = rows(wishes), rows(granted), rows(level.moved(state.withColumn("was", F.lit(0)).withColumn("gained", F.lit(0)), granted, wishes))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        level.close()
+    assert found[True] == found[False] and all(found[True])

@@ -3,10 +3,12 @@
 from pathlib import Path
 
 import pytest
+from conftest import rows
 
 from parity import standins as std
-from tributary.operators import degree, statistics, subgraph
+from tributary.operators import clusters, degree, statistics, subgraph
 from tributary.plans.build import release_years
+from tributary.session import cut
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the given tables")
@@ -43,6 +45,16 @@ def test_core_reads_the_edges_for_one_degree_table(spark):
     assert scans(spark, core) == 0  # written once, the readers see the list
 
 
+def test_reports_read_what_is_written_already(spark):
+    """The flow between clusters and the degrees are not counted again from the edges; the results are the same."""
+    edges, scores, labels = std.edges(spark, FOLDER), std.scores(spark, FOLDER), std.labels(spark, FOLDER)
+    flows, both = cut(clusters.flow(edges, labels)), cut(degree.degrees(edges))
+    assert scans(spark, lambda e: clusters.quality_summary(e, labels)) > 0
+    assert scans(spark, lambda e: clusters.quality_summary(e, labels, flows)) == 0
+    assert rows(clusters.quality_summary(edges, labels, flows)) == rows(clusters.quality_summary(edges, labels))
+    assert rows(subgraph.core_bundle(edges, scores, labels, both)) == rows(subgraph.core_bundle(edges, scores, labels))
+
+
 def test_a_long_list_of_recordings_meets_the_years(spark):
     """Tracks are not moved for a list too long to broadcast; a short one thins them out first. Both give the same years."""
     track = spark.createDataFrame([(1, 10), (1, 11), (1, 11), (2, 10), (3, 12), (4, 99), (None, 10)], "recording long, medium long")

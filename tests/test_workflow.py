@@ -110,6 +110,24 @@ def test_stages_run_side_by_side_and_once(spark, tmp_path):
     assert len(log) == 8
 
 
+def test_what_most_others_wait_for_goes_first(spark, tmp_path):
+    """Also where it was added last and becomes ready while others queue."""
+    log, run = [], Stages(spark, str(tmp_path), {"in": "1"})
+
+    def add(name, *needs):
+        def compute():
+            log.append(name)
+            return spark.range(1)
+
+        run.add(f"{name}.parquet", [f"{n}.parquet" for n in needs] or ["in"], compute)
+
+    for name, needs in (("a", []), ("x", ["a"]), ("y", ["a"]), ("b", ["a"]), ("c", ["b"]), ("d", ["c"])):
+        add(name, *needs)
+    assert run.waiting() == {"a.parquet": 5, "x.parquet": 0, "y.parquet": 0, "b.parquet": 2, "c.parquet": 1, "d.parquet": 0}
+    run.run(workers=1)
+    assert log == ["a", "b", "c", "x", "y", "d"]
+
+
 def test_a_failure_stops_the_run_and_the_next_goes_on(spark, tmp_path):
     log = []
     with pytest.raises(ValueError, match="c"):
