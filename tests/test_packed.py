@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tributary.operators import community, packed
+from tributary.operators import community, packed, pagerank
 
 
 def mixed(groups=6, size=15, seed=1):
@@ -78,7 +78,7 @@ def test_blocks_hold_every_arc_once(spark):
     arcs = spark.createDataFrame([(5, 9, 1.0), (5, 9, 2.0), (9, 5, 4.0), (5, 5, 8.0)], "node long, other long, w double")
     ids = np.array([5, 7, 9])
     for merge, expected in ((False, {(5, 9): 3.0, (9, 5): 4.0, (5, 5): 8.0}), (True, {(5, 9): 3.0, (9, 5): 4.0})):
-        blocks = packed.pack(arcs, ids, 8, merge)
+        blocks = packed.pack(packed.deal(arcs, ids, 8), len(ids), 8, merge)
         seen = packed.gathered(blocks, packed.PACKED)
         found = {}
         for a, b, w in zip(np.repeat(seen["near"], seen["degree"]), seen["other"], seen["w"]):
@@ -92,3 +92,30 @@ def test_names_of_communities():
     at, strength = np.array([3, 1, 3, 1, 4]), np.array([1.0, 2.0, 1.0, 5.0, 0.0])
     cluster, top = packed.named(at, strength)
     assert cluster.tolist() == [0, 1, 0, 1, 2] and top.tolist() == [0, 3, 0, 3, 4]
+
+
+def links(spark, n=60, seed=3):
+    rng = random.Random(seed)
+    pairs = {(f"n{rng.randrange(n)}", f"n{rng.randrange(n // 2)}") for _ in range(4 * n)}
+    return spark.createDataFrame([(a, b, float(rng.choice([1, 2, 4]))) for a, b in sorted(pairs)], "src string, dst string, weight double")
+
+
+def test_packed_ranks_are_those_of_the_joins(spark, monkeypatch):
+    graph, packs = links(spark), []
+    few = pagerank._of_few
+    monkeypatch.setattr(pagerank, "_of_few", lambda *a: packs.append(1) or few(*a))
+    before = jobs(spark)
+    found = dict(rows(pagerank.pagerank(graph)))
+    assert packs == [1] and jobs(spark) - before <= 45  # by joins over 70
+    spread = dict(rows(pagerank.pagerank(graph, block=5)))
+    assert packs == [1] and found == pytest.approx(spread, abs=1e-9) and sum(found.values()) == pytest.approx(len(found))
+
+
+def test_ranks_of_odd_links_take_the_joins(spark, monkeypatch):
+    """No name, no weight, or more arcs to one node than a block has rows."""
+    monkeypatch.setattr(pagerank, "_of_few", None)
+    odd = [("a", "b", 1.0), ("b", None, 1.0), ("c", "b", 2.0)], [("a", "b", 1.0), ("b", "a", None)]
+    for graph, size in zip(odd, (4, 2)):
+        assert len(rows(pagerank.pagerank(spark.createDataFrame(graph, "src string, dst string, weight double")))) == size
+    star = [(f"s{i}", "b", 1.0) for i in range(9)] * 2
+    assert len(rows(pagerank.pagerank(spark.createDataFrame(star, "src string, dst string, weight double"), block=10))) == 10

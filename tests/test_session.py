@@ -85,3 +85,23 @@ print("FOUND", matching.similar(ranked_names(spark, ["b a"]), matching.candidate
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "FOUND 1" in run.stdout, run.stderr[-2000:]
+
+
+def test_parts_side_by_side_keep_the_job_group(spark):
+    import threading
+
+    from tributary.session import side_by_side
+
+    meet = threading.Barrier(2, timeout=60)
+
+    def part(value):
+        meet.wait()
+        return value, spark.sparkContext.getLocalProperty("spark.jobGroup.id"), spark.range(value).count()
+
+    spark.sparkContext.setJobGroup("both", "")
+    try:
+        assert side_by_side(spark, lambda: part(1), lambda: part(2)) == [(1, "both", 1), (2, "both", 2)]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, lambda: 1, lambda: 1 / 0)

@@ -196,3 +196,16 @@ def test_small_blocks_bring_no_task_for_each(spark):
         assert layout_width(spark, 100) == cores
     finally:
         spark.conf.unset("spark.tributary.blockRows")
+
+
+def test_some_more_rows_than_guessed_are_not_read_twice(spark, monkeypatch):
+    df = spark.range(5000).selectExpr("if(id % 2 = 0, 1, id) as k")
+    jobs = lambda: spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    seen = {}
+    for guess, block in ((5000, 1000), (1250, 1000), (1, 10)):
+        monkeypatch.setattr(skew, "rows_guessed", lambda df: guess)
+        before = jobs()
+        hot = skew.find_hot(df, ["k"], block=block)
+        seen[guess] = jobs() - before, [b for _, b in hot]
+    assert seen[1250] == seen[5000] and seen[5000][1] == [3]
+    assert seen[1] == (2 * seen[5000][0], [251])  # more keys may be hot than so small a sketch tells apart

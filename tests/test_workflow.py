@@ -149,3 +149,31 @@ def test_a_result_without_its_manifest_is_computed_again(spark, tmp_path):
 def test_stages_must_know_what_they_need(spark, tmp_path):
     with pytest.raises(ValueError, match="missing.parquet"):
         Stages(spark, str(tmp_path)).add("x.parquet", ["missing.parquet"], lambda: spark.range(1))
+
+
+def test_a_shared_table_is_computed_once_a_run(spark, tmp_path):
+    log, run = [], Stages(spark, str(tmp_path), {"in": "1"})
+
+    def table():
+        log.append(1)
+        return spark.range(2)
+
+    for name in ("a", "b"):
+        run.add(f"{name}.parquet", ["in"], lambda: run.shared("between", table))
+    run.run()
+    assert log == [1] and spark.read.parquet(f"{tmp_path}/b.parquet").count() == 2
+    assert {p.name for p in tmp_path.iterdir()} == {"a.parquet", "b.parquet"}
+
+
+def test_both_reports_share_the_counts_of_songs(spark, tmp_path, monkeypatch):
+    from tributary.operators import statistics
+
+    log, facts = [], statistics.song_facts
+    monkeypatch.setattr(statistics, "song_facts", lambda edges: log.append(1) or facts(edges))
+    (tmp_path / "in").mkdir()
+    dump(tmp_path / "in")
+    written = run_all(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert log == [1]
+    edges = links.as_edges(spark.read.parquet(written["music_graph.parquet"]))
+    for name, report in (("validation_summary.csv", statistics.network_summary(edges)), ("statistics_summary.csv", statistics.overview(edges))):
+        assert rows(sinks.read_csv(spark, written[name], "metric string, value double")) == rows(report)
